@@ -100,11 +100,6 @@ def any_of(conditions) -> Column:
     return combined
 
 
-def rows_as_json(*columns) -> Column:
-    """One row as JSON text, NULLs kept."""
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-
-
 def product(sizes) -> Column:
     """Product of an integer array, as BIGINT."""
     return F.aggregate(as_column(sizes), F.lit(1).cast("bigint"), lambda total, size: total * size)

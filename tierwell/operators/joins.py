@@ -40,16 +40,11 @@ def missing_members(present: DataFrame, expected: DataFrame, keys, member: str,
     """(keys, member) that should exist but do not.
 
     ``expected`` lists the keys, ``wanted`` is an array expression with the members each key
-    should have (a calendar, a code list).  Per key the present members are collected as a set,
-    which is never longer than ``wanted`` once filtered by it, and only the missing ones are
-    emitted; the full grid is not built.
+    should have (a calendar, a code list).  The present rows are reduced to distinct cells on
+    the map side first, so what is collected per key is bounded by the number of members, and
+    only missing cells are emitted; the full grid is not built.
     """
     keys = list(keys)
-    have = (
-        present.select(*keys, member)
-        .where(F.array_contains(wanted, F.col(member)))
-        .groupBy(*keys)
-        .agg(F.collect_set(member).alias("_have"))
-    )
+    have = present.select(*keys, member).distinct().groupBy(*keys).agg(F.collect_list(member).alias("_have"))
     gap = F.array_except(wanted, F.coalesce(F.col("_have"), F.slice(wanted, 1, 0)))
     return expected.join(have, keys, "left").select(*keys, F.explode(gap).alias(member))
