@@ -9,7 +9,7 @@ from workload.registry import query
 
 EVENT_TYPES = ("click", "view", "purchase", "error", "signup", "refund")
 ALLOWED_VALUE = 120.0
-BIG_VALUE, LANDED_VALUE = 60.0, 45.0
+BIG_VALUE, LANDED_VALUE = 220.0, 180.0
 
 WIDE_SQL = """
     SELECT o_custkey AS municipality_code, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS total,

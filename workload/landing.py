@@ -1 +1,125 @@
-"""placeholder"""
+"""Landed documents derived from the driver's tables, written and read back."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tierwell.config import shared_folder
+from tierwell.operators.quality import declared_size
+from tierwell.sources import cube, landing
+from workload import tables as T
+from workload.registry import query
+
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+YEARS = tuple(range(1995, 2002))
+DIMENSIONS = ("Region", "Drivmedel", "ContentsCode", "Tid")
+
+CUBE_SQL = """
+    SELECT 'cube_' || c.o_custkey || '.json' AS _source_file,
+           printf('%010d', c.o_custkey) AS "Region", 'Customer ' || c.o_custkey AS "Region_label",
+           p.code AS "Drivmedel", p.label AS "Drivmedel_label", 'ORDERS' AS "ContentsCode",
+           CAST(y.yr AS VARCHAR) AS "Tid", CAST(n.orders AS VARCHAR) AS value
+    FROM (SELECT DISTINCT o_custkey FROM orders) c
+    CROSS JOIN (SELECT DISTINCT substr(o_orderpriority, 1, 1) AS code, substr(o_orderpriority, 3) AS label
+                FROM orders) p
+    CROSS JOIN (SELECT unnest(range(1995, 2002)) AS yr) y
+    LEFT JOIN (SELECT o_custkey, substr(o_orderpriority, 1, 1) AS code, year(o_orderdate) AS yr,
+                      count(*) AS orders
+               FROM orders GROUP BY 1, 2, 3) n
+           ON n.o_custkey = c.o_custkey AND n.code = p.code AND n.yr = y.yr"""
+
+
+def cube_documents(spark, sf_dir):
+    """One cube document per customer: orders by priority and year.
+
+    A document with less than half of its cells is written in object form (sparse values,
+    member index as an object in reverse order), the others in list form.  Counting comes
+    first, so a document gathers at most one entry per cell.
+    """
+    counts = (
+        T.table(spark, sf_dir, "orders")
+        .groupBy("o_custkey", F.substring("o_orderpriority", 1, 1).cast("int").alias("p"),
+                 F.year("o_orderdate").alias("y"))
+        .agg(F.count("*").cast("string").alias("n"))
+    )
+    width, height = len(YEARS), len(PRIORITIES)
+    position = (F.col("p") - 1) * width + F.col("y") - YEARS[0]
+    cells = counts.groupBy("o_custkey").agg(
+        F.map_from_entries(F.collect_list(F.struct(position.cast("int").alias("position"), "n"))).alias("cells")
+    )
+    sparse = F.size("cells") * 2 < width * height
+    code, key = F.format_string("%010d", "o_custkey"), F.col("o_custkey").cast("string")
+    names = {label[0]: label[2:] for label in PRIORITIES}
+
+    def quoted(values, separator=","):
+        return separator.join(f'"{value}"' for value in values)
+
+    def members(index_list, index_object, labels):
+        index = F.when(sparse, F.lit(index_object)).otherwise(F.lit(index_list))
+        return F.concat(F.lit('{"category":{"index":'), index, F.lit(f',"label":{labels}}}}}'))
+
+    def objects(items):
+        return "{" + ",".join(f'"{k}":{v}' for k, v in items) + "}"
+
+    fuels, years = list(names), [str(y) for y in YEARS]
+    fuel = members(f"[{quoted(fuels)}]", objects(reversed(list(zip(fuels, range(height))))),
+                   objects((k, f'"{v}"') for k, v in names.items()))
+    year = members(f"[{quoted(years)}]", objects(reversed(list(zip(years, range(width))))),
+                   objects((y, f'"{y}"') for y in years))
+    region = F.concat(F.lit('{"category":{"index":["'), code, F.lit('"],"label":{"'), code,
+                      F.lit('":"Customer '), key, F.lit('"}}}'))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(width * height - 1)), lambda i: F.col("cells")[i].cast("int"))
+    as_object = F.to_json(F.col("cells").cast("map<string, int>"))
+    value = F.when(sparse, as_object).otherwise(F.to_json(dense))
+    document = F.concat(
+        F.lit(f'{{"id":[{quoted(DIMENSIONS)}],"size":[1,{height},1,{width}],"dimension":{{"Region":'), region,
+        F.lit(',"Drivmedel":'), fuel,
+        F.lit(',"ContentsCode":{"category":{"index":["ORDERS"],"label":{"ORDERS":"orders"}}},"Tid":'), year,
+        F.lit('},"value":'), value, F.lit("}"),
+    )
+    return cells.select(F.concat(F.lit("cube_"), key, F.lit(".json")).alias("_source_file"), document.alias("text"))
+
+
+@query("cube_roundtrip", CUBE_SQL)
+def cube_roundtrip(spark, sf_dir):
+    return cube.flatten(cube_documents(spark, sf_dir), DIMENSIONS, ("Region", "Drivmedel"), text="text", chunk_cells=8)
+
+
+@query("cube_sizes", """
+SELECT DISTINCT 'cube_' || o_custkey || '.json' AS _source_file, CAST(35 AS BIGINT) AS declared_cells,
+       CAST(35 AS BIGINT) AS actual_cells, true AS matches
+FROM orders""")
+def cube_sizes(spark, sf_dir):
+    """Declared cells against flattened rows, per document."""
+    documents = cube_documents(spark, sf_dir)
+    rows = cube.flatten(documents, DIMENSIONS, text="text")
+    report = cube.size_report(cube.declared_cells(documents, "text"), rows)
+    return report.withColumn("matches", ~declared_size("cube", "declared", report).bad)
+
+
+def land_events(spark, sf_dir):
+    """Events as landed price files: folders per type and year, one period per line."""
+    root = f"{shared_folder(spark)}/landing/{uuid.uuid4().hex}"
+    T.table(spark, sf_dir, "events").select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+01:00'").alias("time_start"),
+        F.col("value").alias("SEK_per_kWh"),
+        F.col("event_type").alias("elomrade"),
+        F.year("ts").alias("ar"),
+    ).write.partitionBy("elomrade", "ar").json(root)
+    return root
+
+
+@query("landed_prices", """
+SELECT event_type AS elomrade, count(*) AS row_count, round(sum(value), 2) AS total,
+       strftime(min(ts), '%Y-%m-%dT%H:%M:%S.%f') || '+01:00' AS earliest, count(DISTINCT year(ts)) AS folders,
+       CAST(0 AS BIGINT) AS with_rate
+FROM events GROUP BY 1""")
+def landed_prices(spark, sf_dir):
+    """All events through the price reader: text columns, folder columns and file lineage."""
+    prices = landing.read_prices(spark, land_events(spark, sf_dir), whole_files=False)
+    folder = F.substring_index("source_file", "/", 2)
+    return prices.groupBy("elomrade").agg(
+        F.count("*").alias("row_count"), F.round(F.sum(F.col("SEK_per_kWh").try_cast("double")), 2).alias("total"),
+        F.min("time_start").alias("earliest"), F.countDistinct(folder).alias("folders"),
+        F.count("EXR").alias("with_rate"),
+    )

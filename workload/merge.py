@@ -1 +1,99 @@
-"""placeholder"""
+"""Upsert and incremental loads over the driver's tables.
+
+The stored state is the orders placed up to mid-1998, summed per customer and year; the
+source is a reload of everything from 1997 on.  1995 and 1996 are only stored (kept), 1997 is
+the same on both sides (unchanged), 1998 is changed where orders followed in its second half,
+and later years are new.
+"""
+
+from pyspark.sql import functions as F
+
+from tierwell.operators import upsert as U
+from tierwell.sources import manifest
+from workload import tables as T
+from workload.registry import query
+
+KEYS = ["o_custkey", "year"]
+
+SIDE_SQL = """
+    SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders,
+           CAST(max(o_orderdate) FILTER (o_orderpriority = '1-URGENT') AS DATE) AS last_urgent
+    FROM orders WHERE {filter} GROUP BY 1, 2"""
+
+MERGED_SQL = f"""
+    SELECT coalesce(s.o_custkey, t.o_custkey) AS o_custkey, coalesce(s.year, t.year) AS year,
+           CASE WHEN s.o_custkey IS NULL THEN t.orders ELSE s.orders END AS orders,
+           CASE WHEN s.o_custkey IS NULL THEN t.last_urgent ELSE s.last_urgent END AS last_urgent,
+           CASE WHEN s.o_custkey IS NULL THEN 'kept' WHEN t.o_custkey IS NULL THEN 'inserted'
+                WHEN s.orders IS DISTINCT FROM t.orders OR s.last_urgent IS DISTINCT FROM t.last_urgent
+                THEN 'updated' ELSE 'unchanged' END AS action
+    FROM ({SIDE_SQL.format(filter="o_orderdate >= DATE '1997-01-01'")}) s
+    FULL JOIN ({SIDE_SQL.format(filter="o_orderdate < DATE '1998-07-01'")}) t
+         ON s.o_custkey = t.o_custkey AND s.year = t.year"""
+
+
+def yearly_state(orders):
+    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderdate").cast("date"))
+    return orders.groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(
+        F.count("*").alias("orders"), F.max(urgent).alias("last_urgent")
+    )
+
+
+def sides(spark, sf_dir):
+    orders = T.table(spark, sf_dir, "orders")
+    date = F.col("o_orderdate")
+    target = yearly_state(orders.where(date < F.lit("1998-07-01").cast("timestamp_ntz")))
+    source = yearly_state(orders.where(date >= F.lit("1997-01-01").cast("timestamp_ntz")))
+    return target, source
+
+
+@query("upsert_result", f"SELECT o_custkey, year, orders, last_urgent FROM ({MERGED_SQL})")
+def upsert_result(spark, sf_dir):
+    target, source = sides(spark, sf_dir)
+    return U.upsert(target, source, KEYS)
+
+
+@query("upsert_changes", f"SELECT * FROM ({MERGED_SQL}) WHERE action IN ('inserted', 'updated')")
+def upsert_changes(spark, sf_dir):
+    """The rows a merge would write."""
+    target, source = sides(spark, sf_dir)
+    labelled = U.label_changes(target, source, KEYS)
+    return labelled.where(F.col(U.ACTION) != U.UNCHANGED).withColumnRenamed(U.ACTION, "action")
+
+
+@query("upsert_metrics", f"SELECT action, count(*) AS row_count FROM ({MERGED_SQL}) GROUP BY 1")
+def upsert_metrics(spark, sf_dir):
+    target, source = sides(spark, sf_dir)
+    return U.action_counts(U.merge_rows(target, source, KEYS))
+
+
+@query("upsert_twice", f"SELECT 'unchanged' AS action, count(*) AS row_count FROM ({MERGED_SQL}) WHERE action <> 'kept'"
+       f" UNION ALL SELECT 'kept', count(*) FROM ({MERGED_SQL}) WHERE action = 'kept'")
+def upsert_twice(spark, sf_dir):
+    """Merging the same source again changes nothing."""
+    target, source = sides(spark, sf_dir)
+    return U.action_counts(U.merge_rows(U.upsert(target, source, KEYS), source, KEYS))
+
+
+LOADED_FILES_SQL = """
+    SELECT o_custkey || '_' || strftime(o_orderdate, '%YM%m') || '.json' AS source_file,
+           max(o_orderdate) AS modified_at
+    FROM orders WHERE o_orderdate < DATE '1998-07-15' GROUP BY 1"""
+
+
+@query("incremental_new_files", f"""
+SELECT o_custkey || '_' || strftime(o_orderdate, '%YM%m') || '.json' AS source_file, max(o_orderdate) AS modified_at
+FROM orders GROUP BY 1
+EXCEPT SELECT source_file, modified_at FROM ({LOADED_FILES_SQL})""")
+def incremental_new_files(spark, sf_dir):
+    """A customer's month is a landed file, its last order the time it was modified: files that are
+    new, or were landed again after the last load, are still to be read."""
+    date = F.col("o_orderdate")
+    name = F.concat_ws("_", F.col("o_custkey").cast("string"), F.date_format(date, "yyyy'M'MM'.json'"))
+    orders = T.table(spark, sf_dir, "orders").select(name.alias("source_file"), date.alias("modified_at"))
+
+    def files(rows):
+        return rows.groupBy("source_file").agg(F.max("modified_at").alias("modified_at"))
+
+    loaded = files(orders.where(F.col("modified_at") < F.lit("1998-07-15").cast("timestamp_ntz")))
+    return manifest.unseen(files(orders), loaded)
