@@ -72,5 +72,13 @@ MAX_MONTHS_BEHIND = 4
 MAX_YEARS_BEHIND = 2
 MAX_DAYS_BEHIND = 3
 
+# --- fixed values: statistics tables, their target table and their dimensions --
+CUBE_TABLES = {
+    "scb_new_registrations": ("TAB3277", ("Region", "Drivmedel", "ContentsCode", "Tid")),
+    "scb_cars_in_traffic": ("TAB3276", ("Region", "Agarkategori", "ContentsCode", "Tid")),
+}
+PRICE_TABLE = "electricity_prices"
+PRICE_FOLDER = "elpris"
+
 # --- fixed values: cube dimensions that carry a label next to the code --------
 LABELLED_DIMENSIONS = ("Region", "Drivmedel", "Agarkategori")

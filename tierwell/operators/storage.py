@@ -62,7 +62,7 @@ def point_to(spark: SparkSession, table: str, df: DataFrame, path: str, stored_b
         partitioned = f"PARTITIONED BY (`{stored_by}`)" if stored_by else ""
         spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} LOCATION '{path}'")
     spark.catalog.refreshTable(table)
-    if stored_by and spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive":
+    if stored_by:
         spark.catalog.recoverPartitions(table)
 
 
@@ -83,9 +83,8 @@ def merge(source: DataFrame, config: RunConfig, layer: str, name: str, keys, sto
     """Upsert a checked, deduplicated frame into a stored table.
 
     The changed rows are written to the shared folder first.  Without any, nothing is
-    rewritten.  A table stored by a key column has only the affected partitions replaced
-    (Spark writes them aside and swaps them in when the job commits); any other table gets a
-    new version.
+    rewritten.  A table stored by a key column gets new versions of the affected partitions
+    only; any other table gets a new version as a whole.
     """
     spark, table = source.sparkSession, config.table(layer, name)
     if not exists(spark, table):
@@ -101,27 +100,30 @@ def merge(source: DataFrame, config: RunConfig, layer: str, name: str, keys, sto
     changes = stage(labelled.where(action != U.UNCHANGED).drop(U.ACTION), config, f"changes_{layer}_{name}")
     counts = seen.get
     if counts[U.INSERTED] + counts[U.UPDATED]:
+        path = config.path(layer, name)
         if stored_by is None:
-            path = config.path(layer, name)
             write_parquet(U.apply_changes(target, changes, keys), path)
             point_to(spark, table, target, path)
         else:
-            _replace_partitions(spark, table, target, changes, keys, stored_by)
+            _replace_partitions(spark, table, target, changes, keys, stored_by, path)
     return MergeResult(counts[U.INSERTED], counts[U.UPDATED], counts[U.UNCHANGED], spark.table(table).count())
 
 
-def _replace_partitions(spark, table, target, changes, keys, stored_by) -> None:
+def _replace_partitions(spark, table, target, changes, keys, stored_by, path) -> None:
     """The key holds the partition column, so a change never moves a row between partitions.
 
     The affected values are a scalar subquery: it prunes the scan to those partitions at run
-    time and is no longer than the list of partitions.
+    time.  They are at most as many as the table has partitions, as is the list of partitions
+    that are then pointed at their new folder.
     """
     if stored_by not in keys:
         raise ValueError(f"{table} is stored by {stored_by}, which is not part of its key")
     affected = changes.agg(F.collect_set(stored_by)).scalar()
-    merged = U.apply_changes(target.where(F.array_contains(affected, F.col(stored_by))), changes, keys)
-    (
-        _stored_order(merged, stored_by).hint("rebalance", stored_by)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
-    )
+    before = target.where(F.array_contains(affected, F.col(stored_by)))
+    write_parquet(U.apply_changes(before, changes, keys), path, stored_by)
+    for (value,) in changes.select(stored_by).distinct().collect():
+        partition = f"PARTITION (`{stored_by}` = '{value}')"
+        location = f"LOCATION '{path}/{stored_by}={value}'"
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition} {location}")
+        spark.sql(f"ALTER TABLE {table} {partition} SET {location}")
     spark.catalog.refreshTable(table)

@@ -69,6 +69,19 @@ def parse(documents: DataFrame, text: str = "value", schema: str = DOCUMENT) ->
     return documents.select(*kept, F.from_json(text, schema, STRICT).alias("doc"))
 
 
+def members(documents: DataFrame, dimension: str, text: str = "value") -> DataFrame:
+    """Codes of one dimension, as listed in metadata or data documents; ``Tid`` gives the published periods."""
+    index = F.col("doc.dimension")[dimension]["category"]["index"]
+    return parse(documents, text).select(F.explode(member_codes(index)).alias("code")).distinct()
+
+
+def unexpected_dimensions(documents: DataFrame, dimensions, text: str = "value") -> DataFrame:
+    """Documents whose dimensions are not exactly the given ones, in any order."""
+    wanted = F.array(*[F.lit(name) for name in sorted(dimensions)])
+    parsed = parse(documents, text, "id array<string>").withColumn("dimensions", F.array_sort("doc.id"))
+    return parsed.where(S.differs(F.col("dimensions"), wanted)).drop("doc")
+
+
 def declared_cells(documents: DataFrame, text: str = "value") -> DataFrame:
     """Per document: the number of cells its sizes declare."""
     parsed = parse(documents, text, "size array<int>")
@@ -112,6 +125,7 @@ def flatten(documents: DataFrame, dimensions, labelled=(), text: str = "value",
     looked up by name, so the order inside a document is free.
     """
     lineage = [c for c in documents.columns if c != text]
+    labelled = [name for name in dimensions if name in labelled]
     chunks = _vector_chunks(parse(documents, text), chunk_cells).hint("rebalance", *lineage, "start")
 
     axes = chunks

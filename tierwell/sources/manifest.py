@@ -14,12 +14,19 @@ def unseen(landed: DataFrame, known: DataFrame) -> DataFrame:
     return landed.join(known.select(*KEY), KEY, "left_anti")
 
 
-def window_of(landed: DataFrame, fresh: DataFrame):
-    """(oldest fresh modification time, fresh files, landed files at least that recent).
+def read_window(landed: DataFrame, fresh: DataFrame):
+    """((oldest, newest) modification time of the fresh files, whether that interval holds other files too).
 
-    Three scalars however many files there are; the first is None when nothing is new.
+    Four scalars, however many files there are; the interval is None when nothing is new.  In the
+    usual run every new file is newer than every loaded one, and the interval alone selects them.
     """
-    oldest, count = fresh.agg(F.min("modified_at"), F.count("*")).first()
-    if oldest is None:
-        return None, 0, 0
-    return oldest, count, landed.where(F.col("modified_at") >= F.lit(oldest)).count()
+    oldest, newest, count = fresh.agg(F.min("modified_at"), F.max("modified_at"), F.count("*")).first()
+    if not count:
+        return None, False
+    inside = landed.where(F.col("modified_at").between(F.lit(oldest), F.lit(newest))).count()
+    return (oldest, newest), inside != count
+
+
+def only(rows: DataFrame, fresh: DataFrame, mixed: bool) -> DataFrame:
+    """Rows of fresh files; joins with the file list only when the interval is mixed."""
+    return rows.join(fresh.select(*KEY), KEY, "left_semi") if mixed else rows
