@@ -36,6 +36,16 @@ def scalar(df: DataFrame, expression) -> F.Column:
     return df.agg(expression).scalar()
 
 
+def distinct_array(df: DataFrame, column: str) -> F.Column:
+    """The distinct values of a column as one sorted array, as a scalar subquery.
+
+    For members of a calendar or a code list.  Distinct runs as a shuffled hash aggregate first,
+    so the task that gathers the array sees every value once, not once per map task.
+    """
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    return values.agg(F.array_sort(F.collect_list(column))).scalar()
+
+
 def missing_members(present: DataFrame, expected: DataFrame, keys, member: str, wanted) -> DataFrame:
     """(keys, member) that should exist but do not.
 

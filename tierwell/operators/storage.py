@@ -7,10 +7,11 @@ executor or a failed write leaves the old version in place.
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierwell.config import RunConfig, shared_folder
 from tierwell.operators import upsert as U
+from tierwell.operators.joins import distinct_array
 
 
 @dataclass(frozen=True)
@@ -92,21 +93,19 @@ def merge(source: DataFrame, config: RunConfig, layer: str, name: str, keys, sto
         return MergeResult(total, 0, 0, total)
 
     target = spark.table(table).select(*source.columns)
-    seen = Observation(f"merge {name}")
-    action = F.col(U.ACTION)
-    labelled = U.label_changes(target, source, keys).observe(
-        seen, *[F.count_if(action == kind).alias(kind) for kind in (U.INSERTED, U.UPDATED, U.UNCHANGED)]
-    )
-    changes = stage(labelled.where(action != U.UNCHANGED).drop(U.ACTION), config, f"changes_{layer}_{name}")
-    counts = seen.get
-    if counts[U.INSERTED] + counts[U.UPDATED]:
+    labelled = U.label_changes(target, source, keys).where(F.col(U.ACTION) != U.UNCHANGED)
+    staged = stage(labelled, config, f"changes_{layer}_{name}")
+    counts = dict(U.action_counts(staged).collect())
+    inserted, updated = counts.get(U.INSERTED, 0), counts.get(U.UPDATED, 0)
+    if inserted + updated:
+        changes = staged.drop(U.ACTION)
         path = config.path(layer, name)
         if stored_by is None:
             write_parquet(U.apply_changes(target, changes, keys), path)
             point_to(spark, table, target, path)
         else:
             _replace_partitions(spark, table, target, changes, keys, stored_by, path)
-    return MergeResult(counts[U.INSERTED], counts[U.UPDATED], counts[U.UNCHANGED], spark.table(table).count())
+    return MergeResult(inserted, updated, source.count() - inserted - updated, spark.table(table).count())
 
 
 def _replace_partitions(spark, table, target, changes, keys, stored_by, path) -> None:
@@ -118,7 +117,7 @@ def _replace_partitions(spark, table, target, changes, keys, stored_by, path) ->
     """
     if stored_by not in keys:
         raise ValueError(f"{table} is stored by {stored_by}, which is not part of its key")
-    affected = changes.agg(F.collect_set(stored_by)).scalar()
+    affected = distinct_array(changes, stored_by)
     before = target.where(F.array_contains(affected, F.col(stored_by)))
     write_parquet(U.apply_changes(before, changes, keys), path, stored_by)
     for (value,) in changes.select(stored_by).distinct().collect():

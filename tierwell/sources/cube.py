@@ -142,14 +142,14 @@ def flatten(documents: DataFrame, dimensions, labelled=(), text: str = "value",
     for name in labelled:
         axes = axes.withColumn(f"_labels_{name}", _labels_of(F.col(f"_codes_{name}"), F.col(f"_labels_{name}")))
 
-    def cell(value: Column, offset: Column) -> Column:
-        position = F.col("start") + offset
-        fields = []
-        for name in dimensions:
-            member = F.floor(position / F.col(f"_stride_{name}")).cast("int") % F.col(f"_size_{name}")
-            fields.append(F.get(F.col(f"_codes_{name}"), member).alias(name))
-            if name in labelled:
-                fields.append(F.get(F.col(f"_labels_{name}"), member).alias(f"{name}_label"))
-        return F.struct(*fields, value.alias("value"))
-
-    return axes.select(*lineage, F.inline(F.transform("cells", cell)))
+    # Exploding and picking members compile to one generated loop, so the member arrays are read
+    # from the chunk's row and not copied to every cell.
+    cells = axes.select("*", F.posexplode("cells").alias("_offset", "value"))
+    position = F.col("start") + F.col("_offset")
+    picked = []
+    for name in dimensions:
+        member = (F.floor(position / F.col(f"_stride_{name}")) % F.col(f"_size_{name}")).cast("int")
+        picked.append(F.get(f"_codes_{name}", member).alias(name))
+        if name in labelled:
+            picked.append(F.get(f"_labels_{name}", member).alias(f"{name}_label"))
+    return cells.select(*lineage, *picked, "value")

@@ -1,0 +1,6 @@
+"""Empty on purpose: nothing this package covers is a stream.
+
+Late and corrected data is handled in batch: a file that lands again is a new version
+(``tierwell.sources.manifest``) and the newest version of a key wins (``tierwell.operators.dedup``).
+A file stream would not do: it does not pick up a file that lands again under a known name.
+"""

@@ -76,12 +76,12 @@ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus = s.o_orderstatus
 def missing_cells(spark, sf_dir):
     """The cells an incomplete grid lacks; only those are ever emitted."""
     days = order_days(spark, sf_dir)
-    priorities = days.agg(F.array_sort(F.collect_set("o_orderpriority"))).scalar()
-    all_days = days.agg(F.array_sort(F.collect_set("day"))).scalar()
+    priorities = joins.distinct_array(days, "o_orderpriority")
     pairs = days.select("o_orderstatus").distinct().select(
         "o_orderstatus", F.explode(priorities).alias("o_orderpriority")
     )
-    return joins.missing_members(days, pairs, ["o_orderstatus", "o_orderpriority"], "day", all_days)
+    keys = ["o_orderstatus", "o_orderpriority"]
+    return joins.missing_members(days, pairs, keys, "day", joins.distinct_array(days, "day"))
 
 
 @query("calendar_gaps", f"""

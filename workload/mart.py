@@ -124,7 +124,11 @@ def candidates(spark, sf_dir):
     cars = F.sum(F.when(F.col("year") == year, F.col("registration_count"))).alias("cars")
     per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(*sums, cars)
 
-    segment = F.col("c_mktsegment")
+    def cars_of(segment):
+        """NULL for a nation without any cars in the year, 0 when only the segment has none."""
+        wanted = (F.col("c_mktsegment") == segment) & F.col("cars").isNotNull()
+        return F.when(F.max("cars").isNotNull(), aggregates.sum_where("cars", wanted))
+
     per_nation = (
         T.table(spark, sf_dir, "customer")
         .select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -133,8 +137,8 @@ def candidates(spark, sf_dir):
         .agg(
             *[F.sum(name).alias(name) for name in trailing.REGISTRATION_SUMS],
             F.sum("cars").alias("cars_total"),
-            aggregates.sum_where(F.coalesce("cars", F.lit(0)), segment == T.LEGAL_ENTITY).alias("cars_legal_entities"),
-            aggregates.sum_where(F.coalesce("cars", F.lit(0)), segment == T.TAXI).alias("cars_taxi"),
+            cars_of(T.LEGAL_ENTITY).alias("cars_legal_entities"),
+            cars_of(T.TAXI).alias("cars_taxi"),
             F.count("*").alias("customers"),
         )
         .withColumn("per_1000", F.round(S.ratio(F.col("cars_total") * 1000, "customers")).cast("int"))
