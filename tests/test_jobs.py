@@ -111,6 +111,22 @@ def test_relanded_file_is_a_new_version_and_wins(spark, done):
     assert rewritten and all("2022-09-01" in name for name in rewritten)
 
 
+def test_touched_periods_give_the_same_tables(spark, done):
+    folder, c, _, _, _ = done
+    idle = silver.run(spark, again(c), only_touched=True)
+    assert {(m.inserted, m.updated) for m in idle.values()} == {(0, 0)}
+    assert idle["new_registrations"].unchanged == 0  # no period was looked at
+    write(folder / "landing" / "TAB3277" / "TAB3277_2022M08.json", registrations("2022M08", change=("0350", "140", 888)))
+    write_price(folder / "landing", "SE2", datetime.date(2022, 11, 4), price=2.0)
+    bronze.run(spark, again(c))
+    merged = silver.run(spark, again(c), only_touched=True)
+    assert (merged["new_registrations"].updated, merged["new_registrations"].unchanged) == (1, C.MUNICIPALITY_COUNT * 8 - 1)
+    assert (merged["electricity_prices_daily"].updated, merged["electricity_prices_daily"].unchanged) == (1, 3)
+    assert merged["cars_in_traffic"].unchanged == 0
+    everything = silver.run(spark, again(c))
+    assert {(m.inserted, m.updated) for m in everything.values()} == {(0, 0)}
+
+
 def test_failed_check_leaves_silver_as_it_was_and_is_logged(spark, tmp_path):
     c = config(tmp_path, "broken_")
     land(tmp_path / "landing", AS_OF)

@@ -8,7 +8,7 @@ shuffles (with skew splitting) once it has outgrown that.
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def seed_frame(spark, pairs, key: str, value: str) -> DataFrame:
@@ -31,12 +31,7 @@ def orphan_keys(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct().join(dimension.select(key), key, "left_anti")
 
 
-def scalar(df: DataFrame, expression) -> F.Column:
-    """An uncorrelated scalar subquery: ``scalar(facts, F.max("year"))``.  Identical ones run once."""
-    return df.agg(expression).scalar()
-
-
-def distinct_array(df: DataFrame, column: str) -> F.Column:
+def distinct_array(df: DataFrame, column: str) -> Column:
     """The distinct values of a column as one sorted array, as a scalar subquery.
 
     For members of a calendar or a code list.  Distinct runs as a shuffled hash aggregate first,

@@ -47,9 +47,19 @@ def write_parquet(df: DataFrame, path: str, stored_by: str | None = None) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def _stage_folder(spark: SparkSession, config: RunConfig) -> str:
+    return f"{shared_folder(spark)}/stage/{config.version}"
+
+
 def stage(df: DataFrame, config: RunConfig, name: str) -> DataFrame:
     """A stored copy in the shared folder: checks and writes then see the same rows."""
-    return write_parquet(df, f"{shared_folder(df.sparkSession)}/stage/{config.version}/{name}")
+    return write_parquet(df, f"{_stage_folder(df.sparkSession, config)}/{name}")
+
+
+def drop_stage(spark: SparkSession, config: RunConfig) -> None:
+    """Remove this run's stored copies, once everything that reads them is written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_stage_folder(spark, config))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def point_to(spark: SparkSession, table: str, df: DataFrame, path: str, stored_by: str | None = None) -> None:
@@ -93,7 +103,7 @@ def merge(source: DataFrame, config: RunConfig, layer: str, name: str, keys, sto
         return MergeResult(total, 0, 0, total)
 
     target = spark.table(table).select(*source.columns)
-    labelled = U.label_changes(target, source, keys).where(F.col(U.ACTION) != U.UNCHANGED)
+    labelled = U.label_changes(_only_partitions(target, source, stored_by), source, keys).where(F.col(U.ACTION) != U.UNCHANGED)
     staged = stage(labelled, config, f"changes_{layer}_{name}")
     counts = dict(U.action_counts(staged).collect())
     inserted, updated = counts.get(U.INSERTED, 0), counts.get(U.UPDATED, 0)
@@ -108,18 +118,26 @@ def merge(source: DataFrame, config: RunConfig, layer: str, name: str, keys, sto
     return MergeResult(inserted, updated, source.count() - inserted - updated, spark.table(table).count())
 
 
+def _only_partitions(target: DataFrame, rows: DataFrame, stored_by: str | None) -> DataFrame:
+    """The part of a partitioned table that can match ``rows``.
+
+    Their partition values are a scalar subquery, at most as long as the list of partitions;
+    Spark evaluates it first and reads only those partitions.
+    """
+    if stored_by is None:
+        return target
+    return target.where(F.array_contains(distinct_array(rows, stored_by), F.col(stored_by)))
+
+
 def _replace_partitions(spark, table, target, changes, keys, stored_by, path) -> None:
     """The key holds the partition column, so a change never moves a row between partitions.
 
-    The affected values are a scalar subquery: it prunes the scan to those partitions at run
-    time.  They are at most as many as the table has partitions, as is the list of partitions
-    that are then pointed at their new folder.
+    The list of partitions that are pointed at their new folder is at most as long as the
+    table's list of partitions.
     """
     if stored_by not in keys:
         raise ValueError(f"{table} is stored by {stored_by}, which is not part of its key")
-    affected = distinct_array(changes, stored_by)
-    before = target.where(F.array_contains(affected, F.col(stored_by)))
-    write_parquet(U.apply_changes(before, changes, keys), path, stored_by)
+    write_parquet(U.apply_changes(_only_partitions(target, changes, stored_by), changes, keys), path, stored_by)
     for (value,) in changes.select(stored_by).distinct().collect():
         partition = f"PARTITION (`{stored_by}` = '{value}')"
         location = f"LOCATION '{path}/{stored_by}={value}'"

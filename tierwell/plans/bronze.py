@@ -38,7 +38,6 @@ def _append(config: RunConfig, name: str, rows: DataFrame, fresh: DataFrame) ->
 def _load_new(spark, config: RunConfig, name: str, landed: DataFrame,
               read: Callable[[tuple], DataFrame], finish: Callable[[DataFrame], DataFrame]) -> int:
     """Read, finish and append the files that are new.  Returns their number, 0 when there are none."""
-    landed = storage.stage(landed, config, f"landed_{name}")
     fresh = _fresh_files(spark, config, name, landed)
     between, mixed = manifest.read_window(landed, fresh)
     if between is None:
@@ -48,6 +47,11 @@ def _load_new(spark, config: RunConfig, name: str, landed: DataFrame,
     return _append(config, name, finish(manifest.only(read(between), fresh, mixed)), fresh)
 
 
+def _listing(spark, config: RunConfig, name: str, root: str, folders: int = 0) -> DataFrame:
+    """The landed files, listed once per run."""
+    return storage.stage(landing.landed_files(spark, root, folders), config, f"landed_{name}")
+
+
 def _checks(spark, config: RunConfig) -> quality.QualityChecks:
     for layer in ("bronze", "ops"):
         storage.create_schema(spark, config.schema(layer))
@@ -74,7 +78,7 @@ def load_cube(spark: SparkSession, config: RunConfig, name: str) -> int:
         return rows.select(*columns, F.lit(table_id).alias("_source_table"), "_source_file")
 
     return _load_new(
-        spark, config, name, landing.landed_files(spark, root),
+        spark, config, name, _listing(spark, config, name, root),
         lambda between: landing.read_documents(spark, root, between), flatten_and_check,
     )
 
@@ -94,7 +98,7 @@ def load_prices(spark: SparkSession, config: RunConfig) -> int:
     """New price files, after making sure that no past day is missing."""
     root = f"{config.landing}/{C.PRICE_FOLDER}"
     checks = _checks(spark, config)
-    landed = landing.landed_files(spark, root, len(landing.PRICE_FOLDERS))
+    landed = _listing(spark, config, C.PRICE_TABLE, root, len(landing.PRICE_FOLDERS))
     checks.add(quality.calendar_complete(C.PRICE_TABLE, "no past day without a file", price_gaps(spark, config, landed)))
     checks.enforce("before append", "Nothing was appended.")
     return _load_new(
@@ -129,4 +133,6 @@ def cube_worklist(spark: SparkSession, config: RunConfig, name: str, metadata: D
 def run(spark: SparkSession, config: RunConfig) -> dict[str, int]:
     """Load everything that is new; the number of files per table."""
     loaded = {name: load_cube(spark, config, name) for name in C.CUBE_TABLES}
-    return loaded | {C.PRICE_TABLE: load_prices(spark, config)}
+    loaded[C.PRICE_TABLE] = load_prices(spark, config)
+    storage.drop_stage(spark, config)
+    return loaded

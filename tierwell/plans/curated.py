@@ -154,6 +154,16 @@ def electricity_prices_daily(bronze: DataFrame) -> DataFrame:
     return daily_profile(prices, "price_area", "price_date", "sek_per_kwh")
 
 
+def build_facts(registrations: DataFrame, cars: DataFrame, cars_and_rates: DataFrame,
+                prices: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "new_registrations": new_registrations(registrations),
+        "cars_in_traffic": cars_in_traffic(cars, C.OWNERSHIP_COUNTS),
+        "inhabitants": inhabitants(cars_and_rates, C.OWNERSHIP_TOTAL, C.OWNERSHIP_CARS_PER_1000),
+        "electricity_prices_daily": electricity_prices_daily(prices),
+    }
+
+
 def build_all(registrations: DataFrame, cars: DataFrame, prices: DataFrame) -> dict[str, DataFrame]:
     """All seven curated tables, lazily, with the fixed values of the domain."""
     labels = latest_labels(registrations, "Region", "Region_label")
@@ -162,8 +172,4 @@ def build_all(registrations: DataFrame, cars: DataFrame, prices: DataFrame) -> d
         "municipality": municipality(labels, areas, C.SPLIT_COUNTIES),
         "fuel_type": fuel_type(registrations, C.ELECTRIFIED_FUELS),
         "ownership_category": ownership_category(cars, C.OWNERSHIP_COUNTS),
-        "new_registrations": new_registrations(registrations),
-        "cars_in_traffic": cars_in_traffic(cars, C.OWNERSHIP_COUNTS),
-        "inhabitants": inhabitants(cars, C.OWNERSHIP_TOTAL, C.OWNERSHIP_CARS_PER_1000),
-        "electricity_prices_daily": electricity_prices_daily(prices),
-    }
+    } | build_facts(registrations, cars, cars, prices)

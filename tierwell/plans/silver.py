@@ -57,26 +57,71 @@ def checks_before_write(t: dict[str, DataFrame], bronze_cars: DataFrame) -> list
     ]
 
 
-def run(spark: SparkSession, config: RunConfig) -> dict[str, storage.MergeResult]:
+# Curated fact -> (bronze table, the SQL expression that tells its periods apart).
+_PERIODS = {
+    "new_registrations": ("scb_new_registrations", "Tid"),
+    "cars_in_traffic": ("scb_cars_in_traffic", "Tid"),
+    "inhabitants": ("scb_cars_in_traffic", "Tid"),
+    "electricity_prices_daily": (C.PRICE_TABLE, "substring(time_start, 1, 10)"),
+}
+
+
+def _touched(bronze: DataFrame, period: str, since) -> DataFrame:
+    """All loads of the periods that have a load newer than ``since``.
+
+    Each append has one load time, so the row-group statistics of ``_ingested_at`` lead Spark to
+    the new files, and only (period) values are shuffled.  Every load of a touched period is
+    kept: which one wins is for the deduplication to say.
+    """
+    loads = bronze.withColumn("_period", F.coalesce(F.expr(period), F.lit("")))
+    periods = loads.where(F.col("_ingested_at") > F.lit(since)).select("_period").distinct()
+    return loads.join(periods, "_period", "left_semi").drop("_period")
+
+
+def _merged_through(spark: SparkSession, config: RunConfig, bronze: dict) -> dict:
+    """Per bronze table, the load time up to which it has been merged; None before the first merge."""
+    done = config.table("ops", "merged_loads")
+    if not storage.exists(spark, done):
+        return dict.fromkeys(bronze)
+    newest = spark.table(done).groupBy("table_name").agg(F.max("merged_through")).collect()  # one row per table
+    return dict.fromkeys(bronze) | {name: through for name, through in newest}
+
+
+def run(spark: SparkSession, config: RunConfig, only_touched: bool = False) -> dict[str, storage.MergeResult]:
+    """Build, check and merge all tables.
+
+    By default every fact is rebuilt from all of bronze, and the checks see all of it.  With
+    ``only_touched`` the facts are rebuilt for the periods that were loaded since the last
+    merge; a merge never deletes, so the tables end up the same, but checks on facts (such as
+    the complete grid) then cover those periods only.  Dimensions always use all of bronze.
+    """
     for layer in (LAYER, "ops"):
         storage.create_schema(spark, config.schema(layer))
     checks = Q.QualityChecks(spark, config.results_table, config.run_id, LAYER)
-    registrations, cars, prices = (
-        spark.table(config.table("bronze", name)) for name in (*C.CUBE_TABLES, C.PRICE_TABLE)
-    )
+    bronze = {name: spark.table(config.table("bronze", name)) for name in (*C.CUBE_TABLES, C.PRICE_TABLE)}
+    through = {name: df.agg(F.max("_ingested_at")).first()[0] for name, df in bronze.items()}
+    frames = curated.build_all(*bronze.values())
+    if only_touched:
+        since = _merged_through(spark, config, bronze)
+        recent = {
+            fact: bronze[name] if since[name] is None else _touched(bronze[name], period, since[name])
+            for fact, (name, period) in _PERIODS.items()
+        }
+        frames |= curated.build_facts(*recent.values())
+
     # Stored once: the checks and the merge see the same rows, and nothing is computed twice.
-    built = {
-        name: storage.stage(df, config, f"{LAYER}_{name}")
-        for name, df in curated.build_all(registrations, cars, prices).items()
-    }
-    checks.add(*checks_before_write(built, cars))
+    built = {name: storage.stage(df, config, f"{LAYER}_{name}") for name, df in frames.items()}
+    checks.add(*checks_before_write(built, bronze["scb_cars_in_traffic"]))
     checks.enforce("before write", "Nothing was written; the tables are as the last good run left them.")
 
     results = {
         name: storage.merge(df, config, LAYER, name, curated.KEYS[name], curated.STORED_BY.get(name))
         for name, df in built.items()
     }
+    merged = spark.createDataFrame(list(through.items()), "table_name string, merged_through timestamp")
+    storage.append(merged, config.table("ops", "merged_loads"))
     for name, keys in curated.KEYS.items():
         checks.add(Q.unique_key(name, "stored keys are unique", spark.table(config.table(LAYER, name)), keys))
     checks.enforce("after write", "The tables were written and another writer has left them inconsistent.")
+    storage.drop_stage(spark, config)
     return results

@@ -82,7 +82,7 @@ def cube_documents(spark, sf_dir):
 
 @query("cube_roundtrip", CUBE_SQL)
 def cube_roundtrip(spark, sf_dir):
-    return cube.flatten(cube_documents(spark, sf_dir), DIMENSIONS, ("Region", "Drivmedel"), text="text", chunk_cells=8)
+    return cube.flatten(cube_documents(spark, sf_dir), DIMENSIONS, ("Region", "Drivmedel"), text="text", chunk_cells=20)
 
 
 @query("cube_sizes", """
