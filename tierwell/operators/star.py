@@ -65,8 +65,8 @@ def decision_columns(wide: DataFrame, through_month: Column, as_of_year: Column)
     )
 
 
-def decision_table(tables: dict, codes) -> DataFrame:
-    """One row per municipality.
+def decision_table(tables: dict, codes, price_days: int = 365) -> DataFrame:
+    """One row per municipality, from the star schema.
 
     Every measure is aggregated to its join key first, so the star join only ever meets
     frames with one row per key and the facts are shuffled once each, as partial sums.
@@ -82,7 +82,7 @@ def decision_table(tables: dict, codes) -> DataFrame:
         (tables["fact_inhabitants"].where(F.col("year") == year).select(key, "inhabitants_estimate"), key),
         (registration_measures(registrations, key, codes.FUEL_ELECTRIC, codes.FUEL_PLUG_IN), key),
         (trailing_price(tables["fact_electricity_price_daily"], "price_area", "price_date",
-                        "avg_sek_per_kwh"), "price_area"),
+                        "avg_sek_per_kwh", price_days), "price_area"),
     )
     return decision_columns(wide, month, year)
 

@@ -19,14 +19,15 @@ REGISTRATION_SUMS = (
 )
 
 
-def months_back(anchor: Column, months: int) -> Column:
-    return F.add_months(anchor, -months)
+def registration_windows(facts: DataFrame, month: str, span: int = 12) -> tuple[Column, Column]:
+    """(in the trailing span, in the trailing span or the one before it).
 
-
-def registration_windows(month, anchor: Column, span: int = 12) -> tuple[Column, Column]:
-    """(in the trailing span, in the trailing span or the one before it)."""
-    month = S.as_column(month)
-    return month > months_back(anchor, span), month > months_back(anchor, 2 * span)
+    The lower bounds are computed inside the subqueries, so a row only compares with a constant.
+    """
+    newest = F.max(month)
+    recent_from = facts.agg(F.add_months(newest, -span)).scalar()
+    both_from = facts.agg(F.add_months(newest, -2 * span)).scalar()
+    return F.col(month) > recent_from, F.col(month) > both_from
 
 
 def registration_sums(fuel: Column, count: Column, recent: Column, both: Column,
@@ -60,10 +61,10 @@ def registration_measures(facts: DataFrame, key: str, electric: str, plug_in: st
 
     Rows that can contribute to none of the sums are dropped before the aggregation.
     """
-    anchor = facts.agg(F.max(month)).scalar()
-    recent, both = registration_windows(month, anchor, span)
-    useful = facts.where(both | (F.col(fuel) == F.lit(electric)))
-    sums = registration_sums(F.col(fuel), F.col(count), recent, both, electric, plug_in)
+    recent, both = registration_windows(facts, month, span)
+    flagged = facts.select(key, fuel, count, recent.alias("_recent"), both.alias("_both"))
+    useful = flagged.where(F.col("_both") | (F.col(fuel) == F.lit(electric)))
+    sums = registration_sums(F.col(fuel), F.col(count), F.col("_recent"), F.col("_both"), electric, plug_in)
     return useful.groupBy(key).agg(*sums)
 
 
@@ -73,14 +74,15 @@ def add_up(df: DataFrame, key: str, columns) -> DataFrame:
 
 
 def trailing_price(daily: DataFrame, area: str, day: str, price: str, days: int = 365,
-                   anchor: Column | None = None) -> DataFrame:
+                   after: Column | None = None) -> DataFrame:
     """Mean and sample deviation, in hundredths, over the days up to the newest day of the whole table.
 
-    The anchor is global on purpose: an area that lags behind averages fewer days.  Pass it when
-    it can be read from a cheaper source than the daily table.
+    The window ends at the newest day of all areas on purpose: an area that lags behind averages
+    fewer days.  Pass ``after``, the last day before the window, when it can be read from a
+    cheaper source than the daily table.
     """
-    anchor = daily.agg(F.max(day)).scalar() if anchor is None else anchor
-    window = daily.where(F.col(day) > F.date_sub(anchor, days))
+    after = daily.agg(F.date_sub(F.max(day), days)).scalar() if after is None else after
+    window = daily.where(F.col(day) > after)
     return window.groupBy(area).agg(
         F.round(F.avg(price) * 100, 2).alias("avg_ore_per_kwh_12m"),
         F.round(F.stddev_samp(price) * 100, 2).alias("price_stddev_ore_12m"),

@@ -260,23 +260,16 @@ def scalar_functions(spark, sf_dir):
     )
 
 
-@query("star_facts", f"""
-SELECT 'fact_new_registrations' AS fact, count(*) AS row_count, CAST(sum(amount) AS BIGINT) AS total
-FROM ({REGISTRATION_BRONZE_SQL} QUALIFY row_number() OVER (
-    PARTITION BY region, month, fuel ORDER BY loaded DESC, amount DESC) = 1)
-WHERE region <> '0000000007'
-UNION ALL
-SELECT 'fact_cars_in_traffic', count(*), CAST(sum(vehicle_count) AS BIGINT) FROM ({STOCK_SQL})""")
-def star_facts(spark, sf_dir):
-    """The fact views, checked by their row counts and totals."""
-    registrations = star.star_view(fact_monthly(spark, sf_dir), "fact_new_registrations")
-    cars = star.star_view(stock_yearly(spark, sf_dir), "fact_cars_in_traffic")
-
-    def profile(name, df, value):
-        return df.agg(F.count("*").alias("row_count"), F.sum(value).alias("total")).select(
-            F.lit(name).alias("fact"), "row_count", "total"
-        )
-
-    return profile("fact_new_registrations", registrations, "registration_count").unionByName(
-        profile("fact_cars_in_traffic", cars, "vehicle_count")
-    )
+@query("star_dim_fuel_type", """
+SELECT DISTINCT substr(o_orderpriority, 1, 1) AS fuel_type_code, substr(o_orderpriority, 3) AS fuel_type_name,
+       substr(o_orderpriority, 1, 1) IN ('1', '2') AS is_electrified
+FROM orders""")
+def star_dim_fuel_type(spark, sf_dir):
+    return star.star_view(fuel_types(spark, sf_dir), "dim_fuel_type")
+
+
+@query("star_dim_ownership_category", """
+SELECT DISTINCT o_orderstatus AS ownership_category_code, 'status ' || o_orderstatus AS ownership_category_name
+FROM orders WHERE o_orderstatus IN ('F', 'O')""")
+def star_dim_ownership_category(spark, sf_dir):
+    return star.star_view(ownership_categories(spark, sf_dir), "dim_ownership_category")

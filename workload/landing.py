@@ -123,3 +123,22 @@ def landed_prices(spark, sf_dir):
         F.min("time_start").alias("earliest"), F.countDistinct(folder).alias("folders"),
         F.count("EXR").alias("with_rate"),
     )
+
+
+@query("landed_files", """
+SELECT DISTINCT event_type AS price_area, CAST(year(ts) AS VARCHAR) AS folder_year FROM events""")
+def landed_files(spark, sf_dir):
+    """The folders that hold landed event files, from the listing alone."""
+    listing = landing.landed_files(spark, land_events(spark, sf_dir), 2)
+    parts = F.split("source_file", "[=/]")
+    return listing.select(parts[1].alias("price_area"), parts[3].alias("folder_year")).distinct()
+
+
+@query("landed_days", """
+SELECT DISTINCT event_type AS price_area, CAST(ts AS DATE) AS price_date FROM events""")
+def landed_days(spark, sf_dir):
+    """Presence by (area, day) from file paths: the path a day's events would land under, and back."""
+    day = F.col("ts").cast("date")
+    paths = T.table(spark, sf_dir, "events").select(
+        landing.price_file(F.col("event_type"), day).alias("source_file")).distinct()
+    return landing.present_days(paths)

@@ -1,6 +1,7 @@
 """Star schema, trailing-period measures and the decision table over the driver's tables."""
 
 import datetime
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from workload.registry import query
 
 PRICE_DAYS = 14  # the events span 30 days
 AS_OF = datetime.date(2001, 10, 15)
+ALL_SEGMENTS = "ALL"
 
 MUNICIPALITY_SQL = """
     SELECT n.n_nationkey,
@@ -106,8 +108,9 @@ def daily_event_prices(spark, sf_dir):
     return aggregates.daily_profile(events, "price_area", "price_date", "value")
 
 
-def newest_event_day(spark, sf_dir):
-    return T.table(spark, sf_dir, "events").agg(F.max("ts").cast("date")).scalar()
+def days_back(df, stamp, days):
+    """The day that many days before the newest one."""
+    return df.agg(F.date_sub(F.max(stamp).cast("date"), days)).scalar()
 
 
 @query("candidates", CANDIDATES_SQL)
@@ -117,12 +120,13 @@ def candidates(spark, sf_dir):
     orders = T.registrations(spark, sf_dir)
     month = orders.agg(F.max("registration_month")).scalar()
     year = orders.agg(F.max("year")).scalar()
-    recent, both = trailing.registration_windows("registration_month", month)
+    recent, both = trailing.registration_windows(orders, "registration_month")
+    flagged = orders.select("*", recent.alias("recent"), both.alias("both"))
     sums = trailing.registration_sums(
-        F.col("fuel_type_code"), F.col("registration_count"), recent, both, T.ELECTRIC, T.PLUG_IN
+        F.col("fuel_type_code"), F.col("registration_count"), F.col("recent"), F.col("both"), T.ELECTRIC, T.PLUG_IN
     )
     cars = F.sum(F.when(F.col("year") == year, F.col("registration_count"))).alias("cars")
-    per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(*sums, cars)
+    per_customer = flagged.groupBy(F.col("o_custkey").alias("c_custkey")).agg(*sums, cars)
 
     def cars_of(segment):
         """NULL for a nation without any cars in the year, 0 when only the segment has none."""
@@ -146,7 +150,7 @@ def candidates(spark, sf_dir):
     )
     prices = trailing.trailing_price(
         daily_event_prices(spark, sf_dir), "price_area", "price_date", "avg_sek_per_kwh",
-        PRICE_DAYS, newest_event_day(spark, sf_dir),
+        PRICE_DAYS, days_back(T.table(spark, sf_dir, "events"), "ts", PRICE_DAYS),
     )
     wide = enrich(T.municipalities(spark, sf_dir), (per_nation, "n_nationkey"), (prices, "price_area"))
     return star.decision_columns(wide, month, year)
@@ -186,8 +190,8 @@ def trailing_365d(spark, sf_dir):
         orders.select(F.col("o_orderpriority").alias("price_area"), day.alias("price_date"), "o_totalprice"),
         "price_area", "price_date", "o_totalprice",
     )
-    anchor = orders.agg(F.max("o_orderdate").cast("date")).scalar()
-    return trailing.trailing_price(daily, "price_area", "price_date", "avg_sek_per_kwh", 365, anchor)
+    after = days_back(orders, "o_orderdate", 365)
+    return trailing.trailing_price(daily, "price_area", "price_date", "avg_sek_per_kwh", after=after)
 
 
 @query("cumulative_stock", """
@@ -217,9 +221,109 @@ def freshness(spark, sf_dir):
     return star.freshness_lags(facts)
 
 
-# The star views expose these columns of the curated tables (D8-D14).
+def nation_star(spark, sf_dir):
+    """The star schema at nation grain.
+
+    Orders are counted per customer before the join, so a customer with very many of them
+    brings one row per month and priority to it.
+    """
+    municipality = T.municipalities(spark, sf_dir)
+    customer = T.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    counts = (
+        T.registrations(spark, sf_dir)
+        .groupBy(F.col("o_custkey").alias("c_custkey"), "registration_month", "year", "fuel_type_code")
+        .agg(F.count("*").alias("orders"))
+        .join(customer, "c_custkey")
+        .groupBy("c_nationkey", "registration_month", "year", "fuel_type_code", "c_mktsegment")
+        .agg(F.sum("orders").alias("orders"))
+        .join(municipality.select(F.col("n_nationkey").alias("c_nationkey"), "municipality_code"), "c_nationkey")
+    )
+    registrations = counts.groupBy("municipality_code", "registration_month", "fuel_type_code").agg(
+        F.sum("orders").alias("registration_count")
+    )
+    category = F.explode(F.array(F.lit(ALL_SEGMENTS), "c_mktsegment")).alias("ownership_category_code")
+    cars = (
+        counts.select("municipality_code", "year", category, "orders")
+        .groupBy("municipality_code", "year", "ownership_category_code")
+        .agg(F.sum("orders").alias("vehicle_count"))
+        .withColumn("reference_date", S.year_end("year"))
+    )
+    people = customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("customers"))
+    rate = F.round(S.ratio(F.col("vehicle_count") * 1000, "customers")).cast("int")
+    inhabitants = (
+        cars.where(F.col("ownership_category_code") == ALL_SEGMENTS)
+        .join(municipality.select("n_nationkey", "municipality_code"), "municipality_code")
+        .join(people, "n_nationkey")
+        .select("municipality_code", "year", "reference_date",
+                S.estimate_from_rate("vehicle_count", rate).alias("inhabitants_estimate"))
+    )
+    tables = {
+        "dim_municipality": municipality,
+        "fact_new_registrations": registrations,
+        "fact_cars_in_traffic": cars,
+        "fact_inhabitants": inhabitants,
+        "fact_electricity_price_daily": daily_event_prices(spark, sf_dir),
+    }
+    return {name: star.star_view(df, name) for name, df in tables.items()}
+
+
+NATION_CODES = SimpleNamespace(
+    OWNERSHIP_TOTAL=ALL_SEGMENTS, OWNERSHIP_LEGAL_ENTITY=T.LEGAL_ENTITY, OWNERSHIP_TAXI=T.TAXI,
+    FUEL_ELECTRIC=T.ELECTRIC, FUEL_PLUG_IN=T.PLUG_IN,
+)
+
+
+# A category without cars has no row in the star schema, so its count is NULL there and not 0.
+@query("decision_table", f"""
+SELECT * REPLACE (nullif(cars_legal_entities, 0) AS cars_legal_entities, nullif(cars_taxi, 0) AS cars_taxi,
+                  CASE WHEN cars_legal_entities > 0 THEN legal_entity_share_of_fleet END
+                       AS legal_entity_share_of_fleet)
+FROM ({CANDIDATES_SQL})""")
+def decision_table(spark, sf_dir):
+    """The decision table from the star schema, as the gold job builds it."""
+    return star.decision_table(nation_star(spark, sf_dir), NATION_CODES, PRICE_DAYS)
+
+
 @query("star_dim_municipality", f"""
 SELECT municipality_code, municipality_name, county_code, county_name, price_area, price_area_is_split
 FROM ({MUNICIPALITY_SQL})""")
 def star_dim_municipality(spark, sf_dir):
     return star.star_view(T.municipalities(spark, sf_dir), "dim_municipality")
+
+
+@query("star_fact_new_registrations", f"""
+SELECT m.municipality_code, o.month AS registration_month, o.fuel AS fuel_type_code, count(*) AS registration_count
+FROM ({ORDER_MONTH_SQL}) o JOIN ({MUNICIPALITY_SQL}) m ON m.n_nationkey = o.c_nationkey GROUP BY 1, 2, 3""")
+def star_fact_new_registrations(spark, sf_dir):
+    return nation_star(spark, sf_dir)["fact_new_registrations"]
+
+
+@query("star_fact_cars_in_traffic", f"""
+SELECT m.municipality_code, o.yr AS year, make_date(o.yr, 12, 31) AS reference_date,
+       c.category AS ownership_category_code, count(*) AS vehicle_count
+FROM ({ORDER_MONTH_SQL}) o JOIN ({MUNICIPALITY_SQL}) m ON m.n_nationkey = o.c_nationkey,
+     LATERAL (SELECT 'ALL' AS category UNION ALL SELECT o.c_mktsegment) c
+GROUP BY ALL""")
+def star_fact_cars_in_traffic(spark, sf_dir):
+    return nation_star(spark, sf_dir)["fact_cars_in_traffic"]
+
+
+@query("star_fact_inhabitants", f"""
+SELECT m.municipality_code, o.yr AS year, make_date(o.yr, 12, 31) AS reference_date,
+       CAST(round(CAST(cars AS DOUBLE) / nullif(CAST(round(cars * 1000.0 / customers) AS INTEGER), 0) * 1000)
+            AS INTEGER) AS inhabitants_estimate
+FROM (SELECT c_nationkey, yr, count(*) AS cars FROM ({ORDER_MONTH_SQL}) GROUP BY 1, 2) o
+JOIN (SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY 1) p USING (c_nationkey)
+JOIN ({MUNICIPALITY_SQL}) m ON m.n_nationkey = o.c_nationkey""")
+def star_fact_inhabitants(spark, sf_dir):
+    return nation_star(spark, sf_dir)["fact_inhabitants"]
+
+
+@query("star_fact_electricity_price_daily", """
+SELECT event_type AS price_area, CAST(ts AS DATE) AS price_date, round(avg(value), 6) AS avg_sek_per_kwh,
+       min(value) AS min_sek_per_kwh, max(value) AS max_sek_per_kwh,
+       CASE WHEN count(*) > 30 THEN 15 ELSE 60 END AS resolution_minutes
+FROM events GROUP BY 1, 2""")
+def star_fact_electricity_price_daily(spark, sf_dir):
+    daily = nation_star(spark, sf_dir)["fact_electricity_price_daily"]
+    return daily.withColumn("avg_sek_per_kwh", F.round("avg_sek_per_kwh", 6))
