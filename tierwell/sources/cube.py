@@ -28,7 +28,7 @@ def _is_list(text: Column) -> Column:
 
 def member_codes(index: Column) -> Column:
     """Codes in position order, from a list or from an object of code -> position."""
-    by_position = F.array_sort(F.transform(
+    by_position = F.sort_array(F.transform(
         F.map_entries(F.from_json(index, "map<string, int>")),
         lambda entry: F.struct(entry["value"].alias("position"), entry["key"].alias("code")),
     ))
@@ -39,7 +39,7 @@ def member_codes(index: Column) -> Column:
 def _sparse_entries(value: Column) -> Column:
     """Present cells of an object-form vector, sorted by position."""
     cells = F.map_entries(F.from_json(value, "map<string, string>"))
-    return F.array_sort(F.transform(
+    return F.sort_array(F.transform(
         cells, lambda cell: F.struct(cell["key"].cast("bigint").alias("position"), cell["value"].alias("text"))
     ))
 
