@@ -61,7 +61,7 @@ def config(tmp_path):
 def test_stored_merge(spark, sides, tmp_path, stored_by):
     target, source = sides
     first = config(tmp_path)
-    storage.create_schema(spark, first.schema("silver"))
+    storage.create_schemas(spark, first, "silver")
     name = first.table("silver", "t")
     assert storage.merge(target, first, "silver", "t", ["k", "y"], stored_by) == storage.MergeResult(5, 0, 0, 5)
     assert rows(spark.table(name), "k", "y", "v") == rows(target)
@@ -74,7 +74,7 @@ def test_stored_merge(spark, sides, tmp_path, stored_by):
 
 def test_only_changed_partitions_are_read_and_written(spark, tmp_path):
     c = config(tmp_path)
-    storage.create_schema(spark, c.schema("silver"))
+    storage.create_schemas(spark, c, "silver")
     target = spark.range(40).select(F.col("id").cast("string").alias("k"), (F.col("id") % 4).cast("int").alias("y"), F.lit(0).alias("v"))
     storage.merge(target, c, "silver", "p", ["k", "y"], "y")
     table = c.table("silver", "p")
@@ -89,7 +89,7 @@ def test_only_changed_partitions_are_read_and_written(spark, tmp_path):
 def test_partition_column_has_to_be_part_of_the_key(spark, sides, tmp_path):
     target, source = sides
     c = config(tmp_path)
-    storage.create_schema(spark, c.schema("silver"))
+    storage.create_schemas(spark, c, "silver")
     storage.merge(target, c, "silver", "w", ["k"], "y")
     with pytest.raises(ValueError, match="not part of its key"):
         storage.merge(source, config(tmp_path), "silver", "w", ["k"], "y")
@@ -98,7 +98,7 @@ def test_partition_column_has_to_be_part_of_the_key(spark, sides, tmp_path):
 def test_changed_columns_replace_the_table(spark, sides, tmp_path):
     target, _ = sides
     c = config(tmp_path)
-    storage.create_schema(spark, c.schema("gold"))
+    storage.create_schemas(spark, c, "gold")
     storage.publish(target, c, "gold", "t")
     assert storage.publish(target.withColumn("w", F.lit("x")), config(tmp_path), "gold", "t") == 5
     assert spark.table(c.table("gold", "t")).columns == ["k", "y", "v", "w"]

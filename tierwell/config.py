@@ -24,7 +24,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
-    return _own_folder.setdefault(app, tempfile.mkdtemp(prefix="tierwell-"))
+    if app not in _own_folder:
+        _own_folder[app] = tempfile.mkdtemp(prefix="tierwell-")
+    return _own_folder[app]
 
 
 @dataclass(frozen=True)

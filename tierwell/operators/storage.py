@@ -22,8 +22,11 @@ class MergeResult:
     total: int
 
 
-def create_schema(spark: SparkSession, schema: str) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+def create_schemas(spark: SparkSession, config: RunConfig, *layers: str) -> None:
+    """Schemas live below the storage root, so that managed tables are stored there as well."""
+    for layer in layers:
+        schema = config.schema(layer)
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{config.storage}/{schema}'")
 
 
 def exists(spark: SparkSession, table: str) -> bool:

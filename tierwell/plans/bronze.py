@@ -53,8 +53,7 @@ def _listing(spark, config: RunConfig, name: str, root: str, folders: int = 0) -
 
 
 def _checks(spark, config: RunConfig) -> quality.QualityChecks:
-    for layer in ("bronze", "ops"):
-        storage.create_schema(spark, config.schema(layer))
+    storage.create_schemas(spark, config, "bronze", "ops")
     return quality.QualityChecks(spark, config.results_table, config.run_id, "bronze")
 
 
@@ -104,7 +103,10 @@ def load_prices(spark: SparkSession, config: RunConfig) -> int:
     return _load_new(
         spark, config, C.PRICE_TABLE, landed,
         lambda between: landing.read_prices(spark, root, between),
-        lambda rows: rows.select("elomrade", *landing.PRICE_FIELDS, F.col("source_file").alias("_source_file")),
+        # Price files are small; without the rebalance every read task would append a small file.
+        lambda rows: rows.select(
+            "elomrade", *landing.PRICE_FIELDS, F.col("source_file").alias("_source_file")
+        ).hint("rebalance", "_source_file"),
     )
 
 

@@ -44,8 +44,7 @@ def checks_before_write(t: dict[str, DataFrame], today) -> list[Q.Check]:
 
 def run(spark: SparkSession, config: RunConfig) -> dict[str, int]:
     """Row count per table.  New versions are written first; the tables switch to them only after the checks."""
-    for layer in (LAYER, "ops"):
-        storage.create_schema(spark, config.schema(layer))
+    storage.create_schemas(spark, config, LAYER, "ops")
     checks = Q.QualityChecks(spark, config.results_table, config.run_id, LAYER)
     written = {
         name: storage.write_parquet(df, config.path(LAYER, name)) for name, df in views(spark, config).items()

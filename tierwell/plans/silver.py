@@ -95,8 +95,7 @@ def run(spark: SparkSession, config: RunConfig, only_touched: bool = False) -> d
     merge; a merge never deletes, so the tables end up the same, but checks on facts (such as
     the complete grid) then cover those periods only.  Dimensions always use all of bronze.
     """
-    for layer in (LAYER, "ops"):
-        storage.create_schema(spark, config.schema(layer))
+    storage.create_schemas(spark, config, LAYER, "ops")
     checks = Q.QualityChecks(spark, config.results_table, config.run_id, LAYER)
     bronze = {name: spark.table(config.table("bronze", name)) for name in (*C.CUBE_TABLES, C.PRICE_TABLE)}
     through = {name: df.agg(F.max("_ingested_at")).first()[0] for name, df in bronze.items()}

@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from tierwell.operators import aggregates, joins, quality
+from tierwell.operators import aggregates, joins, quality, storage
 from tierwell.sources import calendar
-from workload import curate, mart, tables as T
-from workload.registry import query
+from workload import mart, tables as T
+from workload.merge import scratch_config
+from workload.registry import ORACLES, query
 
 EVENT_TYPES = ("click", "view", "purchase", "error", "signup", "refund")
 ALLOWED_VALUE = 120.0
@@ -248,19 +249,34 @@ CHECK_COUNTS_SQL = f"""
         (SELECT CAST(DATE '2001-10-15' - CAST(max(ts) AS DATE) > 3 AS BIGINT) FROM events)"""
 
 
-def _check_summary_sql():
-    from workload.registry import ORACLES
-    return f"""
+@query("check_summary", f"""
 SELECT *, failed_rows = 0 AS passed,
        CASE WHEN failed_rows = 0 THEN 'OK' WHEN severity = 'error' THEN 'FAIL' ELSE 'WARN' END AS status
-FROM ({CHECK_COUNTS_SQL.format(gaps=ORACLES['calendar_gaps'])})"""
-
-
-@query("check_summary", _check_summary_sql())
+FROM ({CHECK_COUNTS_SQL.format(gaps=ORACLES["calendar_gaps"])})""")
 def check_summary(spark, sf_dir):
     return quality.summary(spark, order_checks(spark, sf_dir))
 
 
+@query("quality_log", f"""
+SELECT 'orders' AS layer, 'before write' AS stage, table_name, check_name, severity, failed_rows = 0 AS passed,
+       failed_rows, failed_rows > 0 AS has_sample
+FROM ({CHECK_COUNTS_SQL.format(gaps=ORACLES["calendar_gaps"])})""")
+def quality_log(spark, sf_dir):
+    """All results of a stage, as they are appended to the log before the stage is stopped."""
+    config = scratch_config(spark)
+    storage.create_schemas(spark, config, "ops")
+    log = quality.QualityChecks(spark, config.results_table, config.version, "orders")
+    log.add(*order_checks(spark, sf_dir))
+    try:
+        log.enforce("before write", "Nothing was written.")
+    except quality.QualityError:
+        pass  # expected: some of the checks fail on these tables
+    return quality.history(spark, config.results_table, config.version).select(
+        "layer", "stage", "table_name", "check_name", "severity", "passed", "failed_rows",
+        F.col("sample").isNotNull().alias("has_sample"),
+    )
+
+
 @query("sample_json", """
 SELECT '[' || string_agg(CAST(to_json({o_orderkey: o_orderkey, o_orderstatus: o_orderstatus,
                                        urgency: urgency, day: day}) AS VARCHAR), ',' ORDER BY o_orderkey) || ']' AS sample

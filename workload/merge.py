@@ -6,8 +6,12 @@ the same on both sides (unchanged), 1998 is changed where orders followed in its
 and later years are new.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from tierwell.config import RunConfig, shared_folder
+from tierwell.operators import storage
 from tierwell.operators import upsert as U
 from tierwell.sources import manifest
 from workload import tables as T
@@ -67,14 +71,64 @@ def upsert_metrics(spark, sf_dir):
     return U.action_counts(U.merge_rows(target, source, KEYS))
 
 
-@query("upsert_twice", f"SELECT 'unchanged' AS action, count(*) AS row_count FROM ({MERGED_SQL}) WHERE action <> 'kept'"
+@query("unchanged_upsert", f"SELECT 'unchanged' AS action, count(*) AS row_count FROM ({MERGED_SQL}) WHERE action <> 'kept'"
        f" UNION ALL SELECT 'kept', count(*) FROM ({MERGED_SQL}) WHERE action = 'kept'")
-def upsert_twice(spark, sf_dir):
+def unchanged_upsert(spark, sf_dir):
     """Merging the same source again changes nothing."""
     target, source = sides(spark, sf_dir)
     return U.action_counts(U.merge_rows(U.upsert(target, source, KEYS), source, KEYS))
 
 
+def scratch_config(spark):
+    """A run of its own below the shared folder, so that a query can write tables."""
+    return RunConfig(landing="", storage=f"{shared_folder(spark)}/tables", prefix="tierwell_check_")
+
+
+@query("stored_merge", f"SELECT o_custkey, year, orders, last_urgent FROM ({MERGED_SQL})")
+def stored_merge(spark, sf_dir):
+    """The upsert through a stored table that is partitioned by year: create, merge, read."""
+    target, source = sides(spark, sf_dir)
+    first, second, name = scratch_config(spark), scratch_config(spark), f"state_{uuid.uuid4().hex}"
+    storage.create_schemas(spark, first, "silver")
+    storage.merge(target, first, "silver", name, KEYS, stored_by="year")
+    storage.merge(storage.stage(source, second, name), second, "silver", name, KEYS, stored_by="year")
+    storage.drop_stage(spark, second)
+    return spark.table(second.table("silver", name)).select("o_custkey", "year", "orders", "last_urgent")
+
+
+@query("stored_merge_result", f"""
+SELECT CAST(count(*) FILTER (action = 'inserted') AS BIGINT) AS inserted,
+       CAST(count(*) FILTER (action = 'updated') AS BIGINT) AS updated,
+       CAST(count(*) FILTER (action = 'unchanged') AS BIGINT) AS unchanged,
+       CAST(count(*) AS BIGINT) AS total
+FROM ({MERGED_SQL})""")
+def stored_merge_result(spark, sf_dir):
+    """What a merge into an unpartitioned table reports, counted from the rows it stored."""
+    target, source = sides(spark, sf_dir)
+    first, second, name = scratch_config(spark), scratch_config(spark), f"state_{uuid.uuid4().hex}"
+    storage.create_schemas(spark, first, "silver")
+    storage.merge(target, first, "silver", name, KEYS)
+    result = storage.merge(storage.stage(source, second, name), second, "silver", name, KEYS)
+    storage.drop_stage(spark, second)
+    return spark.createDataFrame([tuple(vars(result).values())],
+                                 "inserted long, updated long, unchanged long, total long")
+
+
+@query("published_table", """
+SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders,
+       CAST(max(o_orderdate) FILTER (o_orderpriority = '1-URGENT') AS DATE) AS last_urgent
+FROM orders GROUP BY 1, 2""")
+def published_table(spark, sf_dir):
+    """A full rebuild replaces what an earlier one published under the same name."""
+    target, _ = sides(spark, sf_dir)
+    name = f"state_{uuid.uuid4().hex}"
+    for df in (target, yearly_state(T.table(spark, sf_dir, "orders"))):
+        config = scratch_config(spark)
+        storage.create_schemas(spark, config, "gold")
+        storage.publish(df, config, "gold", name)
+    return spark.table(config.table("gold", name))
+
+
 LOADED_FILES_SQL = """
     SELECT o_custkey || '_' || strftime(o_orderdate, '%YM%m') || '.json' AS source_file,
            max(o_orderdate) AS modified_at
