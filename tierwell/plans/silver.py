@@ -57,25 +57,30 @@ def checks_before_write(t: dict[str, DataFrame], bronze_cars: DataFrame) -> list
     ]
 
 
-# Curated fact -> (bronze table, the SQL expression that tells its periods apart).
+# Curated fact -> (bronze table, its column whose first ten characters are the period: a month, a year or a day).
 _PERIODS = {
     "new_registrations": ("scb_new_registrations", "Tid"),
     "cars_in_traffic": ("scb_cars_in_traffic", "Tid"),
     "inhabitants": ("scb_cars_in_traffic", "Tid"),
-    "electricity_prices_daily": (C.PRICE_TABLE, "substring(time_start, 1, 10)"),
+    "electricity_prices_daily": (C.PRICE_TABLE, "time_start"),
 }
 
 
-def _touched(bronze: DataFrame, period: str, since) -> DataFrame:
+def _touched(bronze: DataFrame, column: str, since) -> DataFrame:
     """All loads of the periods that have a load newer than ``since``.
 
     Each append has one load time, so the row-group statistics of ``_ingested_at`` lead Spark to
-    the new files, and only (period) values are shuffled.  Every load of a touched period is
-    kept: which one wins is for the deduplication to say.
+    the new files.  The first and last touched period bound the second read in the same way.
+    Every load of a touched period is kept: which one wins is for the deduplication to say.
     """
-    loads = bronze.withColumn("_period", F.coalesce(F.expr(period), F.lit("")))
+    loads = bronze.withColumn("_period", F.coalesce(F.substring(column, 1, 10), F.lit("")))
     periods = loads.where(F.col("_ingested_at") > F.lit(since)).select("_period").distinct()
-    return loads.join(periods, "_period", "left_semi").drop("_period")
+    first, last = periods.agg(F.min("_period"), F.max("_period")).first()
+    if first is None:
+        return bronze.where(F.lit(False))
+    # A missing period counts as "" and has no bounds; "\uffff" sorts after any rest of the text.
+    near = loads.where(F.col(column).between(first, last + "\uffff")) if first else loads
+    return near.join(periods, "_period", "left_semi").drop("_period")
 
 
 def _merged_through(spark: SparkSession, config: RunConfig, bronze: dict) -> dict:
@@ -103,8 +108,8 @@ def run(spark: SparkSession, config: RunConfig, only_touched: bool = False) -> d
     if only_touched:
         since = _merged_through(spark, config, bronze)
         recent = {
-            fact: bronze[name] if since[name] is None else _touched(bronze[name], period, since[name])
-            for fact, (name, period) in _PERIODS.items()
+            fact: bronze[name] if since[name] is None else _touched(bronze[name], column, since[name])
+            for fact, (name, column) in _PERIODS.items()
         }
         frames |= curated.build_facts(*recent.values())
 
