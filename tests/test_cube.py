@@ -88,14 +88,14 @@ def test_size_report_is_per_file(spark):
     short, long = json.loads(json.dumps(EXAMPLE)), json.loads(json.dumps(EXAMPLE))
     short["value"], long["value"] = [1, 2, 3], [1, 2, 3, 4, 5]
     docs = documents(spark, EXAMPLE, short, long)
-    report = cube.size_report(cube.declared_cells(docs), cube.flatten(docs, NAMES))
+    report = cube.size_report(cube.outline(docs), cube.flatten(docs, NAMES))
     assert rows(report) == [("f0.json", 4, 4), ("f1.json", 4, 3), ("f2.json", 4, 5)]
 
 
 def test_unexpected_dimensions_and_members(spark):
     docs = documents(spark, EXAMPLE)
-    assert cube.unexpected_dimensions(docs, ["Tid", "Region", "Drivmedel"]).isEmpty()
-    assert rows(cube.unexpected_dimensions(docs, ["Tid", "Region"]), "_source_file") == [("f0.json",)]
+    assert cube.unexpected_dimensions(cube.outline(docs), ["Tid", "Region", "Drivmedel"]).isEmpty()
+    assert rows(cube.unexpected_dimensions(cube.outline(docs), ["Tid", "Region"]), "_source_file") == [("f0.json",)]
     assert rows(cube.members(docs, "Region")) == [("00",), ("0114",)]
 
 

@@ -67,10 +67,10 @@ def load_cube(spark: SparkSession, config: RunConfig, name: str) -> int:
         documents = documents.select(F.col("source_file").alias("_source_file"), "value")
         flat = cube.flatten(documents, dimensions, C.LABELLED_DIMENSIONS)
         rows = storage.stage(flat, config, f"rows_{name}")
+        outlines = storage.stage(cube.outline(documents), config, f"outlines_{name}")
         checks.add(
-            quality.declared_size(name, "cells as declared by the sizes",
-                                  cube.size_report(cube.declared_cells(documents), rows)),
-            quality.Check(name, "dimensions as expected", cube.unexpected_dimensions(documents, dimensions)),
+            quality.declared_size(name, "cells as declared by the sizes", cube.size_report(outlines, rows)),
+            quality.Check(name, "dimensions as expected", cube.unexpected_dimensions(outlines, dimensions)),
         )
         checks.enforce("before append", "Nothing was appended.")
         columns = [c for c in rows.columns if c != "_source_file"]

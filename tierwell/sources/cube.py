@@ -75,23 +75,25 @@ def members(documents: DataFrame, dimension: str, text: str = "value") -> DataFr
     return parse(documents, text).select(F.explode(member_codes(index)).alias("code")).distinct()
 
 
-def unexpected_dimensions(documents: DataFrame, dimensions, text: str = "value") -> DataFrame:
-    """Documents whose dimensions are not exactly the given ones, in any order."""
-    wanted = F.array(*[F.lit(name) for name in sorted(dimensions)])
-    parsed = parse(documents, text, "id array<string>").withColumn("dimensions", F.array_sort("doc.id"))
-    return parsed.where(S.differs(F.col("dimensions"), wanted)).drop("doc")
+def outline(documents: DataFrame, text: str = "value") -> DataFrame:
+    """Per document, without its values: its dimensions in name order and the cells its sizes declare."""
+    parsed = parse(documents, text, "id array<string>, size array<int>")
+    lineage = [c for c in parsed.columns if c != "doc"]
+    return parsed.select(
+        *lineage, F.sort_array("doc.id").alias("dimensions"), S.product("doc.size").alias("declared_cells")
+    )
 
 
-def declared_cells(documents: DataFrame, text: str = "value") -> DataFrame:
-    """Per document: the number of cells its sizes declare."""
-    parsed = parse(documents, text, "size array<int>")
-    return parsed.select(*[c for c in parsed.columns if c != "doc"], S.product("doc.size").alias("declared_cells"))
+def unexpected_dimensions(outlines: DataFrame, dimensions) -> DataFrame:
+    """Documents whose dimensions are not exactly the given ones, in any order."""
+    wanted = F.array(*[F.lit(name) for name in sorted(dimensions)])
+    return outlines.where(S.differs(F.col("dimensions"), wanted))
 
 
-def size_report(declared: DataFrame, rows: DataFrame, file: str = "_source_file") -> DataFrame:
+def size_report(outlines: DataFrame, rows: DataFrame, file: str = "_source_file") -> DataFrame:
     """Per file: declared cells next to the rows that came out of it."""
     actual = rows.groupBy(file).agg(F.count("*").alias("actual_cells"))
-    return declared.join(actual, file, "full").select(
+    return outlines.select(file, "declared_cells").join(actual, file, "full").select(
         file, "declared_cells", F.coalesce("actual_cells", F.lit(0).cast("bigint")).alias("actual_cells")
     )
 

@@ -93,7 +93,7 @@ def cube_sizes(spark, sf_dir):
     """Declared cells against flattened rows, per document."""
     documents = cube_documents(spark, sf_dir)
     rows = cube.flatten(documents, DIMENSIONS, text="text")
-    report = cube.size_report(cube.declared_cells(documents, "text"), rows)
+    report = cube.size_report(cube.outline(documents, "text"), rows)
     return report.withColumn("matches", ~declared_size("cube", "declared", report).bad)
 
 
