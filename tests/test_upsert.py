@@ -12,12 +12,14 @@ SCHEMA = "k string, y int, v int"
 
 @pytest.fixture
 def sides(spark):
-    target = spark.createDataFrame([("same", 1, None), ("set", 1, None), ("one", 1, 1), ("cleared", 1, 4), ("kept", 1, 9)], SCHEMA)
-    source = spark.createDataFrame([("same", 1, None), ("set", 1, 1), ("one", 1, 1), ("cleared", 1, None), ("new", 2, 5)], SCHEMA)
+    target = [("same", 1, None), ("set", 1, None), ("one", 1, 1), ("cleared", 1, 4), ("kept", 1, 9)]
+    source = [("same", 1, None), ("set", 1, 1), ("one", 1, 1), ("cleared", 1, None), ("new", 2, 5)]
+    target, source = spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA)
     return target, source
 
 
-AFTER = sorted([("same", 1, None), ("set", 1, 1), ("one", 1, 1), ("cleared", 1, None), ("kept", 1, 9), ("new", 2, 5)], key=repr)
+AFTER = sorted(
+    [("same", 1, None), ("set", 1, 1), ("one", 1, 1), ("cleared", 1, None), ("kept", 1, 9), ("new", 2, 5)], key=repr)
 
 
 def test_actions(sides):
@@ -65,21 +67,24 @@ def test_stored_merge(spark, sides, tmp_path, stored_by):
     name = first.table("silver", "t")
     assert storage.merge(target, first, "silver", "t", ["k", "y"], stored_by) == storage.MergeResult(5, 0, 0, 5)
     assert rows(spark.table(name), "k", "y", "v") == rows(target)
-    assert storage.merge(source, config(tmp_path), "silver", "t", ["k", "y"], stored_by) == storage.MergeResult(1, 2, 2, 6)
+    merged = storage.merge(source, config(tmp_path), "silver", "t", ["k", "y"], stored_by)
+    assert merged == storage.MergeResult(1, 2, 2, 6)
     assert rows(spark.table(name), "k", "y", "v") == AFTER
     files = spark.table(name).inputFiles()
-    assert storage.merge(source, config(tmp_path), "silver", "t", ["k", "y"], stored_by) == storage.MergeResult(0, 0, 5, 6)
+    merged = storage.merge(source, config(tmp_path), "silver", "t", ["k", "y"], stored_by)
+    assert merged == storage.MergeResult(0, 0, 5, 6)
     assert spark.table(name).inputFiles() == files
 
 
 def test_only_changed_partitions_are_read_and_written(spark, tmp_path):
     c = config(tmp_path)
     storage.create_schemas(spark, c, "silver")
-    target = spark.range(40).select(F.col("id").cast("string").alias("k"), (F.col("id") % 4).cast("int").alias("y"), F.lit(0).alias("v"))
+    target = spark.range(40).selectExpr("cast(id as string) as k", "cast(id % 4 as int) as y", "0 as v")
     storage.merge(target, c, "silver", "p", ["k", "y"], "y")
     table = c.table("silver", "p")
     before = set(spark.table(table).inputFiles())
-    storage.merge(target.withColumn("v", F.when(F.col("k") == "6", 1).otherwise(0)), config(tmp_path), "silver", "p", ["k", "y"], "y")
+    changed = target.withColumn("v", F.when(F.col("k") == "6", 1).otherwise(0))
+    storage.merge(changed, config(tmp_path), "silver", "p", ["k", "y"], "y")
     gone = before - set(spark.table(table).inputFiles())
     assert gone and all("/y=2/" in name for name in gone)
     assert rows(spark.table(table).where("v = 1"), "k") == [("6",)]
@@ -95,6 +100,15 @@ def test_partition_column_has_to_be_part_of_the_key(spark, sides, tmp_path):
         storage.merge(source, config(tmp_path), "silver", "w", ["k"], "y")
 
 
+def test_partitioned_table_can_be_published_again(spark, sides, tmp_path):
+    target, source = sides
+    c = config(tmp_path)
+    storage.create_schemas(spark, c, "gold")
+    storage.publish(target, c, "gold", "again", "y")
+    assert storage.publish(source, config(tmp_path), "gold", "again", "y") == 5
+    assert rows(spark.table(c.table("gold", "again")), "k", "y", "v") == rows(source)
+
+
 def test_changed_columns_replace_the_table(spark, sides, tmp_path):
     target, _ = sides
     c = config(tmp_path)

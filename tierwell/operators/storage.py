@@ -66,9 +66,12 @@ def drop_stage(spark: SparkSession, config: RunConfig) -> None:
 
 
 def point_to(spark: SparkSession, table: str, df: DataFrame, path: str, stored_by: str | None = None) -> None:
-    """Make ``table`` show the version in ``path``; creates the table on first use."""
-    same_columns = exists(spark, table) and spark.table(table).dtypes == _stored_order(df, stored_by).dtypes
-    if same_columns:
+    """Make ``table`` show the version in ``path``; creates the table on first use.
+
+    A table with partitions, or with other columns than before, is defined anew: its catalog
+    partitions would still lead to the old version.  The files are external and stay.
+    """
+    if stored_by is None and exists(spark, table) and spark.table(table).dtypes == df.dtypes:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -80,11 +83,6 @@ def point_to(spark: SparkSession, table: str, df: DataFrame, path: str, stored_b
         spark.catalog.recoverPartitions(table)
 
 
-def _stored_order(df: DataFrame, stored_by: str | None) -> DataFrame:
-    """Partition columns are stored last."""
-    return df if stored_by is None else df.select(*[c for c in df.columns if c != stored_by], stored_by)
-
-
 def publish(df: DataFrame, config: RunConfig, layer: str, name: str, stored_by: str | None = None) -> int:
     """Full rebuild: write a new version, switch to it, return its row count."""
     spark, table, path = df.sparkSession, config.table(layer, name), config.path(layer, name)
@@ -93,7 +91,8 @@ def publish(df: DataFrame, config: RunConfig, layer: str, name: str, stored_by:
     return spark.table(table).count()
 
 
-def merge(source: DataFrame, config: RunConfig, layer: str, name: str, keys, stored_by: str | None = None) -> MergeResult:
+def merge(source: DataFrame, config: RunConfig, layer: str, name: str, keys,
+          stored_by: str | None = None) -> MergeResult:
     """Upsert a checked, deduplicated frame into a stored table.
 
     The changed rows are written to the shared folder first.  Without any, nothing is
@@ -106,8 +105,8 @@ def merge(source: DataFrame, config: RunConfig, layer: str, name: str, keys, sto
         return MergeResult(total, 0, 0, total)
 
     target = spark.table(table).select(*source.columns)
-    labelled = U.label_changes(_only_partitions(target, source, stored_by), source, keys).where(F.col(U.ACTION) != U.UNCHANGED)
-    staged = stage(labelled, config, f"changes_{layer}_{name}")
+    labelled = U.label_changes(_only_partitions(target, source, stored_by), source, keys)
+    staged = stage(labelled.where(F.col(U.ACTION) != U.UNCHANGED), config, f"changes_{layer}_{name}")
     counts = dict(U.action_counts(staged).collect())
     inserted, updated = counts.get(U.INSERTED, 0), counts.get(U.UPDATED, 0)
     if inserted + updated:

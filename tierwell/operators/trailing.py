@@ -7,7 +7,6 @@ column is pruned by it, and no join is needed to spread the anchor over the rows
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tierwell.functions import scalars as S
 from tierwell.operators.aggregates import sum_where
 
 REGISTRATION_SUMS = (
