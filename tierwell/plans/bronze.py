@@ -25,8 +25,7 @@ def _fresh_files(spark, config: RunConfig, name: str, landed: DataFrame) -> Data
     known = _manifest_table(config, name)
     if not storage.exists(spark, config.table("bronze", name)):
         spark.sql(f"DROP TABLE IF EXISTS {known}")
-        return landed
-    return manifest.unseen(landed, spark.table(known))
+    return manifest.unseen(landed, spark.table(known)) if storage.exists(spark, known) else landed
 
 
 def _append(config: RunConfig, name: str, rows: DataFrame, fresh: DataFrame) -> int:
