@@ -80,8 +80,13 @@ def unchanged_upsert(spark, sf_dir):
 
 
 def scratch_config(spark):
-    """A run of its own below the shared folder, so that a query can write tables."""
-    return RunConfig(landing="", storage=f"{shared_folder(spark)}/tables", prefix="tierwell_check_")
+    """A run of its own below the shared folder, so that a query can write tables.
+
+    The folder is named after the application: the shared folder outlives a session, and the
+    session's catalog may not.
+    """
+    storage_root = f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}"
+    return RunConfig(landing="", storage=storage_root, prefix="tierwell_check_")
 
 
 @query("stored_merge", f"SELECT o_custkey, year, orders, last_urgent FROM ({MERGED_SQL})")
