@@ -66,6 +66,10 @@ _PERIODS = {
 }
 
 
+# 100,000 texts of at most ten characters are a few megabytes; beyond that the join shuffles.
+_BROADCAST_PERIODS = 100_000
+
+
 def _touched(bronze: DataFrame, column: str, since) -> DataFrame:
     """All loads of the periods that have a load newer than ``since``.
 
@@ -75,9 +79,11 @@ def _touched(bronze: DataFrame, column: str, since) -> DataFrame:
     """
     loads = bronze.withColumn("_period", F.coalesce(F.substring(column, 1, 10), F.lit("")))
     periods = loads.where(F.col("_ingested_at") > F.lit(since)).select("_period").distinct()
-    first, last = periods.agg(F.min("_period"), F.max("_period")).first()
-    if first is None:
+    first, last, count = periods.agg(F.min("_period"), F.max("_period"), F.count("*")).first()
+    if not count:
         return bronze.where(F.lit(False))
+    if count <= _BROADCAST_PERIODS:  # counted; unhinted, Spark would size the list by the table it comes from
+        periods = F.broadcast(periods)
     # A missing period counts as "" and has no bounds; "\uffff" sorts after any rest of the text.
     near = loads.where(F.col(column).between(first, last + "\uffff")) if first else loads
     return near.join(periods, "_period", "left_semi").drop("_period")
