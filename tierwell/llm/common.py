@@ -94,12 +94,12 @@ def running(df: DataFrame, keys: list[str], order: list[str], value, name: str,
     dealt = df.withColumn("_bucket", F.substring(order[0], 1, 2)).withColumn("_value", value)
     sums = dealt.groupBy(*keys, "_bucket").agg(F.sum("_value").alias("_sum"))
     over = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select(*keys, "_bucket", F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_before"))
+    before = sums.select(*keys, "_bucket", F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_ahead"))
     within = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         dealt.join(before, [*keys, "_bucket"])
-        .withColumn(name, F.col("_before") + F.coalesce(F.sum("_value").over(within), F.lit(0)))
-        .drop("_bucket", "_value", "_before")
+        .withColumn(name, F.col("_ahead") + F.coalesce(F.sum("_value").over(within), F.lit(0)))
+        .drop("_bucket", "_value", "_ahead")
     )
 
 

@@ -33,3 +33,23 @@ def op8_jaccard_join(spark, sf_dir):
     from tierwell.llm.jaccard_join import link_components
 
     return link_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+@query("op4_cutting_stock_packing")
+def op4_cutting_stock_packing(spark, sf_dir):
+    """Sequences of 2048 tokens of the word tokenizer."""
+    import public_tokenizers
+
+    from tierwell.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op3_source_mixing")
+def op3_source_mixing(spark, sf_dir):
+    """The mixture of all documents: budget of all tokens, two epochs at most."""
+    from tierwell.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "_epoch AS epoch", "_tokens AS n_tokens", "_domain AS domain", "_lang AS language", "_source AS leaf_source"
+    )
