@@ -10,6 +10,8 @@ shingles. After Deng, Tao and Li, "Overlap Set Similarity Joins with Theoretical
 * *heavy* sets, and light ones that a heavy set can reach, enter inverted lists of the shingles in their prefix: the
   rarest ``a - ceil(percent a / 100) + 1`` ones, of which partners always share one. The lists are scanned for
   pairs that the length and position bounds allow, and those are verified on whole sets;
+* before that, a parity bitmap of each set bounds the size of the difference from below and drops pairs that cannot
+  link (shared passages, mostly); it never drops a link;
 * x is the boundary of the least cost: subset keys against list entries times the mean length of a list.
 
 No list emits all its pairs: first every member meets only the smallest id of its list; lists whose members are then in
@@ -34,6 +36,8 @@ from tierwell.llm.common import components, stored, summed
 
 #: Cells of the rarity sketch, largest set that may count as light, bits of the filter of documents to verify.
 SKETCH, LIGHT_LIMIT, FILTER_BITS = 1 << 20, 24, 25
+#: 64-bit words of a set's parity bitmap.
+BITMAP = 16
 
 
 def overlap(a, b, percent):
@@ -73,6 +77,13 @@ def _signature(shingles: np.ndarray) -> tuple[int, int]:
     return int(low.astype(np.int64)), int(high.astype(np.int64))
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """Bit i tells whether an odd number of shingles falls on i: |A ^ B| is at least the number of bits that differ."""
+    cells = (textscan.mixed(shingles + np.uint64(1)) >> np.uint64(54)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=64 * BITMAP) & 1).astype(bool)
+    return np.packbits(odd).view(np.int64)
+
+
 def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """One row per document: set size, digest of the set, subset keys if light, prefix if it enters the lists."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -102,7 +113,8 @@ def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     if n > light or n and 100 * n >= percent * (light + 1):
                         order = np.lexsort((shingles, seen[(shingles >> np.uint64(44)).astype(np.int64)]))
                         prefix = shingles[order[: prefix_length(n, percent)]]
-                    for name, value in zip(_DESCRIBED.names, (doc_id, n, low, high, keys, same, prefix.view(np.int64))):
+                    values = (doc_id, n, low, high, keys, same, prefix.view(np.int64), *_parity(shingles).tolist())
+                    for name, value in zip(_DESCRIBED.names, values):
                         out[name].append(value)
                 yield pa.RecordBatch.from_pydict(out, schema=_DESCRIBED)
 
@@ -112,8 +124,11 @@ def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
 _DESCRIBED = pa.schema([
     ("doc_id", pa.int64()), ("n", pa.int32()), ("low", pa.int64()), ("high", pa.int64()),
     ("keys", pa.list_(pa.int64())), ("same", pa.list_(pa.bool_())), ("prefix", pa.list_(pa.int64())),
+    *((f"b{i}", pa.int64()) for i in range(BITMAP)),
 ])
 _DESCRIBED_SQL = "doc_id long, n int, low long, high long, keys array<long>, same array<boolean>, prefix array<long>"
+_DESCRIBED_SQL += "".join(f", b{i} long" for i in range(BITMAP))
+_BITS = [f"b{i}" for i in range(BITMAP)]
 
 
 def _subsets(shingles: np.ndarray, percent: int, limit: int) -> tuple[list[int], list[bool]]:
@@ -180,9 +195,20 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
     return stored(joined.mapInArrow(check, "a long, b long"), "links")
 
 
+def _need(a_n, b_n, percent):
+    return F.ceil((F.lit(percent) * (a_n + b_n)) / F.lit(100 + percent) - F.lit(1e-9))
+
+
+def _close(x: str, y: str, percent):
+    """The parity bitmaps of the sides ``x`` and ``y`` allow a difference small enough."""
+    differ = sum((F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in _BITS), F.lit(0))
+    x, y = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return differ <= x + y - 2 * _need(x, y, percent)
+
+
 def _possible(a_n, a_pos, b_n, b_pos, percent):
     """What lengths and positions of one shared shingle allow: enough room for the overlap."""
-    need = F.ceil((F.lit(percent) * (a_n + b_n)) / F.lit(100 + percent) - F.lit(1e-9))
+    need = _need(a_n, b_n, percent)
     room = 1 + F.least(a_pos, b_pos) + F.least(a_n - a_pos, b_n - b_pos) - 1
     return (100 * F.least(a_n, b_n) >= percent * F.greatest(a_n, b_n)) & (room >= need)
 
@@ -209,7 +235,12 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     nearest = shared.where("doc_id != head.doc_id").where(
         _possible(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos"), percent)
     )
-    pairs = stored(nearest.select(F.col("doc_id").alias("a"), F.col("head.doc_id").alias("b")).distinct(), "pairs")
+    bits = chosen.select("doc_id", "n", *_BITS)
+    met = nearest.select(F.col("doc_id").alias("a"), F.col("head.doc_id").alias("b")).distinct()
+    pairs = stored(
+        met.join(bits.alias("x"), F.col("a") == F.col("x.doc_id")).join(bits.alias("y"), F.col("b") == F.col("y.doc_id"))
+        .where(_close("x", "y", percent)).select("a", "b"), "pairs",
+    )
     first = _verified(docs, pairs, k, percent).unionByName(stored(light.distinct(), "light"))
 
     labels = stored(components(first), "labels")
@@ -217,11 +248,13 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         "token", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("label")
     )
     open_lists = labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-    rest = stored(labelled.join(open_lists.select("token"), "token", "left_semi"), "open")
+    rest = stored(
+        labelled.join(open_lists.select("token"), "token", "left_semi").join(bits.drop("n"), "doc_id"), "open"
+    )
     x, y = rest.alias("x"), rest.alias("y")
     crossed = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") < F.col("y.label")) & _possible(
         F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent
-    ))
+    ) & _close("x", "y", percent))
     more = crossed.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     more = stored(more.join(pairs, ((more.a == pairs.a) & (more.b == pairs.b)), "left_anti")
                   .join(pairs.select(F.col("a").alias("c"), F.col("b").alias("d")),
