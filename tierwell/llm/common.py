@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from tierwell.config import shared_folder
+from tierwell.llm import textscan
 
 
 _shipped: set[str] = set()
@@ -136,4 +137,31 @@ def summed(df: DataFrame, count, size: int, union: bool = False):
     return out[:size]
 
 
+FILTER_BITS = 25
+
+
+def only_near(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` (doc_id first) whose id is in ``ids``, and a few others; all join keys survive.
+
+    A filter of fixed size (2**25 bits, hashed) drops most rows before a join shuffles their text. With more ids than
+    bits it lets more rows pass, and the exact join after it does the work.
+    """
+    def cells(column):
+        return (textscan.mixed(column.to_numpy().view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+    def mark(state, batch):
+        state[cells(batch.column(0))] = 1
+
+    known = ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
+    marks = df.sparkSession.sparkContext.broadcast(np.packbits(summed(known, mark, 1 << FILTER_BITS, union=True)))
+
+    def keep(batches):
+        for batch in batches:
+            cell = cells(batch.column(0))
+            hit = (marks.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(hit.astype(bool)))
+
+    return df.where(F.col(df.columns[0]).isNotNull()).mapInArrow(keep, df.schema)
+
+
 _PIECES = pa.schema([("part", pa.int32()), ("piece", pa.binary())])

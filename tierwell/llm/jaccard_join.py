@@ -32,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tierwell.llm import textscan
-from tierwell.llm.common import components, stored, summed
+from tierwell.llm.common import components, only_near, stored, summed
 
-#: Cells of the rarity sketch, largest set that may count as light, bits of the filter of documents to verify.
-SKETCH, LIGHT_LIMIT, FILTER_BITS = 1 << 20, 24, 25
+#: Cells of the rarity sketch, largest set that may count as light.
+SKETCH, LIGHT_LIMIT = 1 << 20, 24
 #: 64-bit words of a set's parity bitmap.
 BITMAP = 16
 
@@ -151,25 +151,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     A filter of fixed size drops most other documents before their text would be shuffled; the join then is exact.
     """
-    bits = 1 << FILTER_BITS
-
-    def mark(state, batch):
-        state[(textscan.mixed(batch.column(0).to_numpy().view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = 1
-
-    marks = docs.sparkSession.sparkContext.broadcast(np.packbits(summed(wanted.select("doc_id"), mark, bits, union=True)))
-
     def rows(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            cell = (textscan.mixed(ids.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            keep = (marks.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1
-            batch = batch.filter(pa.array(keep.astype(bool)))
             for ids, buffer, offsets in textscan.chunks(batch.column(0), batch.column(1)):
                 sets = [x.tobytes() for x in textscan.shingle_sets(buffer, offsets, k)]
                 yield pa.RecordBatch.from_pydict({"doc_id": ids, "shingles": sets}, schema=_SETS)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.where("doc_id IS NOT NULL").mapInArrow(rows, "doc_id long, shingles binary")
+    found = only_near(texts, wanted).mapInArrow(rows, "doc_id long, shingles binary")
     return stored(found.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"), "shingles")
 
 

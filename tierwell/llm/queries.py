@@ -53,3 +53,19 @@ def op3_source_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).selectExpr(
         "doc_id", "_epoch AS epoch", "_tokens AS n_tokens", "_domain AS domain", "_lang AS language", "_source AS leaf_source"
     )
+
+
+@query("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    """Language of every document, and whether it is kept."""
+    from tierwell.llm.language_id import from_documents, identify
+
+    return identify(from_documents(table(spark, sf_dir, "documents")), "doc_id")
+
+
+@query("language_id_of_pages")
+def language_id_of_pages(spark, sf_dir):
+    """The same operator over web pages, with the html tag's language, address suffix, domain and host."""
+    from tierwell.llm.language_id import from_pages, identify
+
+    return identify(from_pages(table(spark, sf_dir, "pages")), "page_id")
