@@ -69,3 +69,11 @@ def language_id_of_pages(spark, sf_dir):
     from tierwell.llm.language_id import from_pages, identify
 
     return identify(from_pages(table(spark, sf_dir, "pages")), "page_id")
+
+
+@query("op1_kneser_ney_quality")
+def op1_kneser_ney_quality(spark, sf_dir):
+    """Perplexity of every document and whether it is kept."""
+    from tierwell.llm.quality_model import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
