@@ -77,3 +77,14 @@ def op1_kneser_ney_quality(spark, sf_dir):
     from tierwell.llm.quality_model import classify
 
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_line_dedup")
+def op2_line_dedup(spark, sf_dir):
+    """Lines removed from every document: shingles of five words, Jaccard of 0.8 or more."""
+    from tierwell.llm.line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "CAST(n_lines AS BIGINT) AS n_lines", "CAST(n_removed AS BIGINT) AS n_removed",
+        "sha2(text, 256) AS kept_sha256",
+    )
