@@ -140,28 +140,35 @@ def summed(df: DataFrame, count, size: int, union: bool = False):
 FILTER_BITS = 25
 
 
-def only_near(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` (doc_id first) whose id is in ``ids``, and a few others; all join keys survive.
+def _cells(column) -> np.ndarray:
+    ids = column.to_numpy(zero_copy_only=False).view(np.uint64)
+    return (textscan.mixed(ids) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
-    A filter of fixed size (2**25 bits, hashed) drops most rows before a join shuffles their text. With more ids than
-    bits it lets more rows pass, and the exact join after it does the work.
-    """
-    def cells(column):
-        return (textscan.mixed(column.to_numpy().view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+def id_filter(ids: DataFrame):
+    """A broadcast filter of fixed size (2**25 bits, hashed) of the column doc_id."""
 
     def mark(state, batch):
-        state[cells(batch.column(0))] = 1
+        state[_cells(batch.column(0))] = 1
 
     known = ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
-    marks = df.sparkSession.sparkContext.broadcast(np.packbits(summed(known, mark, 1 << FILTER_BITS, union=True)))
+    return ids.sparkSession.sparkContext.broadcast(np.packbits(summed(known, mark, 1 << FILTER_BITS, union=True)))
+
+
+def only_near(df: DataFrame, marks, others: bool = False) -> DataFrame:
+    """The rows of ``df`` (long doc_id first, not null) that the filter ``marks`` lets pass, or the ``others``.
+
+    All rows of the filter's ids pass, and a few more. It drops most rows before a join would shuffle their text; with
+    more ids than bits it drops fewer, and the exact join after it does the work.
+    """
 
     def keep(batches):
         for batch in batches:
-            cell = cells(batch.column(0))
-            hit = (marks.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(hit.astype(bool)))
+            cell = _cells(batch.column(0))
+            hit = ((marks.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1).astype(bool)
+            yield batch.filter(pa.array(hit != others))
 
-    return df.where(F.col(df.columns[0]).isNotNull()).mapInArrow(keep, df.schema)
+    return df.mapInArrow(keep, df.schema)
 
 
 _PIECES = pa.schema([("part", pa.int32()), ("piece", pa.binary())])

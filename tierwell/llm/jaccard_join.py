@@ -10,8 +10,8 @@ shingles. After Deng, Tao and Li, "Overlap Set Similarity Joins with Theoretical
 * *heavy* sets, and light ones that a heavy set can reach, enter inverted lists of the shingles in their prefix: the
   rarest ``a - ceil(percent a / 100) + 1`` ones, of which partners always share one. The lists are scanned for
   pairs that the length and position bounds allow, and those are verified on whole sets;
-* before that, a parity bitmap of each set bounds the size of the difference from below and drops pairs that cannot
-  link (shared passages, mostly); it never drops a link;
+* before that, parity bitmaps of the sets bound the size of the difference from below and drop pairs that cannot link
+  (shared passages, mostly): first a short one of fixed length, then one of about a bit per shingle. No link is dropped;
 * x is the boundary of the least cost: subset keys against list entries times the mean length of a list.
 
 No list emits all its pairs: first every member meets only the smallest id of its list; lists whose members are then in
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tierwell.llm import textscan
-from tierwell.llm.common import components, only_near, stored, summed
+from tierwell.llm.common import components, id_filter, only_near, stored, summed
 
 #: Cells of the rarity sketch, largest set that may count as light.
 SKETCH, LIGHT_LIMIT = 1 << 20, 24
@@ -84,6 +84,22 @@ def _parity(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
+def _sketch(shingles: np.ndarray) -> bytes:
+    """A parity bitmap of 64 bits or more, about one per shingle, by the low bits of the hash."""
+    cells = textscan.mixed(shingles + np.uint64(2))
+    size = 1 << max(6, int(len(shingles)).bit_length() - 1)
+    odd = np.bincount((cells & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def _least_difference(x: bytes, y: bytes) -> int:
+    """What two sketches say of the size of the difference; the longer one is folded to the shorter one's length."""
+    x, y = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, size), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """One row per document: set size, digest of the set, subset keys if light, prefix if it enters the lists."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -113,7 +129,7 @@ def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     if n > light or n and 100 * n >= percent * (light + 1):
                         order = np.lexsort((shingles, seen[(shingles >> np.uint64(44)).astype(np.int64)]))
                         prefix = shingles[order[: prefix_length(n, percent)]]
-                    values = (doc_id, n, low, high, keys, same, prefix.view(np.int64), *_parity(shingles).tolist())
+                    values = (doc_id, n, low, high, keys, same, prefix.view(np.int64), _sketch(shingles), *_parity(shingles).tolist())
                     for name, value in zip(_DESCRIBED.names, values):
                         out[name].append(value)
                 yield pa.RecordBatch.from_pydict(out, schema=_DESCRIBED)
@@ -124,9 +140,9 @@ def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
 _DESCRIBED = pa.schema([
     ("doc_id", pa.int64()), ("n", pa.int32()), ("low", pa.int64()), ("high", pa.int64()),
     ("keys", pa.list_(pa.int64())), ("same", pa.list_(pa.bool_())), ("prefix", pa.list_(pa.int64())),
-    *((f"b{i}", pa.int64()) for i in range(BITMAP)),
+    ("sketch", pa.binary()), *((f"b{i}", pa.int64()) for i in range(BITMAP)),
 ])
-_DESCRIBED_SQL = "doc_id long, n int, low long, high long, keys array<long>, same array<boolean>, prefix array<long>"
+_DESCRIBED_SQL = "doc_id long, n int, low long, high long, keys array<long>, same array<boolean>, prefix array<long>, sketch binary"
 _DESCRIBED_SQL += "".join(f", b{i} long" for i in range(BITMAP))
 _BITS = [f"b{i}" for i in range(BITMAP)]
 
@@ -149,7 +165,7 @@ def _subsets(shingles: np.ndarray, percent: int, limit: int) -> tuple[list[int],
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """Whole shingle sets of the ``wanted`` documents (doc_id), as sorted binary.
 
-    A filter of fixed size drops most other documents before their text would be shuffled; the join then is exact.
+    A filter of fixed size drops most other documents before their text is read; the joins that follow are exact.
     """
     def rows(batches):
         for batch in batches:
@@ -158,15 +174,27 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"doc_id": ids, "shingles": sets}, schema=_SETS)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = only_near(texts, wanted).mapInArrow(rows, "doc_id long, shingles binary")
-    return stored(found.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"), "shingles")
+    found = only_near(texts.where("doc_id IS NOT NULL"), id_filter(wanted)).mapInArrow(rows, "doc_id long, shingles binary")
+    return stored(found, "shingles")
 
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose whole sets are similar enough."""
+def _verified(docs: DataFrame, described: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose whole sets are similar enough: those that their sketches allow are read and compared."""
+
+    def allow(batches):
+        for batch in batches:
+            keep = []
+            for x, y, a, b in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "x_n", "y_n"))):
+                keep.append(_least_difference(x, y) <= a + b - 2 * overlap(a, b, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    sketched = described.select("doc_id", "sketch", "n")
+    x = sketched.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("x_n"))
+    y = sketched.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("y_n"))
+    pairs = stored(pairs.join(x, "a").join(y, "b").mapInArrow(allow, "a long, b long"), "pairs")
     sets = _sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), k)
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
@@ -230,7 +258,7 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         met.join(bits.alias("x"), F.col("a") == F.col("x.doc_id")).join(bits.alias("y"), F.col("b") == F.col("y.doc_id"))
         .where(_close("x", "y", percent)).select("a", "b"), "pairs",
     )
-    first = _verified(docs, pairs, k, percent).unionByName(stored(light.distinct(), "light"))
+    first = _verified(docs, chosen, pairs, k, percent).unionByName(stored(light.distinct(), "light"))
 
     labels = stored(components(first), "labels")
     labelled = shared.join(labels, shared.doc_id == labels.id, "left").select(
@@ -248,7 +276,7 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     more = stored(more.join(pairs, ((more.a == pairs.a) & (more.b == pairs.b)), "left_anti")
                   .join(pairs.select(F.col("a").alias("c"), F.col("b").alias("d")),
                         (F.col("a") == F.col("d")) & (F.col("b") == F.col("c")), "left_anti"), "pairs")
-    links = first.unionByName(_verified(docs, more, k, percent)).unionByName(copies)
+    links = first.unionByName(_verified(docs, chosen, more, k, percent)).unionByName(copies)
     found = components(links)
     ids = described.groupBy("doc_id").agg(F.max("n").alias("n_shingles"))
     return ids.join(found, ids.doc_id == found.id, "left").select(

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tierwell.llm import textscan
-from tierwell.llm.common import only_near, stored, summed
+from tierwell.llm.common import id_filter, only_near, stored, summed
 
 SIGNS, ORDER = 32, 4
 CELLS = SIGNS**ORDER
@@ -152,7 +152,7 @@ def classify(
         F.min(F.when((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0), 1).otherwise(0)).alias("good")
     )
     trusted = stored(judged.where("good = 1").select("doc_id"), "trusted")
-    training = only_near(texts.select("doc_id", "text"), trusted).join(trusted, "doc_id", "left_semi")
+    training = only_near(texts.select("doc_id", "text").where("doc_id IS NOT NULL"), id_filter(trusted)).join(trusted, "doc_id", "left_semi")
     orders = kneser_ney(stored(gram_counts(training), "counts"))
     table = log_probabilities(gram_counts(texts), orders)
     scored = stored(perplexities(texts, table), "perplexities")

@@ -92,14 +92,25 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return mixed(out)
 
 
-def byte_grams(buffer: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every run of k consecutive bytes."""
-    n = len(buffer) - k + 1
+def byte_values(buffer: np.ndarray) -> np.ndarray:
+    """A random odd number for each byte."""
+    return _BYTE[buffer]
+
+
+def grams_of(values: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every run of k consecutive values, by differences of a running sum: the cost doesn't depend on k."""
+    n = len(values) - k + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    total = np.zeros(len(buffer) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[buffer] * _power(len(buffer), _BASE, "up"), out=total[1:])
-    return mixed((total[k:] - total[:-k]) * _power(n, _INVERSE, "down"))
+    starts = np.arange(n)
+    return span_hashes(values, starts, starts + k)
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of ``values[start:end]`` for each pair."""
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * _power(len(values), _BASE, "up"), out=total[1:])
+    return mixed((total[ends] - total[starts]) * _power(len(values) + 1, _INVERSE, "down")[starts])
 
 
 def shingle_sets(buffer: np.ndarray, offsets: np.ndarray, k: int, lower: bool = True):
