@@ -88,3 +88,13 @@ def op2_line_dedup(spark, sf_dir):
         "doc_id", "CAST(n_lines AS BIGINT) AS n_lines", "CAST(n_removed AS BIGINT) AS n_removed",
         "sha2(text, 256) AS kept_sha256",
     )
+
+
+@query("op5_suffix_array_dedup")
+def op5_suffix_array_dedup(spark, sf_dir):
+    """Bytes of every document that an earlier occurrence of 100 bytes covers."""
+    from tierwell.llm.suffix_array import dedup_substrings
+
+    return dedup_substrings(table(spark, sf_dir, "documents"), length=100).selectExpr(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) AS kept_sha256"
+    )

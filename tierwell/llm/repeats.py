@@ -65,7 +65,7 @@ def segments(spec: Windows, values: np.ndarray, bounds: np.ndarray):
         row = row_of[at : at + len(anchor)]
         good = row == row_of[at + spec.length - 1 : at + spec.length - 1 + len(anchor)]
         new = np.ones(len(anchor), dtype=bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+        new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1]) | (good[1:] != good[:-1])
         end = np.append(new[1:], True)
         first, last = np.flatnonzero(new & good), np.flatnonzero(end & good)
         found.append((row[first], anchor[first] + at, first + at, last + at, grams[anchor[first]]))
