@@ -98,3 +98,13 @@ def op5_suffix_array_dedup(spark, sf_dir):
     return dedup_substrings(table(spark, sf_dir, "documents"), length=100).selectExpr(
         "doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) AS kept_sha256"
     )
+
+
+@query("op6_suffix_tree_dedup")
+def op6_suffix_tree_dedup(spark, sf_dir):
+    """Words of every document that a window of 13 words of an earlier document covers."""
+    from tierwell.llm.suffix_tree import dedup_words
+
+    return dedup_words(table(spark, sf_dir, "documents"), length=13).selectExpr(
+        "doc_id", "n_words", "n_removed", "sha2(kept, 256) AS kept_sha256"
+    )
