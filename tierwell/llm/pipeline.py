@@ -1,8 +1,32 @@
-"""Stages of the corpus pipeline, each around one operator of this package."""
+"""Stages of the corpus pipeline, each around one operator of this package.
 
+Each takes (spark, docs, sf_dir). All but the last return the columns they were given. Rows without an id are dropped
+by the first stage, as no later decision could name them.
+"""
+
+import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
+from tierwell.llm.common import stored
 from tierwell.llm.jaccard_join import link_components
+from tierwell.llm.language_id import from_documents, identify
+from tierwell.llm.line_dedup import dedup_lines
+from tierwell.llm.mixing import mix
+from tierwell.llm.packing import pack
+
+
+def drop_unknown_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is unknown or unsure go, and those without letters."""
+    rejected = stored(identify(from_documents(docs), "doc_id").where("NOT kept").select("doc_id").distinct(), "rejected")
+    return docs.where("doc_id IS NOT NULL").join(rejected, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_repeated_lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier line resembles go; documents stay, with ``n_chars`` of what is left of their text."""
+    fewer = dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        fewer = fewer.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")))
+    return fewer.select(docs.columns)
 
 
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -11,8 +35,24 @@ def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words are in no group and stay. Rows that repeat an id stay with it.
     """
     groups = link_components(docs.select("doc_id", "text"), k=5, percent=80)
-    later = groups.where("component_id != doc_id").select("doc_id")
+    later = stored(groups.where("component_id != doc_id").select("doc_id"), "later")
     return docs.join(later, "doc_id", "left_anti").select(docs.columns)
 
 
-STAGES = [("jaccard_join", drop_near_copies)]
+def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture in its target weights; a document of a second epoch is a row of its own."""
+    return mix(docs).select(docs.columns)
+
+
+def pack_sequences(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 2048 tokens."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language_id", drop_unknown_languages),
+    ("line_dedup", drop_repeated_lines),
+    ("jaccard_join", drop_near_copies),
+    ("source_mixing", mix_sources),
+    ("cutting_stock_packing", pack_sequences),
+]

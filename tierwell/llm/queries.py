@@ -108,3 +108,19 @@ def op6_suffix_tree_dedup(spark, sf_dir):
     return dedup_words(table(spark, sf_dir, "documents"), length=13).selectExpr(
         "doc_id", "n_words", "n_removed", "sha2(kept, 256) AS kept_sha256"
     )
+
+
+@query("op7_va_file_search")
+def op7_va_file_search(spark, sf_dir):
+    """The ten best of every hundredth vector, against all others."""
+    from tierwell.llm.va_file import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10, scale=1024)
+
+
+@query("op9_collision_near_dedup")
+def op9_collision_near_dedup(spark, sf_dir):
+    """Vectors of one label whose cosine is 0.98 or more."""
+    from tierwell.llm.collision_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
