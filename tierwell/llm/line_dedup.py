@@ -29,13 +29,12 @@ _BLANKS = " \t\x0b\f\r"
 
 
 def _tokens(line: Column, k: int) -> Column:
-    """Sorted distinct hashes of the line's k-word shingles."""
-    words = F.split(F.btrim(line, F.lit(_BLANKS)), "[ \\t\\x0B\\f\\r]+")
-    return F.transform(
-        F.array(words), lambda w: F.when(F.size(w) >= k, F.sort_array(F.array_distinct(F.transform(
-            F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)])
-        ))))
-    )[0]
+    """Distinct hashes of the line's k-word shingles; null with fewer words. Words are hashed once each."""
+    words = F.array_remove(F.split(F.translate(line, _BLANKS, "     "), " "), "")
+    hashes = F.transform(F.array(words), lambda w: F.when(F.size(w) >= k, F.transform(w, lambda x: F.xxhash64(x))))
+    return F.transform(hashes, lambda h: F.array_distinct(
+        F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
+    ))[0]
 
 
 def _dense(rows: DataFrame, size: int, name: str) -> DataFrame:
@@ -93,12 +92,15 @@ def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, line (from 0) of the lines that have an earlier match."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     tokens = _lines(docs).select("doc_id", "line", _tokens(F.col("words"), k).alias("tokens")).where("tokens IS NOT NULL")
-    hits = tokens.select(F.explode("tokens").alias("t")).groupBy(F.pmod("t", F.lit(CELLS)).alias("cell")).agg(F.count("*").alias("value"))
-    rarity = _dense(hits, CELLS, "rarity")
-    by_rarity = F.array_sort(F.transform("tokens", lambda t: F.struct(F.get(F.col("rarity"), F.pmod(t, F.lit(CELLS)).cast("int")).alias("c"), t.alias("t"))))
-    described = tokens.withColumn("rarity", rarity.scalar()).select(
-        "doc_id", "line", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("s1"), F.xxhash64("tokens", F.lit(7)).alias("s2"),
-        F.slice(by_rarity, F.lit(1), _prefix(F.size("tokens"), percent).cast("int"))["t"].alias("prefix"),
+    hits = tokens.select(F.explode("tokens").alias("t")).groupBy(F.col("t").bitwiseAND(CELLS - 1).alias("cell")).agg(F.count("*").alias("value"))
+    # Logarithms in 22 bits go before 41 bits of the hash: one number is a token and its place in the order.
+    rarity = _dense(hits.withColumn("value", F.floor(F.log1p("value") * 100_000)), CELLS, "rarity")
+    keyed = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(
+        F.get(F.col("rarity"), t.bitwiseAND(CELLS - 1).cast("int")), 41
+    ).bitwiseOR(F.shiftrightunsigned(t, 23))))
+    described = tokens.withColumn("rarity", rarity.scalar()).select("doc_id", "line", keyed.alias("keys")).select(
+        "doc_id", "line", F.size("keys").alias("n"), F.xxhash64("keys").alias("s1"), F.xxhash64("keys", F.lit(7)).alias("s2"),
+        F.slice("keys", F.lit(1), _prefix(F.size("keys"), percent).cast("int")).alias("prefix"),
     )
     occurrences = stored(described, "lines")
     firsts = occurrences.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "line")).alias("first"))
