@@ -39,7 +39,9 @@ def local_date(timestamp_text) -> Column:
 
 
 def year_end(year) -> Column:
-    return F.make_date(as_column(year), F.lit(12), F.lit(31))
+    """31 December; NULL for a year that a date cannot hold, so that a check can report it."""
+    year = as_column(year)
+    return F.when(year.between(1, 9999), F.make_date(year, F.lit(12), F.lit(31)))
 
 
 def month_start(day) -> Column:
@@ -61,8 +63,8 @@ def per_thousand(part, whole, digits: int = 1) -> Column:
 
 
 def estimate_from_rate(total, per_1000) -> Column:
-    """Population behind ``per_1000 = total / population * 1000``; NULL for a zero rate."""
-    return F.round(ratio(total, per_1000) * F.lit(1000)).cast("int")
+    """Population behind ``per_1000 = total / population * 1000``; NULL for a zero rate or one too large for INT."""
+    return F.round(ratio(total, per_1000) * F.lit(1000)).try_cast("int")
 
 
 def resolution_minutes(period_count) -> Column:

@@ -45,11 +45,11 @@ def missing_members(present: DataFrame, expected: DataFrame, keys, member: str,
     """(keys, member) that should exist but do not.
 
     ``expected`` lists the keys, ``wanted`` is an array expression with the members each key
-    should have (a calendar, a code list).  The present rows are reduced to distinct cells on
-    the map side first, so what is collected per key is bounded by the number of members, and
-    only missing cells are emitted; the full grid is not built.
+    should have (a calendar, a code list).  Expected cells are dealt out by key and member, so
+    no key is gathered in one row, and meet the distinct present ones in an anti join.
     """
     keys = list(keys)
-    have = present.select(*keys, member).distinct().groupBy(*keys).agg(F.collect_list(member).alias("_have"))
-    gap = F.array_except(wanted, F.coalesce(F.col("_have"), F.slice(wanted, 1, 0)))
-    return expected.join(have, keys, "left").select(*keys, F.explode(gap).alias(member))
+    cells = expected.select(*keys).withColumn(member, F.explode(wanted)).distinct()
+    have = present.select(*keys, member).distinct()
+    matches = [cells[c].eqNullSafe(have[c]) for c in (*keys, member)]
+    return cells.join(have, reduce(Column.__and__, matches), "left_anti")

@@ -6,11 +6,13 @@ executor or a failed write leaves the old version in place.
 """
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierwell.config import RunConfig, shared_folder
 from tierwell.operators import upsert as U
+from tierwell.operators.dedup import duplicate_keys
 from tierwell.operators.joins import distinct_array
 
 
@@ -100,6 +102,8 @@ def merge(source: DataFrame, config: RunConfig, layer: str, name: str, keys,
     only; any other table gets a new version as a whole.
     """
     spark, table = source.sparkSession, config.table(layer, name)
+    if not duplicate_keys(source, keys).isEmpty():
+        raise ValueError(f"{table}: source rows share a key; nothing was written")
     if not exists(spark, table):
         total = publish(source, config, layer, name, stored_by)
         return MergeResult(total, 0, 0, total)
@@ -131,6 +135,13 @@ def _only_partitions(target: DataFrame, rows: DataFrame, stored_by: str | None)
     return target.where(F.array_contains(distinct_array(rows, stored_by), F.col(stored_by)))
 
 
+def _written_folders(spark: SparkSession, path: str, stored_by: str) -> list[str]:
+    """Names of the partition folders below ``path`` as Spark wrote them, special characters escaped its way."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    return [unquote(name) for (name,) in files.select(folder).distinct().collect()]
+
+
 def _replace_partitions(spark, table, target, changes, keys, stored_by, path) -> None:
     """The key holds the partition column, so a change never moves a row between partitions.
 
@@ -139,10 +150,13 @@ def _replace_partitions(spark, table, target, changes, keys, stored_by, path) ->
     """
     if stored_by not in keys:
         raise ValueError(f"{table} is stored by {stored_by}, which is not part of its key")
+    if not changes.where(F.col(stored_by).isNull()).isEmpty():
+        raise ValueError(f"{table} is stored by {stored_by}, and a changed row has none")
     write_parquet(U.apply_changes(_only_partitions(target, changes, stored_by), changes, keys), path, stored_by)
-    for (value,) in changes.select(stored_by).distinct().collect():
+    for folder in _written_folders(spark, path, stored_by):
+        value = unquote(folder.partition("=")[2]).replace("\\", "\\\\").replace("'", "\\'")
         partition = f"PARTITION (`{stored_by}` = '{value}')"
-        location = f"LOCATION '{path}/{stored_by}={value}'"
+        location = "LOCATION '" + f"{path}/{folder}".replace("\\", "\\\\").replace("'", "\\'") + "'"
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition} {location}")
         spark.sql(f"ALTER TABLE {table} {partition} SET {location}")
     spark.catalog.refreshTable(table)

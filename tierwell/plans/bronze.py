@@ -35,15 +35,23 @@ def _append(config: RunConfig, name: str, rows: DataFrame, fresh: DataFrame) ->
 
 
 def _load_new(spark, config: RunConfig, name: str, landed: DataFrame,
-              read: Callable[[tuple], DataFrame], finish: Callable[[DataFrame], DataFrame]) -> int:
-    """Read, finish and append the files that are new.  Returns their number, 0 when there are none."""
+              relist: Callable[[tuple], DataFrame], read: Callable[[tuple], DataFrame],
+              finish: Callable[[DataFrame], DataFrame]) -> int:
+    """Read, finish and append the files that are new.  Returns their number, 0 when there are none.
+
+    Before anything is appended, ``relist`` shows which files the read's interval reaches: a fresh file
+    that is not among them stops the load, so none can enter the manifest unread.
+    """
     fresh = _fresh_files(spark, config, name, landed)
-    between, mixed = manifest.read_window(landed, fresh)
-    if between is None:
-        return 0
     # Kept as a file of its own: the manifest it is compared with is about to grow.
     fresh = storage.stage(fresh, config, f"fresh_{name}")
-    return _append(config, name, finish(manifest.only(read(between), fresh, mixed)), fresh)
+    between = manifest.read_window(fresh)
+    if between is None:
+        return 0
+    unread = manifest.unseen(fresh, relist(between)).count()
+    if unread:
+        raise RuntimeError(f"{name}: {unread} listed files are gone, changed or outside the read; nothing was appended")
+    return _append(config, name, finish(manifest.only(read(between), fresh)), fresh)
 
 
 def _listing(spark, config: RunConfig, name: str, root: str, folders: int = 0) -> DataFrame:
@@ -70,6 +78,8 @@ def load_cube(spark: SparkSession, config: RunConfig, name: str) -> int:
         checks.add(
             quality.declared_size(name, "cells as declared by the sizes", cube.size_report(outlines, rows)),
             quality.Check(name, "dimensions as expected", cube.unexpected_dimensions(outlines, dimensions)),
+            quality.Check(name, "members as the sizes say, with codes and labels",
+                          cube.wrong_members(documents, dimensions, C.LABELLED_DIMENSIONS)),
         )
         checks.enforce("before append", "Nothing was appended.")
         columns = [c for c in rows.columns if c != "_source_file"]
@@ -77,6 +87,7 @@ def load_cube(spark: SparkSession, config: RunConfig, name: str) -> int:
 
     return _load_new(
         spark, config, name, _listing(spark, config, name, root),
+        lambda between: landing.landed_files(spark, root, between=between),
         lambda between: landing.read_documents(spark, root, between), flatten_and_check,
     )
 
@@ -101,6 +112,7 @@ def load_prices(spark: SparkSession, config: RunConfig) -> int:
     checks.enforce("before append", "Nothing was appended.")
     return _load_new(
         spark, config, C.PRICE_TABLE, landed,
+        lambda between: landing.landed_files(spark, root, len(landing.PRICE_FOLDERS), between=between),
         lambda between: landing.read_prices(spark, root, between),
         # Price files are small; without the rebalance every read task would append a small file.
         lambda rows: rows.select(
@@ -133,7 +145,9 @@ def cube_worklist(spark: SparkSession, config: RunConfig, name: str, metadata: D
 
 def run(spark: SparkSession, config: RunConfig) -> dict[str, int]:
     """Load everything that is new; the number of files per table."""
-    loaded = {name: load_cube(spark, config, name) for name in C.CUBE_TABLES}
-    loaded[C.PRICE_TABLE] = load_prices(spark, config)
-    storage.drop_stage(spark, config)
+    try:
+        loaded = {name: load_cube(spark, config, name) for name in C.CUBE_TABLES}
+        loaded[C.PRICE_TABLE] = load_prices(spark, config)
+    finally:
+        storage.drop_stage(spark, config)
     return loaded

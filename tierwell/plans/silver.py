@@ -66,10 +66,6 @@ _PERIODS = {
 }
 
 
-# 100,000 texts of at most ten characters are a few megabytes; beyond that the join shuffles.
-_BROADCAST_PERIODS = 100_000
-
-
 def _touched(bronze: DataFrame, column: str, since) -> DataFrame:
     """All loads of the periods that have a load newer than ``since``.
 
@@ -78,24 +74,23 @@ def _touched(bronze: DataFrame, column: str, since) -> DataFrame:
     Every load of a touched period is kept: which one wins is for the deduplication to say.
     """
     loads = bronze.withColumn("_period", F.coalesce(F.substring(column, 1, 10), F.lit("")))
-    periods = loads.where(F.col("_ingested_at") > F.lit(since)).select("_period").distinct()
-    first, last, count = periods.agg(F.min("_period"), F.max("_period"), F.count("*")).first()
-    if not count:
+    periods = loads.where(F.col("_ingested_at") > F.timestamp_micros(F.lit(since))).select("_period").distinct()
+    first, last = periods.agg(F.min("_period"), F.max("_period")).first()
+    if first is None:
         return bronze.where(F.lit(False))
-    if count <= _BROADCAST_PERIODS:  # counted; unhinted, Spark would size the list by the table it comes from
-        periods = F.broadcast(periods)
-    # A missing period counts as "" and has no bounds; "\uffff" sorts after any rest of the text.
-    near = loads.where(F.col(column).between(first, last + "\uffff")) if first else loads
+    # A missing period counts as "", which has no lower bound.
+    near = loads.where((F.col(column) >= first) & (F.col("_period") <= last)) if first else loads
     return near.join(periods, "_period", "left_semi").drop("_period")
 
 
-def _merged_through(spark: SparkSession, config: RunConfig, bronze: dict) -> dict:
-    """Per bronze table, the load time up to which it has been merged; None before the first merge."""
+def _merged_through(spark: SparkSession, config: RunConfig) -> dict:
+    """Per fact, the load time (microseconds) up to which bronze is merged; None before, or when the fact is gone."""
     done = config.table("ops", "merged_loads")
-    if not storage.exists(spark, done):
-        return dict.fromkeys(bronze)
-    newest = spark.table(done).groupBy("table_name").agg(F.max("merged_through")).collect()  # one row per table
-    return dict.fromkeys(bronze) | {name: through for name, through in newest}
+    through = dict.fromkeys(_PERIODS)
+    if storage.exists(spark, done):
+        newest = spark.table(done).groupBy("table_name").agg(F.max("merged_through")).collect()  # one row per fact
+        through |= {name: micros for name, micros in newest if storage.exists(spark, config.table(LAYER, name))}
+    return through
 
 
 def run(spark: SparkSession, config: RunConfig, only_touched: bool = False) -> dict[str, storage.MergeResult]:
@@ -104,17 +99,25 @@ def run(spark: SparkSession, config: RunConfig, only_touched: bool = False) -> d
     By default every fact is rebuilt from all of bronze, and the checks see all of it.  With
     ``only_touched`` the facts are rebuilt for the periods that were loaded since the last
     merge; a merge never deletes, so the tables end up the same, but checks on facts (such as
-    the complete grid) then cover those periods only.  Dimensions always use all of bronze.
+    the complete grid) then cover those periods only.  A fact that is not there is built from all of
+    bronze.  Dimensions always use all of bronze.
     """
+    try:
+        return _run(spark, config, only_touched)
+    finally:
+        storage.drop_stage(spark, config)
+
+
+def _run(spark: SparkSession, config: RunConfig, only_touched: bool) -> dict[str, storage.MergeResult]:
     storage.create_schemas(spark, config, LAYER, "ops")
     checks = Q.QualityChecks(spark, config.results_table, config.run_id, LAYER)
     bronze = {name: spark.table(config.table("bronze", name)) for name in (*C.CUBE_TABLES, C.PRICE_TABLE)}
-    through = {name: df.agg(F.max("_ingested_at")).first()[0] for name, df in bronze.items()}
+    through = {name: df.agg(F.unix_micros(F.max("_ingested_at"))).first()[0] for name, df in bronze.items()}
     frames = curated.build_all(*bronze.values())
     if only_touched:
-        since = _merged_through(spark, config, bronze)
+        since = _merged_through(spark, config)
         recent = {
-            fact: bronze[name] if since[name] is None else _touched(bronze[name], column, since[name])
+            fact: bronze[name] if since[fact] is None else _touched(bronze[name], column, since[fact])
             for fact, (name, column) in _PERIODS.items()
         }
         frames |= curated.build_facts(*recent.values())
@@ -122,16 +125,17 @@ def run(spark: SparkSession, config: RunConfig, only_touched: bool = False) -> d
     # Stored once: the checks and the merge see the same rows, and nothing is computed twice.
     built = {name: storage.stage(df, config, f"{LAYER}_{name}") for name, df in frames.items()}
     checks.add(*checks_before_write(built, bronze["scb_cars_in_traffic"]))
-    checks.enforce("before write", "Nothing was written; the tables are as the last good run left them.")
+    checks.enforce("before write", "No merge was started.")
 
     results = {
         name: storage.merge(df, config, LAYER, name, curated.KEYS[name], curated.STORED_BY.get(name))
         for name, df in built.items()
     }
-    merged = spark.createDataFrame(list(through.items()), "table_name string, merged_through timestamp")
+    merged = spark.createDataFrame(
+        [(fact, through[name]) for fact, (name, _) in _PERIODS.items()], "table_name string, merged_through long"
+    )
     storage.append(merged, config.table("ops", "merged_loads"))
     for name, keys in curated.KEYS.items():
         checks.add(Q.unique_key(name, "stored keys are unique", spark.table(config.table(LAYER, name)), keys))
-    checks.enforce("after write", "The tables were written and another writer has left them inconsistent.")
-    storage.drop_stage(spark, config)
+    checks.enforce("after write", "Two writers merged into silver at once; drop the table and merge again.")
     return results

@@ -90,6 +90,35 @@ def unexpected_dimensions(outlines: DataFrame, dimensions) -> DataFrame:
     return outlines.where(S.differs(F.col("dimensions"), wanted))
 
 
+def wrong_members(documents: DataFrame, dimensions, labelled=(), text: str = "value") -> DataFrame:
+    """Per document and dimension whose members do not fit: their number next to the declared one, and the gaps.
+
+    Cells are placed by the declared sizes, so a member too few or too many would shift or drop codes without
+    changing the number of rows.  Codes must be there, once each, and labelled dimensions need a label for each.
+    """
+    parsed = parse(documents, text, DOCUMENT.replace("value string, ", ""))
+    lineage = [c for c in parsed.columns if c != "doc"]
+
+    def report(name: str) -> Column:
+        category = F.col("doc.dimension")[name]["category"]
+        codes = F.coalesce(member_codes(category["index"]), F.array().cast("array<string>"))
+        unlabelled = F.size(F.filter(_labels_of(codes, category["label"]), lambda label: label.isNull()))
+        return F.struct(
+            F.lit(name).alias("dimension"),
+            F.get("doc.size", F.array_position("doc.id", name).cast("int") - 1).alias("declared_members"),
+            F.size(codes).alias("members"),
+            F.size(F.array_distinct(F.filter(codes, lambda code: code.isNotNull()))).alias("distinct_codes"),
+            (F.coalesce(unlabelled, F.size(codes)) if name in labelled else F.lit(0)).alias("unlabelled"),
+        )
+
+    reports = parsed.select(*lineage, F.explode(F.array(*[report(name) for name in dimensions])).alias("report"))
+    fits = (
+        F.col("declared_members").eqNullSafe(F.col("members")) & (F.col("members") == F.col("distinct_codes"))
+        & (F.col("unlabelled") == 0)
+    )
+    return reports.select(*lineage, "report.*").where(~fits)
+
+
 def size_report(outlines: DataFrame, rows: DataFrame, file: str = "_source_file") -> DataFrame:
     """Per file: declared cells next to the rows that came out of it."""
     actual = rows.groupBy(file).agg(F.count("*").alias("actual_cells"))

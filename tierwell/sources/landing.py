@@ -19,8 +19,9 @@ def source_file(folders: int = 0) -> Column:
     return F.substring_index("_metadata.file_path", "/", -(folders + 1))
 
 
-def landed_files(spark: SparkSession, root: str, folders: int = 0, pattern: str = JSON_FILES) -> DataFrame:
-    """(source_file, modified_at) of every landed file; the contents are not read.
+def landed_files(spark: SparkSession, root: str, folders: int = 0, pattern: str = JSON_FILES,
+                 between: tuple | None = None) -> DataFrame:
+    """(source_file, modified_at) of every landed file, or of those in an interval; the contents are not read.
 
     A root that does not exist yet holds no files.
     """
@@ -30,15 +31,15 @@ def landed_files(spark: SparkSession, root: str, folders: int = 0, pattern: str
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "source_file string, modified_at timestamp")
-    return files.select(source_file(folders).alias("source_file"), F.col(_MODIFIED).alias("modified_at"))
+    return with_lineage(files.select("path", "_metadata"), folders, between).select("source_file", "modified_at")
 
 
 def with_lineage(df: DataFrame, folders: int, between: tuple | None) -> DataFrame:
-    """Adds file lineage; ``between`` limits the read to files modified in that closed interval.
+    """Adds file lineage; ``between`` limits the read to files modified in that closed interval of microseconds.
 
     The limit is on file metadata, so Spark drops the other files before any task reads them.
     """
-    rows = df if between is None else df.where(F.col(_MODIFIED).between(*[F.lit(t) for t in between]))
+    rows = df if between is None else df.where(F.col(_MODIFIED).between(*[F.timestamp_micros(F.lit(t)) for t in between]))
     return rows.select("*", source_file(folders).alias("source_file"), F.col(_MODIFIED).alias("modified_at"))
 
 

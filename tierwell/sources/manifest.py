@@ -14,19 +14,16 @@ def unseen(landed: DataFrame, known: DataFrame) -> DataFrame:
     return landed.join(known.select(*KEY), KEY, "left_anti")
 
 
-def read_window(landed: DataFrame, fresh: DataFrame):
-    """((oldest, newest) modification time of the fresh files, whether that interval holds other files too).
+def read_window(fresh: DataFrame) -> tuple[int, int] | None:
+    """(oldest, newest) modification time of the fresh files in microseconds of the epoch, None when nothing is new.
 
-    Four scalars, however many files there are; the interval is None when nothing is new.  In the
-    usual run every new file is newer than every loaded one, and the interval alone selects them.
+    Two numbers, however many files there are.  They never become a Python datetime, which has no
+    place for the repeated hour of a local time.
     """
-    oldest, newest, count = fresh.agg(F.min("modified_at"), F.max("modified_at"), F.count("*")).first()
-    if not count:
-        return None, False
-    inside = landed.where(F.col("modified_at").between(F.lit(oldest), F.lit(newest))).count()
-    return (oldest, newest), inside != count
+    oldest, newest = fresh.agg(F.unix_micros(F.min("modified_at")), F.unix_micros(F.max("modified_at"))).first()
+    return None if oldest is None else (oldest, newest)
 
 
-def only(rows: DataFrame, fresh: DataFrame, mixed: bool) -> DataFrame:
-    """Rows of fresh files; joins with the file list only when the interval is mixed."""
-    return rows.join(fresh.select(*KEY), KEY, "left_semi") if mixed else rows
+def only(rows: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Rows of fresh files.  The interval of the read may hold others; this join is what decides."""
+    return rows.join(fresh.select(*KEY), KEY, "left_semi")
