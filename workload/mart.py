@@ -1,12 +1,14 @@
 """Star schema, trailing-period measures and the decision table over the driver's tables."""
 
 import datetime
+import uuid
 from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from tierwell.config import shared_folder
 from tierwell.functions import scalars as S
-from tierwell.operators import aggregates, star, trailing
+from tierwell.operators import aggregates, star, storage, trailing
 from tierwell.operators.joins import enrich
 from workload import tables as T
 from workload.registry import query
@@ -221,11 +223,12 @@ def freshness(spark, sf_dir):
     return star.freshness_lags(facts)
 
 
-def nation_star(spark, sf_dir):
+def nation_star(spark, sf_dir, stage=lambda df, name: df):
     """The star schema at nation grain.
 
     Orders are counted per customer before the join, so a customer with very many of them
-    brings one row per month and priority to it.
+    brings one row per month and priority to it.  ``stage(df, name)`` may store what several
+    tables are made of; the counts have a row per nation, month, priority and segment.
     """
     municipality = T.municipalities(spark, sf_dir)
     customer = T.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -238,6 +241,7 @@ def nation_star(spark, sf_dir):
         .agg(F.sum("orders").alias("orders"))
         .join(municipality.select(F.col("n_nationkey").alias("c_nationkey"), "municipality_code"), "c_nationkey")
     )
+    counts = stage(counts, "counts")
     registrations = counts.groupBy("municipality_code", "registration_month", "fuel_type_code").agg(
         F.sum("orders").alias("registration_count")
     )
@@ -280,8 +284,10 @@ SELECT * REPLACE (nullif(cars_legal_entities, 0) AS cars_legal_entities, nullif(
                        AS legal_entity_share_of_fleet)
 FROM ({CANDIDATES_SQL})""")
 def decision_table(spark, sf_dir):
-    """The decision table from the star schema, as the gold job builds it."""
-    return star.decision_table(nation_star(spark, sf_dir), NATION_CODES, PRICE_DAYS)
+    """The decision table from the star schema, as the gold job builds it: over stored facts."""
+    folder = f"{shared_folder(spark)}/star/{uuid.uuid4().hex}"
+    tables = nation_star(spark, sf_dir, lambda df, name: storage.write_parquet(df, f"{folder}/{name}"))
+    return star.decision_table(tables, NATION_CODES, PRICE_DAYS)
 
 
 @query("star_dim_municipality", f"""
