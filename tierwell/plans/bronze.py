@@ -54,6 +54,18 @@ def _load_new(spark, config: RunConfig, name: str, landed: DataFrame,
     return _append(config, name, finish(manifest.only(read(between), fresh)), fresh)
 
 
+def load_files(spark: SparkSession, config: RunConfig, name: str, root: str, folders: int,
+               read: Callable[..., DataFrame], finish: Callable[[DataFrame], DataFrame],
+               pattern: str = landing.JSON_FILES) -> int:
+    """One incremental load of the files below ``root`` with ``read(spark, root, between)``; the number of new files."""
+    landed = storage.stage(landing.landed_files(spark, root, folders, pattern), config, f"landed_{name}")
+    return _load_new(
+        spark, config, name, landed,
+        lambda between: landing.landed_files(spark, root, folders, pattern, between),
+        lambda between: read(spark, root, between), finish,
+    )
+
+
 def _listing(spark, config: RunConfig, name: str, root: str, folders: int = 0) -> DataFrame:
     """The landed files, listed once per run."""
     return storage.stage(landing.landed_files(spark, root, folders), config, f"landed_{name}")

@@ -43,7 +43,8 @@ def with_lineage(df: DataFrame, folders: int, between: tuple | None) -> DataFram
     return rows.select("*", source_file(folders).alias("source_file"), F.col(_MODIFIED).alias("modified_at"))
 
 
-def read_prices(spark: SparkSession, root: str, between: tuple | None = None, whole_files: bool = True) -> DataFrame:
+def read_prices(spark: SparkSession, root: str, between: tuple | None = None, whole_files: bool = True,
+                pattern: str = JSON_FILES) -> DataFrame:
     """Price rows as text: one file holds one array of periods, missing fields become NULL.
 
     The folder columns are part of the schema, as text, so codes keep their form and no folder
@@ -52,7 +53,7 @@ def read_prices(spark: SparkSession, root: str, between: tuple | None = None, wh
     """
     schema = ", ".join(f"{name} string" for name in (*PRICE_FIELDS, *PRICE_FOLDERS))
     reader = spark.read.schema(schema).option("multiLine", whole_files).option("mode", "FAILFAST")
-    rows = with_lineage(reader.option("pathGlobFilter", JSON_FILES).json(root), len(PRICE_FOLDERS), between)
+    rows = with_lineage(reader.option("pathGlobFilter", pattern).json(root), len(PRICE_FOLDERS), between)
     return rows.select("elomrade", *PRICE_FIELDS, "source_file", "modified_at")
 
 

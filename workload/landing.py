@@ -3,9 +3,12 @@
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tierwell.config import shared_folder
+from tierwell.config import RunConfig, shared_folder
+from tierwell.operators import storage
 from tierwell.operators.quality import declared_size
+from tierwell.plans import bronze
 from tierwell.sources import cube, landing
 from workload import tables as T
 from workload.registry import query
@@ -97,6 +100,66 @@ def cube_sizes(spark, sf_dir):
     return report.withColumn("matches", ~declared_size("cube", "declared", report).bad)
 
 
+@query("cube_wrong_members", """
+SELECT DISTINCT 'cube_' || o_custkey || '.json' AS _source_file, 'Drivmedel' AS dimension,
+       CAST(CASE o_custkey % 4 WHEN 1 THEN 6 WHEN 2 THEN 4 ELSE 5 END AS INTEGER) AS declared_members,
+       CAST(5 AS INTEGER) AS members, CAST(5 AS INTEGER) AS distinct_codes,
+       CAST(CASE o_custkey % 4 WHEN 3 THEN 1 ELSE 0 END AS INTEGER) AS unlabelled
+FROM orders WHERE o_custkey % 4 > 0""")
+def cube_wrong_members(spark, sf_dir):
+    """Three of four documents are made wrong: a member too few, one too many, a label missing."""
+    height, width = len(PRIORITIES), len(YEARS)
+    number = F.regexp_extract("_source_file", r"\d+", 0).cast("long") % 4
+    sizes = lambda n: f'"size":[1,{n},1,{width}]'
+    text = F.when(number == 1, F.replace("text", F.lit(sizes(height)), F.lit(sizes(height + 1)))).when(
+        number == 2, F.replace("text", F.lit(sizes(height)), F.lit(sizes(height - 1)))
+    ).when(number == 3, F.replace("text", F.lit(',"5":"LOW"'), F.lit(""))).otherwise(F.col("text"))
+    documents = cube_documents(spark, sf_dir).withColumn("text", text)
+    return cube.wrong_members(documents, DIMENSIONS, ("Region", "Drivmedel"), text="text")
+
+
+@query("incremental_load", """
+WITH e AS (SELECT event_type, CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1, 2),
+     half AS (SELECT min(d) + CAST((max(d) - min(d)) // 2 AS INTEGER) AS cut FROM e)
+SELECT CAST(CASE WHEN d <= cut THEN 1 ELSE 2 END AS INTEGER) AS load, count(*) AS files,
+       CAST(sum(n) AS BIGINT) AS row_count, count(*) AS reported
+FROM e, half GROUP BY 1
+UNION ALL SELECT 3, 0, 0, 0""")
+def incremental_load(spark, sf_dir):
+    """Events land as one JSON array a file in two parts; the bronze load runs after each, and once more."""
+    name = uuid.uuid4().hex
+    folder = f"{shared_folder(spark)}/incremental/{name}"
+    config = RunConfig(landing=f"{folder}/landing", storage=f"{folder}/tables", prefix=f"inc_{name}_")
+    root = f"{config.landing}/elpris"
+    storage.create_schemas(spark, config, "bronze", "ops")
+    events = T.table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
+    ends = events.agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    cut = ends.select(F.date_add("a", F.floor(F.datediff("b", "a") / 2).cast("int"))).scalar()
+    period = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+01:00'").alias("time_start"), F.col("value").alias("SEK_per_kWh"))
+    files = events.groupBy(F.col("event_type").alias("elomrade"), F.year("day").alias("ar"), "day").agg(
+        F.to_json(F.collect_list(period)).alias("value")
+    )
+    reported = []
+    for part in (files.where(F.col("day") <= cut), files.where(F.col("day") > cut), None):
+        if part is not None:  # a file holds one array, as the download leaves it
+            part.drop("day").write.mode("append").option("maxRecordsPerFile", 1).option("lineSep", "\n").partitionBy(
+                "elomrade", "ar").format("text").save(f"{root}")
+        reported.append(bronze.load_files(
+            spark, config, "prices", root, len(landing.PRICE_FOLDERS),
+            lambda *where: landing.read_prices(*where, pattern="*.txt"),  # the suffix of Spark's text files
+            lambda rows: rows.select("elomrade", "time_start", "SEK_per_kWh", F.col("source_file").alias("_source_file")),
+            "*.txt",
+        ))
+    by_load = lambda table, time, *more: spark.table(table).groupBy(time).agg(*more).select(
+        F.row_number().over(Window.orderBy(time)).alias("load"), "*")
+    manifest = by_load(config.table("ops", "loaded_prices"), "loaded_at", F.count("*").alias("files"))
+    rows = by_load(config.table("bronze", "prices"), "_ingested_at", F.count("*").alias("row_count"))
+    said = spark.createDataFrame(list(enumerate(reported, 1)), "load int, reported long")
+    none = F.lit(0).cast("long")
+    return said.join(manifest, "load", "left").join(rows, "load", "left").select(
+        "load", F.coalesce("files", none).alias("files"), F.coalesce("row_count", none).alias("row_count"), "reported")
+
+
 def land_events(spark, sf_dir):
     """Events as landed price files: folders per type and year, one period per line."""
     root = f"{shared_folder(spark)}/landing/{uuid.uuid4().hex}"
