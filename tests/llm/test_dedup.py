@@ -47,14 +47,14 @@ def frame(docs):
     return docs([(i, t) for i, t in TEXTS.items()]).repartition(5).cache()
 
 
-@pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80), (1, 60)])
+@pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80)])
 def test_jaccard_join(frame, k, percent):
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link_components(frame, k, percent).collect()}
     assert found == brute.jaccard_components(TEXTS, k, percent)
 
 
 def test_light_and_heavy_sets_find_the_same(frame, monkeypatch):
-    for light in (0, 13, 24):
+    for light in (0, 20):
         monkeypatch.setattr(jaccard_join, "boundary", lambda *a, x=light: x)
         found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link_components(frame, 4, 85).collect()}
         assert found == brute.jaccard_components(TEXTS, 4, 85)

@@ -4,6 +4,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierwell.llm import oracles
 from tierwell.llm.common import ship, table
 
 QUERIES = {}
@@ -27,7 +28,7 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op8_jaccard_join")
+@query("op8_jaccard_join", oracles.OP8)
 def op8_jaccard_join(spark, sf_dir):
     """Shingles of four words, Jaccard of 0.85 or more: class of every document."""
     from tierwell.llm.jaccard_join import link_components
@@ -45,7 +46,7 @@ def op4_cutting_stock_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op3_source_mixing")
+@query("op3_source_mixing", oracles.OP3)
 def op3_source_mixing(spark, sf_dir):
     """The mixture of all documents: budget of all tokens, two epochs at most."""
     from tierwell.llm.mixing import mix
@@ -79,7 +80,7 @@ def op1_kneser_ney_quality(spark, sf_dir):
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op2_line_dedup")
+@query("op2_line_dedup", oracles.OP2)
 def op2_line_dedup(spark, sf_dir):
     """Lines removed from every document: shingles of five words, Jaccard of 0.8 or more."""
     from tierwell.llm.line_dedup import dedup_lines
@@ -90,7 +91,7 @@ def op2_line_dedup(spark, sf_dir):
     )
 
 
-@query("op5_suffix_array_dedup")
+@query("op5_suffix_array_dedup", oracles.OP5)
 def op5_suffix_array_dedup(spark, sf_dir):
     """Bytes of every document that an earlier occurrence of 100 bytes covers."""
     from tierwell.llm.suffix_array import dedup_substrings
@@ -100,7 +101,7 @@ def op5_suffix_array_dedup(spark, sf_dir):
     )
 
 
-@query("op6_suffix_tree_dedup")
+@query("op6_suffix_tree_dedup", oracles.OP6)
 def op6_suffix_tree_dedup(spark, sf_dir):
     """Words of every document that a window of 13 words of an earlier document covers."""
     from tierwell.llm.suffix_tree import dedup_words
@@ -110,7 +111,7 @@ def op6_suffix_tree_dedup(spark, sf_dir):
     )
 
 
-@query("op7_va_file_search")
+@query("op7_va_file_search", oracles.OP7)
 def op7_va_file_search(spark, sf_dir):
     """The ten best of every hundredth vector, against all others."""
     from tierwell.llm.va_file import top_k
@@ -118,7 +119,7 @@ def op7_va_file_search(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10, scale=1024)
 
 
-@query("op9_collision_near_dedup")
+@query("op9_collision_near_dedup", oracles.OP9)
 def op9_collision_near_dedup(spark, sf_dir):
     """Vectors of one label whose cosine is 0.98 or more."""
     from tierwell.llm.collision_dedup import near_duplicates
