@@ -4,8 +4,8 @@ A line's tokens are its distinct shingles of k words; lines of fewer words take
 an earlier one (smaller doc_id, or same document, earlier line) has a Jaccard similarity of ``percent`` or more. Lines
 are judged on the input, not on what is left.
 
-* Rarity: how often each cell of a hashed table of fixed size is hit by any line's tokens. It orders tokens; any order is
-  right, and rare tokens first keep the lists short.
+* Rarity: how often each cell of a hashed table of fixed size is hit by any line's shingles. It orders tokens; any order
+  is right, and rare tokens first keep the lists short.
 * Lines with the same tokens are one set, known by its first occurrence; every later one is removed at once.
 * The prefix of a set of n tokens, its n - ceil(percent n / 100) + 1 rarest ones, holds a token of each partner's prefix.
   Sets meet in the list of a token, if sizes and positions leave room for the overlap that is needed.
@@ -23,20 +23,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tierwell.llm.common import stored
 
 #: Cells of the rarity table, and 64-bit words of the bitmap of documents.
-CELLS, BITMAP = 1 << 18, 1 << 17
+CELLS, BITMAP = 1 << 16, 1 << 17
 
 _BLANKS = " \t\x0b\f\r"
 
 
-def _tokens(line: Column, k: int) -> Column:
-    """Distinct hashes of the line's k-word shingles; null with fewer words. Words are hashed once each."""
+def _shingles(line: Column, k: int) -> Column:
+    """Hashes of the line's k-word shingles; null with fewer words. Words are hashed once each."""
     words = F.array_remove(F.split(F.translate(line, _BLANKS, "     "), " "), "")
     hashes = F.transform(F.array(words), lambda w: F.when(F.size(w) >= k, F.transform(w, lambda x: F.xxhash64(x))))
-    return F.transform(hashes, lambda h: F.array_distinct(
-        F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
+    return F.transform(hashes, lambda h: F.transform(
+        F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)])
     ))[0]
 
 
+def _tokens(line: Column, k: int) -> Column:
+    return F.array_distinct(_shingles(line, k))
+
+
 def _dense(rows: DataFrame, size: int, name: str) -> DataFrame:
     """(cell, value) as one array of ``size`` values, 0 where nothing is; a table of one row."""
     filled = rows.unionByName(rows.sparkSession.range(size).select(F.col("id").alias("cell"), F.lit(0).cast("long").alias("value")))
@@ -92,7 +96,8 @@ def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, line (from 0) of the lines that have an earlier match."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     tokens = _lines(docs).select("doc_id", "line", _tokens(F.col("words"), k).alias("tokens")).where("tokens IS NOT NULL")
-    hits = tokens.select(F.explode("tokens").alias("t")).groupBy(F.col("t").bitwiseAND(CELLS - 1).alias("cell")).agg(F.count("*").alias("value"))
+    shingles = _lines(docs).select(F.explode(_shingles(F.col("words"), k)).alias("t"))
+    hits = shingles.groupBy(F.col("t").bitwiseAND(CELLS - 1).alias("cell")).agg(F.count("*").alias("value"))
     # Logarithms in 22 bits go before 41 bits of the hash: one number is a token and its place in the order.
     rarity = _dense(hits.withColumn("value", F.floor(F.log1p("value") * 100_000)), CELLS, "rarity")
     keyed = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(
