@@ -107,11 +107,13 @@ def mix(
         F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("_n"),
     )
     leaves = stored(placed.groupBy(*LEVELS).agg(F.sum("_n").alias("_tokens")), "leaves")
-    plan = budgets(leaves, max_epochs, share, weights).select(
+    # Stored, so that Spark knows its size before it plans the join with the documents: small, it is sent to them,
+    # and their text is shuffled once, into the slices of the order.
+    plan = stored(budgets(leaves, max_epochs, share, weights).select(
         *LEVELS,
         F.expr("if(_tokens > 0, _budget div _tokens, 0)").cast("long").alias("_full"),
         F.expr("if(_tokens > 0, _budget % _tokens, 0)").cast("long").alias("_rest"),
-    )
+    ), "plan")
     drawn = placed.join(plan, list(LEVELS)).withColumn(
         "_digest", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_full").cast("string"), F.col("doc_id").cast("string")))
     )
