@@ -1,17 +1,19 @@
 """Quality classifier (operator 1): perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model's units are folded signs (26 letters, upper case, digits, separators, other signs, non-ASCII bytes: 32 in
-all), its order is 4. Training text are the documents labelled as good and not toxic.
-
-* Counts: every task counts the n-grams of its trusted documents, and the counts meet by n-gram in grouped sums: a table
-  of (g, c) that is dealt out by n-gram.
-* The model is made by joins of such count tables, sharded by context: counts of the highest order, continuation
-  counts (in how many different contexts an n-gram occurs) of the lower ones, per context the total and the number of
-  n-grams that occur once, twice and more often, per order the three discounts of Chen and Goodman (1998) from counts
-  of counts. Each order is interpolated with the next lower one, the lowest with the uniform distribution.
-* All n-grams that occur anywhere in the documents are joined with the model, those it has not seen by their longest
-  known suffix. As there are at most 32**4 of them, however many documents there are, the result is a table of bounded
-  size that tasks hold, and the perplexity of a document is a mean over its whole text.
+The model's units are bytes as they are, its order is 6: the n-grams are as many as the texts hold (256**6 are possible).
+Training text are the documents labelled as good and not toxic.
+
+* Shards: an n-gram belongs to the shard of the third and second last of its units. All that it is judged by from order 3
+  up (its suffixes, their contexts, the other n-grams of those contexts) lies in the same shard.
+* Counts: every task counts the n-grams of its trusted documents, and the counts meet in their shard. There each lower
+  order has continuation counts (in how many different contexts an n-gram occurs), per context the total and the number of
+  n-grams that occur once, twice and more often. The three discounts of an order (Chen and Goodman 1998) come from counts
+  of counts over all shards. Each order is interpolated with the next lower one, the lowest with the uniform distribution.
+* The driver gets four counts of counts per order and the counts of the orders 1 and 2, which have 256**2 cells at most;
+  orders 3 to 6 stay in their shards.
+* Scoring: documents are dealt into blocks. A block asks each shard once for its distinct n-grams, and the shard answers
+  with their log probabilities, those it has not seen by their longest known suffix. The perplexity of a document is a
+  mean over its whole text. Questions and answers grow with the corpus; no task holds the model or all questions.
 * A document is kept if its perplexity is at most the given quantile of the trusted documents in its language, times a
   tolerance. Quantiles come from counts in bins of 1/1000 of log perplexity. Languages with fewer than ``enough``
   trusted documents use the quantile of all trusted ones.
@@ -22,122 +24,251 @@ trusted unless another one contradicts it); without trusted documents the model
 rows that repeat an id are judged each; an empty table gives no rows. Extra columns are ignored.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tierwell.llm import textscan
-from tierwell.llm.common import id_filter, only_near, stored, summed
+from tierwell.llm.common import id_filter, only_near, stored
+
+SIGNS, ORDER = 256, 6
+SHARDS = 256
 
-SIGNS, ORDER = 32, 4
-CELLS = SIGNS**ORDER
+#: Bytes of text in a block, the least number of blocks, and n-grams that a task holds before it passes them on.
+BLOCK, BLOCKS, HELD = 1 << 23, 64, 1 << 21
 
-# Folding of bytes to signs: 0 white space, 1-26 letters, 27 upper case, 28 digits, 29 the signs of plain prose,
-# 30 other ASCII signs, 31 bytes of non-ASCII letters.
-_FOLD = np.full(256, 30, dtype=np.int32)
-_FOLD[[0x20, *range(0x09, 0x0E)]] = 0
-_FOLD[97:123] = np.arange(1, 27)
-_FOLD[65:91] = 27
-_FOLD[48:58] = 28
-_FOLD[list(b".,;:?'\"-()")] = 29
-_FOLD[0x80:] = 31
+_FOLD = np.arange(256, dtype=np.int64)  # every byte is a unit of its own
+_BITS = 8
+_LOW = 1 << (2 * _BITS)  # cells of order 2
 
-_COUNTS = pa.schema([("g", pa.int32()), ("c", pa.int64())])
+_COUNTS = pa.schema([("shard", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())])
+_COUNTS_SQL = "shard int, grams binary, counts binary"
+_ASKED = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("grams", pa.binary())])
+_ANSWERS = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("p", pa.binary())])
+_SCORES = pa.schema([("doc_id", pa.int64()), ("language", pa.string()), ("log_perplexity", pa.float64())])
 
 
 def codes(buffer: np.ndarray, offsets: np.ndarray):
-    """(n-gram of each byte with the three before it, row); what lies before a text's start counts as white space."""
+    """n-gram of each byte with those before it; what lies before a text's start counts as 0."""
     sign = _FOLD[buffer]
     place = np.arange(len(buffer)) - np.repeat(offsets[:-1], np.diff(offsets))
     code = sign.copy()
     for back in range(1, ORDER):
         before = np.zeros_like(sign)
-        before[back:] = sign[:-back] if back < len(sign) else 0
+        before[back:] = sign[:-back]
         before[place < back] = 0
-        code |= before << (5 * back)
-    return code, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        code |= before << (_BITS * back)
+    return code
+
+
+def _shard(grams: np.ndarray) -> np.ndarray:
+    pair = (grams >> _BITS) & (_LOW - 1)
+    return (textscan.mixed(pair.astype(np.uint64)) % np.uint64(SHARDS)).astype(np.int32)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Bytes of the same weight lie together, which is shorter."""
+    return zlib.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def _unpacked(raw: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(size, -1).T).tobytes(), kind)
+
+
+def _pack_grams(grams: np.ndarray) -> bytes:
+    return _packed(np.diff(grams, prepend=0))
+
+
+def _unpack_grams(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw, np.int64))
+
+
+def _add(grams: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams in order, with the sums of their counts."""
+    if not grams:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    grams, counts = np.concatenate(grams), np.concatenate(counts)
+    order = np.argsort(grams, kind="stable")
+    grams, counts = grams[order], counts[order]
+    first = np.flatnonzero(np.diff(grams, prepend=-1))
+    return grams[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _by_shard(grams: np.ndarray):
+    """(shard, places) of sorted n-grams; places are in order."""
+    shard = _shard(grams)
+    order = np.argsort(shard, kind="stable")
+    found, first = np.unique(shard[order], return_index=True)
+    return zip(found.tolist(), np.split(order, first[1:]))
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
-    """(g, c): how often each n-gram occurs in the texts (doc_id, text), summed by n-gram over the tasks' counts."""
+    """(shard, grams, counts) of the texts (doc_id, text): how often each n-gram occurs, packed, a row per shard."""
+
+    def rows(grams, counts):
+        out = [(shard, _pack_grams(grams[at]), _packed(counts[at])) for shard, at in _by_shard(grams)]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), _COUNTS)], schema=_COUNTS)
 
     def tasks(batches):
-        state = np.zeros(CELLS, dtype=np.int64)
+        grams, counts, held = [], [], 0
         for batch in batches:
             for _, buffer, offsets in textscan.chunks(batch.column(0), batch.column(1)):
-                state += np.bincount(codes(buffer, offsets)[0], minlength=CELLS)
-        seen = np.flatnonzero(state)
-        for at in range(0, len(seen), 50_000):
-            part = seen[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(state[part])], schema=_COUNTS)
-
-    return texts.mapInArrow(tasks, "g int, c long").groupBy("g").agg(F.sum("c").alias("c"))
-
-
-def kneser_ney(counts: DataFrame) -> list[DataFrame]:
-    """Per order from 1 to ORDER: (g, p) of the seen n-grams and (ctx, gamma) of the seen contexts, as stored tables."""
-    tables = [counts.select(F.col("g").cast("long").alias("g"), "c")]
-    for order in range(ORDER - 1, 0, -1):  # in how many contexts one sign longer
-        tables.insert(0, stored(tables[0].groupBy((F.col("g") % SIGNS**order).alias("g")).agg(F.count("*").alias("c")), "grams"))
-    out = []
-    lower = None
-    for order, grams in enumerate(tables, 1):
-        found = grams.agg(*[F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)]).first()
-        n = [float(found[f"n{i}"]) for i in (1, 2, 3, 4)]
-        y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
-        discount = [min(max(i - (i + 1) * y * n[i] / n[i - 1], 0.05), i - 0.05) if n[i - 1] and n[i] else 0.5 for i in (1, 2, 3)]
-        cut = F.when(F.col("c") == 1, discount[0]).when(F.col("c") == 2, discount[1]).otherwise(discount[2])
-        spread = grams.withColumn("ctx", F.expr(f"g div {SIGNS}")).withColumn("cut", cut)
-        contexts = spread.groupBy("ctx").agg(F.sum("c").alias("total"), (F.sum("cut") / F.sum("c")).alias("gamma"))
-        share = spread.join(contexts, "ctx").withColumn("own", (F.col("c") - F.col("cut")) / F.col("total"))
-        if lower is None:
-            p = share.withColumn("p", F.col("own") + F.col("gamma") / SIGNS)
-        else:
-            suffix = lower.select(F.col("g").alias("suffix"), F.col("p").alias("below"))
-            p = share.withColumn("suffix", F.col("g") % SIGNS ** (order - 1)).join(suffix, "suffix").withColumn(
-                "p", F.col("own") + F.col("gamma") * F.col("below")
-            )
-        lower = stored(p.select("g", "p"), "model")
-        out.append((lower, stored(contexts.select("ctx", "gamma"), "contexts")))
+                g, c = np.unique(codes(buffer, offsets), return_counts=True)
+                grams.append(g)
+                counts.append(c.astype(np.int64))
+                held += len(g)
+                if held > HELD:
+                    g, c = _add(grams, counts)
+                    if len(g) > HELD // 2:
+                        yield from rows(g, c)
+                        grams, counts, held = [], [], 0
+                    else:
+                        grams, counts, held = [g], [c], len(g)
+        yield from rows(*_add(grams, counts))
+
+    def meet(parts: pa.Table) -> pa.Table:
+        grams, counts = _add(
+            [_unpack_grams(x) for x in parts.column("grams").to_pylist()], [_unpacked(x, np.int64) for x in parts.column("counts").to_pylist()]
+        )
+        return pa.table([parts.column("shard").slice(0, 1), [_pack_grams(grams)], [_packed(counts)]], schema=_COUNTS)
+
+    return texts.mapInArrow(tasks, _COUNTS_SQL).groupBy("shard").applyInArrow(meet, _COUNTS_SQL)
+
+
+def _orders(grams: np.ndarray, counts: np.ndarray) -> dict:
+    """order -> (n-grams, counts) of a shard: continuation counts below the highest order."""
+    out = {ORDER: (grams, counts)}
+    for order in range(ORDER - 1, 2, -1):
+        grams, counts = np.unique(grams & ((1 << (_BITS * order)) - 1), return_counts=True)
+        out[order] = grams, counts
     return out
 
 
-def log_probabilities(grams: DataFrame, orders: list) -> np.ndarray:
-    """Log probability of every n-gram of ``grams`` (g), as a table over all cells."""
-    rows = grams.select(F.col("g").cast("long").alias("g")).distinct()
-    p = F.lit(1.0 / SIGNS)
-    for order, (seen, contexts) in enumerate(orders, 1):
-        suffix = F.col("g") % SIGNS**order
-        rows = (
-            rows.withColumn("_s", suffix).withColumn("_c", F.expr(f"_s div {SIGNS}"))
-            .join(seen.select(F.col("g").alias("_s"), F.col("p").alias(f"p{order}")), "_s", "left")
-            .join(contexts.select(F.col("ctx").alias("_c"), F.col("gamma").alias(f"gamma{order}")), "_c", "left")
-            .drop("_s", "_c")
-        )
-        p = F.coalesce(F.col(f"p{order}"), F.coalesce(F.col(f"gamma{order}"), F.lit(1.0)) * p)
-    table = np.zeros(CELLS, dtype=np.float32)
-    found = rows.select("g", F.log(p).alias("p")).toPandas()
-    table[found["g"].to_numpy(dtype=np.int64)] = found["p"].to_numpy()
-    return table
+def _discounts(n: list) -> list:
+    """Discounts of n-grams that occur once, twice and more often, from how many occur 1, 2, 3 and 4 times."""
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
+    return [min(max(i - (i + 1) * y * n[i] / n[i - 1], 0.05), i - 0.05) if n[i - 1] and n[i] else 0.5 for i in (1, 2, 3)]
+
+
+def _interpolated(grams, counts, discounts):
+    """(n-grams, discounted share of each; contexts, what each leaves to the lower order)."""
+    cut = np.asarray(discounts)[np.minimum(counts, 3) - 1]
+    contexts, first = np.unique(grams >> _BITS, return_index=True)
+    if not len(first):
+        return grams, np.zeros(0), contexts, np.zeros(0)
+    total = np.add.reduceat(counts.astype(np.float64), first)
+    left = np.add.reduceat(cut, first) / total
+    share = (counts - cut) / np.repeat(total, np.diff(first, append=len(grams)))
+    return grams, share, contexts, left
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
+    if not len(keys):
+        return np.full(len(wanted), missing)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], missing)
+
+
+def _probabilities(grams: np.ndarray, order: int, model: tuple, lower: np.ndarray) -> np.ndarray:
+    """Probabilities in one order of n-grams that have ``lower`` in the one below; unknown contexts leave all to it."""
+    known, share, contexts, left = model
+    suffix = grams & ((1 << (_BITS * order)) - 1)
+    return _found(known, share, suffix, 0.0) + _found(contexts, left, suffix >> _BITS, 1.0) * lower
 
 
-def perplexities(texts: DataFrame, table: np.ndarray) -> DataFrame:
-    """doc_id, language, log_perplexity (null without text) of rows (doc_id, text, language)."""
-    shared = texts.sparkSession.sparkContext.broadcast(table)
-    schema = pa.schema([("doc_id", pa.int64()), ("language", pa.string()), ("log_perplexity", pa.float64())])
+def kneser_ney(counts: DataFrame) -> tuple[dict, np.ndarray]:
+    """Discounts of the orders from 3 up, and the probabilities of all n-grams of order 2."""
+    schema = pa.schema([("kind", pa.int32()), ("cell", pa.int32()), ("n", pa.int64())])
 
-    def score(batches):
+    def summaries(batches):
+        """Counts of counts (kind is the order) and counts of order 2 (kind 2)."""
         for batch in batches:
-            mean = np.full(batch.num_rows, np.nan)
-            for places, buffer, offsets in textscan.chunks(pa.array(np.arange(batch.num_rows)), batch.column("text")):
-                filled = np.diff(offsets) > 0
-                if filled.any():
-                    total = np.add.reduceat(shared.value[codes(buffer, offsets)[0]], offsets[:-1][filled], dtype=np.float64)
-                    mean[places[filled]] = -total / np.diff(offsets)[filled]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("language"), pa.array(mean, mask=np.isnan(mean))], schema=schema)
+            for grams, many in zip(batch.column("grams").to_pylist(), batch.column("counts").to_pylist()):
+                orders = _orders(_unpack_grams(grams), _unpacked(many, np.int64))
+                out = [(k, i, int((c == i).sum())) for k, (_, c) in orders.items() for i in (1, 2, 3, 4)]
+                pairs, times = np.unique(orders[3][0] & (_LOW - 1), return_counts=True)
+                out += [(2, cell, n) for cell, n in zip(pairs.tolist(), times.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
 
-    return texts.mapInArrow(score, "doc_id long, language string, log_perplexity double")
+    found = counts.mapInArrow(summaries, "kind int, cell int, n long").groupBy("kind", "cell").agg(F.sum("n").alias("n")).toPandas()
+    n = {k: {c: x for c, x in zip(rows["cell"], rows["n"])} for k, rows in found.groupby("kind")}
+    discounts = {k: _discounts([float(n.get(k, {}).get(i, 0)) for i in (1, 2, 3, 4)]) for k in range(3, ORDER + 1)}
+    pairs = np.array(sorted(n.get(2, {})), dtype=np.int64)
+    times = np.array([n[2][x] for x in pairs.tolist()], dtype=np.int64)
+    below = np.full(_LOW, 1.0 / SIGNS)
+    singles, contexts = np.unique(pairs & (SIGNS - 1), return_counts=True)
+    for order, grams, many in ((1, singles, contexts), (2, pairs, times)):
+        own = _discounts([float((many == i).sum()) for i in (1, 2, 3, 4)])
+        below = _probabilities(np.arange(_LOW), order, _interpolated(grams, many, own), below)
+    return discounts, below
+
+
+def perplexities(texts: DataFrame, counts: DataFrame, discounts: dict, low: np.ndarray) -> DataFrame:
+    """doc_id, language, log_perplexity (null without text) of rows (doc_id, text, language).
+
+    The blocks of documents are shuffled once and read twice: for the questions and for the scores.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(low)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(BLOCKS, -(-size // BLOCK))
+    dealt = texts.select(
+        "doc_id", "text", "language", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long").alias("block")
+    ).repartition("block")
+
+    def distinct(docs: pa.Table) -> np.ndarray:
+        grams, held, rest = np.zeros(0, np.int64), [], 0
+        for _, buffer, offsets in textscan.chunks(pa.array(np.arange(docs.num_rows)), docs.column("text")):
+            held.append(np.unique(codes(buffer, offsets)))
+            rest += len(held[-1])
+            if rest > HELD:
+                grams, held, rest = np.unique(np.concatenate([grams, *held])), [], 0
+        return np.unique(np.concatenate([grams, *held]))
+
+    def ask(docs: pa.Table) -> pa.Table:
+        grams, block = distinct(docs), docs.column("block")[0].as_py()
+        out = [(shard, block, _pack_grams(grams[at])) for shard, at in _by_shard(grams)]
+        return pa.Table.from_pydict(dict(zip(_ASKED.names, zip(*out))) if out else {n: [] for n in _ASKED.names}, schema=_ASKED)
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        models = {}
+        if asked.num_rows and known.num_rows:
+            grams = _unpack_grams(known.column("grams")[0].as_py())
+            for order, (g, c) in _orders(grams, _unpacked(known.column("counts")[0].as_py(), np.int64)).items():
+                models[order] = _interpolated(g, c, discounts[order])
+        out = []
+        for raw in asked.column("grams").to_pylist():
+            grams = _unpack_grams(raw)
+            p = shared.value[grams & (_LOW - 1)]
+            for order in sorted(models):
+                p = _probabilities(grams, order, models[order], p)
+            out.append(_packed(np.log(p).astype(np.float32)))
+        return pa.table([asked.column("block"), asked.column("shard"), pa.array(out, pa.binary())], schema=_ANSWERS)
+
+    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        mean = np.full(docs.num_rows, np.nan)
+        grams = distinct(docs)
+        p = np.full(len(grams), np.nan, np.float32)
+        given = dict(zip(answers.column("shard").to_pylist(), answers.column("p").to_pylist()))
+        for shard, at in _by_shard(grams):
+            p[at] = _unpacked(given[shard], np.float32)
+        for places, buffer, offsets in textscan.chunks(pa.array(np.arange(docs.num_rows)), docs.column("text")):
+            filled = np.diff(offsets) > 0
+            if filled.any():
+                here, at = np.unique(codes(buffer, offsets), return_inverse=True)
+                total = np.add.reduceat(p[np.searchsorted(grams, here)][at], offsets[:-1][filled], dtype=np.float64)
+                mean[places[filled]] = -total / np.diff(offsets)[filled]
+        return pa.table([docs.column("doc_id"), docs.column("language"), pa.array(mean, mask=np.isnan(mean))], schema=_SCORES)
+
+    asked = dealt.groupBy("block").applyInArrow(ask, "shard int, block long, grams binary")
+    answers = asked.groupBy("shard").cogroup(counts.groupBy("shard")).applyInArrow(answer, "block long, shard int, p binary")
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        score, "doc_id long, language string, log_perplexity double"
+    )
 
 
 def classify(
@@ -153,9 +284,8 @@ def classify(
     )
     trusted = stored(judged.where("good = 1").select("doc_id"), "trusted")
     training = only_near(texts.select("doc_id", "text").where("doc_id IS NOT NULL"), id_filter(trusted)).join(trusted, "doc_id", "left_semi")
-    orders = kneser_ney(stored(gram_counts(training), "counts"))
-    table = log_probabilities(gram_counts(texts), orders)
-    scored = stored(perplexities(texts, table), "perplexities")
+    counts = stored(gram_counts(training), "counts")
+    scored = stored(perplexities(texts, counts, *kneser_ney(counts)), "perplexities")
 
     bins = scored.where("log_perplexity IS NOT NULL").join(trusted, "doc_id", "left_semi").groupBy(
         "language", F.floor(F.col("log_perplexity") * 1000).alias("bin")
