@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from tierwell.llm import quality_model
+from tierwell.llm import line_dedup, quality_model
 
 RNG = np.random.default_rng(31)
 RUSSIAN = "привет мир как дела сегодня хорошо погода город вечер книга улица человек время работа большой дорога".split()
@@ -33,3 +33,9 @@ def test_scoring_grows_with_the_corpus(docs):
         sum(len(quality_model._unpack_grams(r.grams)) for r in quality_model.gram_counts(x.select("doc_id", "text")).collect()) for x in (few, many)
     ]
     assert sizes[1] > 5 * sizes[0]
+
+
+def test_lines_that_share_the_short_key_of_their_shingle_stay(docs):
+    lines = ["one two three four w629779", "one two three four w705888"]  # alike in the upper 41 bits of the hash
+    rows = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(docs(list(enumerate(lines)))).collect()}
+    assert rows == {i: (x, 0) for i, x in enumerate(lines)}

@@ -103,8 +103,11 @@ def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     keyed = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(
         F.get(F.col("rarity"), t.bitwiseAND(CELLS - 1).cast("int")), 41
     ).bitwiseOR(F.shiftrightunsigned(t, 23))))
-    described = tokens.withColumn("rarity", rarity.scalar()).select("doc_id", "line", keyed.alias("keys")).select(
-        "doc_id", "line", F.size("keys").alias("n"), F.xxhash64("keys").alias("s1"), F.xxhash64("keys", F.lit(7)).alias("s2"),
+    # Keys hold a part of the hash only: whether sets are the same is told by whole tokens.
+    described = tokens.withColumn("rarity", rarity.scalar()).select(
+        "doc_id", "line", keyed.alias("keys"), F.sort_array("tokens").alias("whole")
+    ).select(
+        "doc_id", "line", F.size("keys").alias("n"), F.xxhash64("whole").alias("s1"), F.xxhash64("whole", F.lit(7)).alias("s2"),
         F.slice("keys", F.lit(1), _prefix(F.size("keys"), percent).cast("int")).alias("prefix"),
     )
     occurrences = stored(described, "lines")
