@@ -1,8 +1,9 @@
 """Cases in which an operator once did less than its whole job."""
 
+import brute
 import numpy as np
 
-from tierwell.llm import line_dedup, quality_model
+from tierwell.llm import line_dedup, pipeline, quality_model
 
 RNG = np.random.default_rng(31)
 RUSSIAN = "привет мир как дела сегодня хорошо погода город вечер книга улица человек время работа большой дорога".split()
@@ -39,3 +40,28 @@ def test_lines_that_share_the_short_key_of_their_shingle_stay(docs):
     lines = ["one two three four w629779", "one two three four w705888"]  # alike in the upper 41 bits of the hash
     rows = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(docs(list(enumerate(lines)))).collect()}
     assert rows == {i: (x, 0) for i, x in enumerate(lines)}
+
+
+def removed_with_short_lines(texts, k, percent):
+    earlier, gone = [], set()
+    for doc in sorted(x for x in texts if texts[x] is not None):
+        for i, line in enumerate(texts[doc].split("\n")):
+            tokens = brute.shingles(line, k)
+            if tokens and any(100 * len(tokens & x) >= percent * len(tokens | x) for x in earlier):
+                gone.add((doc, i))
+            if tokens:
+                earlier.append(tokens)
+    return gone
+
+
+def test_repeated_lines_of_few_words_go(spark, docs):
+    long = "one two three four five six seven"
+    texts = {
+        0: f"All rights reserved.\n{long}\nAnd ornd.", 1: f"All rights reserved.\n\n  \nAnd  ornd.\nornd. And\n{long}", 2: "你好世界再见\nAll rights",
+        3: "你好世界再见\n\n \nall rights reserved.\none two three four\none two three four five", 4: "one two three four five", 5: "one two three four", 6: None, 7: "",
+    }
+    gone = removed_with_short_lines(texts, 5, 80)
+    assert len(gone) == 6 and (3, 0) in gone
+    rows = {r.doc_id: r.text for r in pipeline.drop_repeated_lines(spark, docs(list(texts.items())), "").collect()}
+    for doc, text in texts.items():
+        assert rows[doc] == (None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if (doc, i) not in gone))

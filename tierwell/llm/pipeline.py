@@ -22,8 +22,8 @@ def drop_unknown_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line resembles go; documents stay, with ``n_chars`` of what is left of their text."""
-    fewer = dedup_lines(docs)
+    """Lines that an earlier line resembles go, those of under five words if they are the same words; documents stay, with ``n_chars`` of what is left of their text."""
+    fewer = dedup_lines(docs, short_lines=True)
     if "n_chars" in docs.columns:
         fewer = fewer.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")))
     return fewer.select(docs.columns)
