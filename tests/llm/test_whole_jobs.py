@@ -65,3 +65,17 @@ def test_repeated_lines_of_few_words_go(spark, docs):
     rows = {r.doc_id: r.text for r in pipeline.drop_repeated_lines(spark, docs(list(texts.items())), "").collect()}
     for doc, text in texts.items():
         assert rows[doc] == (None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if (doc, i) not in gone))
+
+
+def test_language_verdict_is_the_rows_own(spark, docs):
+    text = "the weather of the city was good and they would have been there with their books"
+    rows = [(i, f"{text} {i}", "en", "a") for i in range(30)] + [(3, None, "en", "a"), (4, "", "en", "a"), (5, "12 34 !!", None, None)]
+    kept = pipeline.drop_unknown_languages(spark, docs(rows, extra=False), "").collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(i, f"{text} {i}") for i in range(30)]
+
+
+def test_rows_that_repeat_id_and_text_become_one(spark, docs):
+    a, b = (brute.sentence(RNG, 30) for _ in range(2))
+    rows = [(1, a, "en", "y"), (1, a, "en", "x"), (1, a, "en", "x"), (2, a, "en", "x"), (3, b, "de", "x"), (4, None), (4, None), (5, "one"), (5, "two")]
+    kept = pipeline.drop_near_copies(spark, docs(rows, extra=False), "").collect()
+    assert sorted((r.doc_id, r.text or "", r.source or "") for r in kept) == [(1, a, "x"), (3, b, "x"), (4, "", ""), (5, "one", ""), (5, "two", "")]

@@ -17,12 +17,22 @@ from tierwell.llm.packing import pack
 
 def drop_unknown_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is unknown or unsure go, and those without letters."""
-    rejected = stored(identify(from_documents(docs), "doc_id").where("NOT kept").select("doc_id").distinct(), "rejected")
-    return docs.where("doc_id IS NOT NULL").join(rejected, "doc_id", "left_anti").select(docs.columns)
+    # Rows that share an id are judged each: a row goes by its id and hashes of all that its verdict depends on.
+    def row(declared, host):
+        parts = {"text": F.col("text"), "declared": declared, "host": host}
+        return F.struct("doc_id", *[F.xxhash64(F.coalesce(x.cast("string"), F.lit(""))).alias(name) for name, x in parts.items()])
+
+    judged = from_documents(docs).withColumn("_row", row(F.col("declared"), F.col("host")))
+    rejected = stored(identify(judged, "_row").where("NOT kept").select("_row").distinct(), "rejected")
+    rows = docs.where("doc_id IS NOT NULL").withColumn("_row", row(F.lower("lang"), F.col("source")))
+    return rows.join(rejected, "_row", "left_anti").select(docs.columns)
 
 
 def drop_repeated_lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line resembles go, those of under five words if they are the same words; documents stay, with ``n_chars`` of what is left of their text."""
+    """Lines that an earlier line resembles go, those of under five words if they are the same words.
+
+    Documents stay, with ``n_chars`` of what is left of their text.
+    """
     fewer = dedup_lines(docs, short_lines=True)
     if "n_chars" in docs.columns:
         fewer = fewer.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")))
@@ -32,11 +42,18 @@ def drop_repeated_lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar texts stays: the one of the smallest id.
 
-    Documents without words are in no group and stay. Rows that repeat an id stay with it.
+    Documents without words are in no group and stay. Rows that repeat an id stay with it, one for each different text.
     """
     groups = link_components(docs.select("doc_id", "text"), k=5, percent=80)
     later = stored(groups.where("component_id != doc_id").select("doc_id"), "later")
-    return docs.join(later, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(later, "doc_id", "left_anti").select(docs.columns)
+    ids = stored(docs.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if ids.isEmpty():
+        return kept
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    again = kept.join(ids, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_"), *others)).alias("_rest"))
+    one_each = again.select("doc_id", "text", *[F.col("_rest")[c].alias(c) for c in others]).select(docs.columns)
+    return kept.join(ids, "doc_id", "left_anti").select(docs.columns).unionByName(one_each)
 
 
 def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
