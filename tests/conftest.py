@@ -23,8 +23,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    """Rows as plain tuples, sorted."""
-    return sorted((tuple(row) for row in (df.select(*order) if order else df).collect()), key=repr)

@@ -4,7 +4,7 @@ import itertools
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from landing_files import category, document
 

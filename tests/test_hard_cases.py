@@ -6,7 +6,7 @@ import os
 import time
 
 import pytest
-from conftest import rows
+from helpers import rows
 from landing_files import category, document
 
 from tierwell.config import RunConfig

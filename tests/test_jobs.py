@@ -5,7 +5,7 @@ import json
 import os
 
 import pytest
-from conftest import rows
+from helpers import rows
 from landing_files import MUNICIPALITIES, land, price_day, registration_count, registrations, write, write_price
 
 from tierwell.config import RunConfig

@@ -4,7 +4,7 @@ import datetime
 import itertools
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tierwell.functions import codes as C

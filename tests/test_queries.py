@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from conftest import rows  # noqa: F401  (puts the repository on the path)
 
 import __spark_entry__ as entry
 import oracle

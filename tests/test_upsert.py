@@ -1,7 +1,7 @@
 """Upsert semantics and stored merges."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tierwell.config import RunConfig
