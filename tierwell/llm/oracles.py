@@ -146,3 +146,32 @@ ordered AS (
 SELECT doc_id, unnest(range(CAST(whole + CASE WHEN before + n <= rest THEN 1 ELSE 0 END AS BIGINT))) AS epoch, n AS n_tokens,
        domain, language, leaf_source
 FROM ordered"""
+
+OP13 = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text, row_number() OVER () AS r
+           FROM documents),
+     w AS (SELECT lang, source, r, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+     c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM w GROUP BY 1, 2, 3),
+     kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+     g AS (SELECT DISTINCT lang, source FROM d),
+     cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS n_lang
+               FROM g JOIN kept k ON k.lang = g.lang
+               LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+     s AS (SELECT lang, source, term, n,
+                  1 + (CAST(1000000000 AS HUGEINT) * (n + 1)) // CAST(sum(n + 1) OVER (PARTITION BY lang, source) AS HUGEINT) AS p,
+                  1 + (CAST(1000000000 AS HUGEINT) * (n_lang + 1))
+                      // CAST(sum(n_lang + 1) OVER (PARTITION BY lang, source) AS HUGEINT) AS q
+           FROM cells),
+     pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+               FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term WHERE a.source <> b.source GROUP BY 1, 2, 3),
+     found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+               FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+               UNION ALL
+               SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM s WHERE n > 0 AND p > q),
+     ranked AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+                       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+                FROM found)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""

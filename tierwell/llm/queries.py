@@ -125,3 +125,11 @@ def op9_collision_near_dedup(spark, sf_dir):
     from tierwell.llm.collision_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+@query("op13_source_divergence", oracles.OP13)
+def op13_source_divergence(spark, sf_dir):
+    """Every source against the others of its language, and its 200 most excessive terms."""
+    from tierwell.llm.divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
