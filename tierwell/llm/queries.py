@@ -133,3 +133,15 @@ def op13_source_divergence(spark, sf_dir):
     from tierwell.llm.divergence import audit
 
     return audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
+@query("op12_tokenizer_alignment")
+def op12_tokenizer_alignment(spark, sf_dir):
+    """Groups and links between the byte-level and the piece tokenizer, per document."""
+    import public_tokenizers
+
+    from tierwell.llm.alignment import align_tokenizers
+
+    return align_tokenizers(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
