@@ -145,3 +145,16 @@ def op12_tokenizer_alignment(spark, sf_dir):
     return align_tokenizers(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     )
+
+
+@query("op11_secret_scan")
+def op11_secret_scan(spark, sf_dir):
+    """Spans of secrets in every document: the fixed patterns, and values that are hard to guess."""
+    from pyspark.sql import functions as F
+
+    from tierwell.llm.secrets import count_of, listed, scan
+
+    return scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", *[count_of(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(listed("base"), 256).alias("base_sha256"), listed("findings").alias("spans"),
+    )
