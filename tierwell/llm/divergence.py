@@ -28,6 +28,8 @@ UNIT = 1_000_000_000
 #: Entries (source, term) of a shard, and sources of a block.
 SHARD_ENTRIES = 250_000
 BLOCK_SOURCES = 32
+#: Languages up to which their table of one short row each is broadcast; with more, rows are dealt out again after the join.
+FEW_LANGS = 100_000
 
 
 def share(count: np.ndarray, weight: np.ndarray | int) -> np.ndarray:
@@ -163,10 +165,10 @@ def audit(docs: DataFrame, min_docs: int = 3, top: int = 200) -> DataFrame:
     sources = docs.groupBy(*[F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ("lang", "source")]).agg(
         F.lit(1).alias("_one")
     ).drop("_one")
-    langs = kept.groupBy("lang").agg(
+    langs = stored(kept.groupBy("lang").agg(
         F.count_if("first").alias("v"), F.sum("n").alias("total"),
         F.ceil(F.count("*") / SHARD_ENTRIES).cast("long").alias("shards"),
-    )
+    ), "divergence-langs")
     blocks = sources.groupBy("lang").agg(F.ceil(F.count("*") / BLOCK_SOURCES).cast("long").alias("blocks"))
     sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("_n"))
     groups = stored(
@@ -177,13 +179,20 @@ def audit(docs: DataFrame, min_docs: int = 3, top: int = 200) -> DataFrame:
         ), "divergence-groups",
     )
 
-    dealt = kept.join(langs.select("lang", "shards"), "lang").withColumn("shard", F.expr("pmod(xxhash64(term), shards)"))
+    # Without the broadcast a join by language would leave all shards of a language in one task.
+    langs = langs.select("lang", "shards")
+    few = langs.count() <= FEW_LANGS
+    dealt = kept.join(F.broadcast(langs) if few else langs, "lang").withColumn("shard", F.expr("pmod(xxhash64(term), shards)"))
+    if not few:
+        dealt = dealt.repartition("lang", "shard")
     arrays = dealt.select("lang", "shard", "source", "term", "n").groupBy("lang", "shard").applyInPandas(
         _arrays, "lang string, shard long, source string, ids binary, counts binary"
     )
     shards = dealt.where("first").groupBy("lang", "shard").agg(F.count("*").alias("n_terms"))
     # A source without a term of the shard is priced by its absent terms.
-    grid = groups.where("v IS NOT NULL").join(shards, "lang").join(arrays, ["lang", "shard", "source"], "left")
+    grid = groups.where("v IS NOT NULL").join(shards, "lang").repartition("lang", "shard", "source").join(
+        arrays, ["lang", "shard", "source"], "left"
+    )
     tasks = grid.select(
         "lang", "shard", "n_terms", "source", "block", "weight", "ids", "counts",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("_other"),
