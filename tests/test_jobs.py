@@ -42,13 +42,13 @@ def test_bronze_holds_every_cell_and_period(spark, done):
     table = spark.table(c.table("bronze", "scb_new_registrations"))
     assert table.columns == [
         "Region", "Region_label", "Drivmedel", "Drivmedel_label", "ContentsCode", "Tid", "value",
-        "_source_table", "_source_file", "_ingested_at"]
+        "_source_table", "_source_file", "_ingested_at", "_load"]
     assert table.count() == 3 * REGION_COUNT * 8
     assert rows(table.where("Region = '2550' and Drivmedel = '120'"), "Tid", "value", "_source_file") == sorted(
         (p, str(registration_count("2550", "120", p)), f"TAB3277_{p}.json") for p in ("2022M08", "2022M09", "2022M10"))
     prices = spark.table(c.table("bronze", "electricity_prices"))
     assert prices.columns == ["elomrade", "time_start", "time_end", "SEK_per_kWh", "EUR_per_kWh", "EXR",
-                              "_source_file", "_ingested_at"]
+                              "_source_file", "_ingested_at", "_load"]
     assert "elomrade=SE3/ar=2022/2022-11-01.json" in {r[0] for r in rows(prices.select("_source_file").distinct())}
     assert rows(bronze.price_coverage(spark, c), "elomrade", "file_count", "row_count")[3] == ("SE4", 6, 6 * 96)
 

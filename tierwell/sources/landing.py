@@ -19,21 +19,42 @@ def source_file(folders: int = 0) -> Column:
     return F.substring_index("_metadata.file_path", "/", -(folders + 1))
 
 
+def _paths(root: str, within) -> list[str]:
+    return [root] if within is None else [f"{root}/{folder}" for folder in within]
+
+
 def landed_files(spark: SparkSession, root: str, folders: int = 0, pattern: str = JSON_FILES,
-                 between: tuple | None = None) -> DataFrame:
-    """(source_file, modified_at) of every landed file, or of those in an interval; the contents are not read.
+                 between: tuple | None = None, within=None) -> DataFrame:
+    """(source_file, modified_at) of every landed file, or of those in an interval and ``within`` some folders below the
+    root; the contents are not read, and other folders are not listed.
 
     A root that does not exist yet holds no files.
     """
+    nothing = spark.createDataFrame([], "source_file string, modified_at timestamp")
+    if within is not None and not within:
+        return nothing
     try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(root)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(_paths(root, within))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "source_file string, modified_at timestamp")
+        return nothing
     return with_lineage(files.select("path", "_metadata"), folders, between).select("source_file", "modified_at")
 
 
+def folder_times(spark: SparkSession, root: str, folders: int) -> dict[str, int]:
+    """Folders at that depth below the root, with the time (milliseconds) at which a file last appeared in them or went.
+
+    One entry per folder, however many files they hold.  Stores without real folders say 0.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{'/'.join('*' * folders)}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return {
+        "/".join(status.getPath().toString().split("/")[-folders:]): status.getModificationTime()
+        for status in found if status.isDirectory()
+    }
+
+
 def with_lineage(df: DataFrame, folders: int, between: tuple | None) -> DataFrame:
     """Adds file lineage; ``between`` limits the read to files modified in that closed interval of microseconds.
 
@@ -44,16 +65,19 @@ def with_lineage(df: DataFrame, folders: int, between: tuple | None) -> DataFram
 
 
 def read_prices(spark: SparkSession, root: str, between: tuple | None = None, whole_files: bool = True,
-                pattern: str = JSON_FILES) -> DataFrame:
+                pattern: str = JSON_FILES, within=None) -> DataFrame:
     """Price rows as text: one file holds one array of periods, missing fields become NULL.
 
+    ``within`` limits the read to folders below the root.
+
     The folder columns are part of the schema, as text, so codes keep their form and no folder
     value is guessed to be a number.  ``whole_files=False`` reads one period (or array of them)
     per line instead, which lets Spark split large files.  Malformed JSON fails the job.
     """
     schema = ", ".join(f"{name} string" for name in (*PRICE_FIELDS, *PRICE_FOLDERS))
     reader = spark.read.schema(schema).option("multiLine", whole_files).option("mode", "FAILFAST")
-    rows = with_lineage(reader.option("pathGlobFilter", pattern).json(root), len(PRICE_FOLDERS), between)
+    files = reader.option("pathGlobFilter", pattern).option("basePath", root).json(_paths(root, within))
+    rows = with_lineage(files, len(PRICE_FOLDERS), between)
     return rows.select("elomrade", *PRICE_FIELDS, "source_file", "modified_at")
 
 

@@ -146,7 +146,8 @@ def incremental_load(spark, sf_dir):
                 "elomrade", "ar").format("text").save(f"{root}")
         reported.append(bronze.load_files(
             spark, config, "prices", root, len(landing.PRICE_FOLDERS),
-            lambda *where: landing.read_prices(*where, pattern="*.txt"),  # the suffix of Spark's text files
+            lambda spark, root, between, within: landing.read_prices(
+                spark, root, between, pattern="*.txt", within=within),  # the suffix of Spark's text files
             lambda rows: rows.select("elomrade", "time_start", "SEK_per_kWh", F.col("source_file").alias("_source_file")),
             "*.txt",
         ))
