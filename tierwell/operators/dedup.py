@@ -34,9 +34,9 @@ def deduplicate(df: DataFrame, keys, version: str = "_ingested_at") -> DataFrame
     return keep_newest(df, keys, [version]).drop(version) if version in df.columns else df
 
 
-def latest_labels(df: DataFrame, code: str, label: str, period: str = "Tid",
+def newest_labels(df: DataFrame, code: str, label: str, period: str = "Tid",
                   version: str = "_ingested_at") -> DataFrame:
-    """(code, label): the label of the newest period, and of its newest load.
+    """(code, period, version, label): the label of each code's newest period, and of its newest load.
 
     Every cell of a load repeats its label.  The first step, a hash aggregate that combines on
     the map side, shrinks the table to codes x periods x labels before anything is sorted or
@@ -47,7 +47,19 @@ def latest_labels(df: DataFrame, code: str, label: str, period: str = "Tid",
         F.col(code).alias("code"), F.col(period).alias("period"), F.col(label).alias("label")
     ).agg(F.max(version).alias("version"))
     newest = F.max(F.struct("period", "version", "label")).alias("newest")
-    return loads.groupBy("code").agg(newest).select("code", "newest.label")
+    return loads.groupBy("code").agg(newest).select("code", "newest.*")
+
+
+def merge_labels(state: DataFrame, partial: DataFrame) -> DataFrame:
+    """One state out of two: the newest label per code.  The order of merges, and repeated ones, make no difference."""
+    newest = F.max(F.struct("period", "version", "label")).alias("newest")
+    return state.unionByName(partial).groupBy("code").agg(newest).select("code", "newest.*")
+
+
+def latest_labels(df: DataFrame, code: str, label: str, period: str = "Tid",
+                  version: str = "_ingested_at") -> DataFrame:
+    """(code, label): the label of the newest period, and of its newest load."""
+    return newest_labels(df, code, label, period, version).select("code", "label")
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:

@@ -5,10 +5,10 @@ written to its own folder and the table is pointed at it when it is complete, so
 executor or a failed write leaves the old version in place.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tierwell.config import RunConfig, shared_folder
 from tierwell.operators import upsert as U
@@ -22,6 +22,17 @@ class MergeResult:
     updated: int
     unchanged: int
     total: int
+    #: All rows of the partitions (or of the table) that were written; None when nothing was.
+    written: DataFrame | None = field(default=None, compare=False, repr=False)
+
+
+@dataclass(frozen=True, eq=False)
+class StoredBy:
+    """A storage partition that is computed from a column of the key, such as the month of a day."""
+
+    name: str
+    key: str
+    value: Column
 
 
 def create_schemas(spark: SparkSession, config: RunConfig, *layers: str) -> None:
@@ -85,43 +96,68 @@ def point_to(spark: SparkSession, table: str, df: DataFrame, path: str, stored_b
         spark.catalog.recoverPartitions(table)
 
 
+def counted(df: DataFrame, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """``df``, and what its first action will have counted: all rows as ``rows``, and those of each condition."""
+    seen = Observation()
+    wanted = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
+    return df.observe(seen, F.count("*").alias("rows"), *wanted), seen
+
+
 def publish(df: DataFrame, config: RunConfig, layer: str, name: str, stored_by: str | None = None) -> int:
-    """Full rebuild: write a new version, switch to it, return its row count."""
+    """Full rebuild: write a new version, switch to it, return its row count, which is taken while writing."""
     spark, table, path = df.sparkSession, config.table(layer, name), config.path(layer, name)
-    write_parquet(df, path, stored_by)
+    watched, seen = counted(df)
+    write_parquet(watched, path, stored_by)
     point_to(spark, table, df, path, stored_by)
-    return spark.table(table).count()
+    return seen.get["rows"]
 
 
 def merge(source: DataFrame, config: RunConfig, layer: str, name: str, keys,
-          stored_by: str | None = None) -> MergeResult:
+          stored_by: str | StoredBy | None = None) -> MergeResult:
     """Upsert a checked, deduplicated frame into a stored table.
 
     The changed rows are written to the shared folder first.  Without any, nothing is
     rewritten.  A table stored by a key column gets new versions of the affected partitions
-    only; any other table gets a new version as a whole.
+    only; any other table gets a new version as a whole.  Rows are counted while they
+    are written.
     """
-    spark, table = source.sparkSession, config.table(layer, name)
+    spark, table, path = source.sparkSession, config.table(layer, name), config.path(layer, name)
+    of_key = stored_by
+    if isinstance(stored_by, StoredBy):
+        source, of_key, stored_by = source.withColumn(stored_by.name, stored_by.value), stored_by.key, stored_by.name
     if not duplicate_keys(source, keys).isEmpty():
         raise ValueError(f"{table}: source rows share a key; nothing was written")
     if not exists(spark, table):
         total = publish(source, config, layer, name, stored_by)
-        return MergeResult(total, 0, 0, total)
-
-    target = spark.table(table).select(*source.columns)
-    labelled = U.label_changes(_only_partitions(target, source, stored_by), source, keys)
-    staged = stage(labelled.where(F.col(U.ACTION) != U.UNCHANGED), config, f"changes_{layer}_{name}")
-    counts = dict(U.action_counts(staged).collect())
-    inserted, updated = counts.get(U.INSERTED, 0), counts.get(U.UPDATED, 0)
+        return MergeResult(total, 0, 0, total, spark.read.schema(source.schema).parquet(path))
+
+    if stored_by is not None and of_key not in keys:
+        raise ValueError(f"{table} is stored by {of_key}, which is not part of its key")
+    stored = spark.table(table)
+    by_partition = stored_by is not None and stored_by in _partition_columns(spark, table)
+    if stored_by is not None and stored_by not in stored.columns:
+        raise ValueError(f"{table} has no column {stored_by}; drop the table and merge again")
+    target = stored.select(*source.columns)
+    labelled = U.label_changes(_only_partitions(target, source, stored_by) if by_partition else target, source, keys)
+    action = F.col(U.ACTION)
+    watched, seen = counted(labelled, inserted=action == U.INSERTED, updated=action == U.UPDATED)
+    changes = stage(watched.where(action != U.UNCHANGED), config, f"changes_{layer}_{name}").drop(U.ACTION)
+    counts = seen.get
+    inserted, updated = counts["inserted"], counts["updated"]
+    unchanged, written = counts["rows"] - inserted - updated, None
     if inserted + updated:
-        changes = staged.drop(U.ACTION)
-        path = config.path(layer, name)
-        if stored_by is None:
-            write_parquet(U.apply_changes(target, changes, keys), path)
-            point_to(spark, table, target, path)
-        else:
+        if by_partition:
             _replace_partitions(spark, table, target, changes, keys, stored_by, path)
-    return MergeResult(inserted, updated, source.count() - inserted - updated, spark.table(table).count())
+        else:
+            write_parquet(U.apply_changes(target, changes, keys), path, stored_by)
+            point_to(spark, table, target, path, stored_by)
+        written = spark.read.schema(source.schema).parquet(path)
+    # Without columns to read, the count comes from the footers of the files.
+    return MergeResult(inserted, updated, unchanged, spark.table(table).count(), written)
+
+
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
 
 
 def _only_partitions(target: DataFrame, rows: DataFrame, stored_by: str | None) -> DataFrame:
@@ -148,8 +184,6 @@ def _replace_partitions(spark, table, target, changes, keys, stored_by, path) ->
     The list of partitions that are pointed at their new folder is at most as long as the
     table's list of partitions.
     """
-    if stored_by not in keys:
-        raise ValueError(f"{table} is stored by {stored_by}, which is not part of its key")
     if not changes.where(F.col(stored_by).isNull()).isEmpty():
         raise ValueError(f"{table} is stored by {stored_by}, and a changed row has none")
     write_parquet(U.apply_changes(_only_partitions(target, changes, stored_by), changes, keys), path, stored_by)

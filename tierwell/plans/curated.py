@@ -14,6 +14,7 @@ from tierwell.functions import scalars as S
 from tierwell.operators.aggregates import daily_profile
 from tierwell.operators.dedup import deduplicate, keep_newest, latest_labels
 from tierwell.operators.joins import enrich, seed_frame
+from tierwell.operators.storage import StoredBy
 
 # Curated table -> business key.
 KEYS = {
@@ -26,13 +27,16 @@ KEYS = {
     "electricity_prices_daily": ("price_area", "price_date"),
 }
 
-# Curated facts that grow with time -> the key column they are stored by.  A merge then
-# rewrites only the months or years that have changed rows.
-STORED_BY = {
-    "new_registrations": "registration_month",
-    "cars_in_traffic": "year",
-    "inhabitants": "year",
-}
+# Curated facts that grow with time -> the key column they are stored by, or what is computed from one.
+# A merge then rewrites only the months or years that have changed rows.
+def stored_by() -> dict:
+    month = F.date_format("price_date", "yyyy-MM")
+    return {
+        "new_registrations": "registration_month",
+        "cars_in_traffic": "year",
+        "inhabitants": "year",
+        "electricity_prices_daily": StoredBy("price_month", "price_date", month),
+    }
 
 
 @dataclass(frozen=True)
@@ -69,8 +73,12 @@ def municipality(labels: DataFrame, areas: DataFrame, split_counties, grain=Regi
 
 
 def fuel_type(bronze: DataFrame, electrified) -> DataFrame:
+    return fuel_type_of(latest_labels(bronze, "Drivmedel", "Drivmedel_label"), electrified)
+
+
+def fuel_type_of(labels: DataFrame, electrified) -> DataFrame:
     code = F.col("code")
-    return latest_labels(bronze, "Drivmedel", "Drivmedel_label").select(
+    return labels.select(
         code.alias("fuel_type_code"),
         F.col("label").alias("fuel_type_name"),
         code.isin(*electrified).alias("is_electrified"),
@@ -78,8 +86,12 @@ def fuel_type(bronze: DataFrame, electrified) -> DataFrame:
 
 
 def ownership_category(bronze: DataFrame, counts) -> DataFrame:
-    named = latest_labels(bronze.where(F.col("Agarkategori").isin(*counts)), "Agarkategori", "Agarkategori_label")
-    return named.select(
+    named = bronze.where(F.col("Agarkategori").isin(*counts))
+    return ownership_category_of(latest_labels(named, "Agarkategori", "Agarkategori_label"), counts)
+
+
+def ownership_category_of(labels: DataFrame, counts) -> DataFrame:
+    return labels.where(F.col("code").isin(*counts)).select(
         F.col("code").alias("ownership_category_code"), F.col("label").alias("ownership_category_name")
     )
 
@@ -164,12 +176,11 @@ def build_facts(registrations: DataFrame, cars: DataFrame, cars_and_rates: DataF
     }
 
 
-def build_all(registrations: DataFrame, cars: DataFrame, prices: DataFrame) -> dict[str, DataFrame]:
-    """All seven curated tables, lazily, with the fixed values of the domain."""
-    labels = latest_labels(registrations, "Region", "Region_label")
-    areas = seed_frame(registrations.sparkSession, C.COUNTY_PRICE_AREA, "county_code", "price_area")
+def build_dimensions(regions: DataFrame, fuels: DataFrame, categories: DataFrame) -> dict[str, DataFrame]:
+    """The dimensions from the newest (code, label) of each."""
+    areas = seed_frame(regions.sparkSession, C.COUNTY_PRICE_AREA, "county_code", "price_area")
     return {
-        "municipality": municipality(labels, areas, C.SPLIT_COUNTIES),
-        "fuel_type": fuel_type(registrations, C.ELECTRIFIED_FUELS),
-        "ownership_category": ownership_category(cars, C.OWNERSHIP_COUNTS),
-    } | build_facts(registrations, cars, cars, prices)
+        "municipality": municipality(regions, areas, C.SPLIT_COUNTIES),
+        "fuel_type": fuel_type_of(fuels, C.ELECTRIFIED_FUELS),
+        "ownership_category": ownership_category_of(categories, C.OWNERSHIP_COUNTS),
+    }

@@ -18,6 +18,11 @@ def views(spark: SparkSession, config: RunConfig) -> dict[str, DataFrame]:
         for name, (source, _) in star.STAR_TABLES.items()
     }
     frames[star.CANDIDATES] = star.decision_table(frames, C)
+    return register(frames)
+
+
+def register(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The frames, also as temporary views of their names."""
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return frames

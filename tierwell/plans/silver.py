@@ -5,12 +5,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tierwell.config import RunConfig
 from tierwell.functions import codes as C
 from tierwell.operators import aggregates, quality as Q, storage
-from tierwell.plans import curated
+from tierwell.plans import curated, labels
+from tierwell.sources import manifest
 
 LAYER = "silver"
 
 
-def checks_before_write(t: dict[str, DataFrame], bronze_cars: DataFrame) -> list[Q.Check]:
+def checks_before_write(t: dict[str, DataFrame], categories: DataFrame) -> list[Q.Check]:
+    """``categories`` has the newest label of every ownership category that ever landed."""
     municipality, fuel_type = t["municipality"], t["fuel_type"]
     registrations, cars = t["new_registrations"], t["cars_in_traffic"]
     people, prices = t["inhabitants"], t["electricity_prices_daily"]
@@ -40,8 +42,8 @@ def checks_before_write(t: dict[str, DataFrame], bronze_cars: DataFrame) -> list
                        C.OWNERSHIP_TOTAL, C.OWNERSHIP_PARTS),
         Q.parts_present("cars_in_traffic", "the parts of the total are present", by_category, C.OWNERSHIP_PARTS),
         # Before the curated layer drops what it does not know.
-        Q.known_codes("cars_in_traffic", "bronze has only known ownership categories", bronze_cars,
-                      "Agarkategori", "Agarkategori_label", C.OWNERSHIP_COUNTS + C.OWNERSHIP_RATIOS),
+        Q.known_codes("cars_in_traffic", "bronze has only known ownership categories", categories,
+                      "code", "label", C.OWNERSHIP_COUNTS + C.OWNERSHIP_RATIOS),
         Q.not_null("inhabitants", "an estimate is present", people, ["inhabitants_estimate"]),
         Q.between("inhabitants", "the estimate is plausible", people, "inhabitants_estimate", *C.INHABITANTS_RANGE),
         Q.not_null("electricity_prices_daily", "an average price is present", prices, ["avg_sek_per_kwh"], Q.WARNING),
@@ -66,15 +68,14 @@ _PERIODS = {
 }
 
 
-def _touched(bronze: DataFrame, column: str, since) -> DataFrame:
-    """All loads of the periods that have a load newer than ``since``.
+def _touched(bronze: DataFrame, fresh: DataFrame, column: str) -> DataFrame:
+    """All loads of the periods that ``fresh``, the rows of new loads, has.
 
-    Each append has one load time, so the row-group statistics of ``_ingested_at`` lead Spark to
-    the new files.  The first and last touched period bound the second read in the same way.
+    The first and last touched period bound the read of the other loads.
     Every load of a touched period is kept: which one wins is for the deduplication to say.
     """
     loads = bronze.withColumn("_period", F.coalesce(F.substring(column, 1, 10), F.lit("")))
-    periods = loads.where(F.col("_ingested_at") > F.timestamp_micros(F.lit(since))).select("_period").distinct()
+    periods = fresh.select(F.coalesce(F.substring(column, 1, 10), F.lit("")).alias("_period")).distinct()
     first, last = periods.agg(F.min("_period"), F.max("_period")).first()
     if first is None:
         return bronze.where(F.lit(False))
@@ -83,24 +84,14 @@ def _touched(bronze: DataFrame, column: str, since) -> DataFrame:
     return near.join(periods, "_period", "left_semi").drop("_period")
 
 
-def _merged_through(spark: SparkSession, config: RunConfig) -> dict:
-    """Per fact, the load time (microseconds) up to which bronze is merged; None before, or when the fact is gone."""
-    done = config.table("ops", "merged_loads")
-    through = dict.fromkeys(_PERIODS)
-    if storage.exists(spark, done):
-        newest = spark.table(done).groupBy("table_name").agg(F.max("merged_through")).collect()  # one row per fact
-        through |= {name: micros for name, micros in newest if storage.exists(spark, config.table(LAYER, name))}
-    return through
-
-
 def run(spark: SparkSession, config: RunConfig, only_touched: bool = False) -> dict[str, storage.MergeResult]:
     """Build, check and merge all tables.
 
     By default every fact is rebuilt from all of bronze, and the checks see all of it.  With
-    ``only_touched`` the facts are rebuilt for the periods that were loaded since the last
-    merge; a merge never deletes, so the tables end up the same, but checks on facts (such as
+    ``only_touched`` the facts are rebuilt for the periods of the loads that they have not taken in
+    yet; a merge never deletes, so the tables end up the same, but checks on facts (such as
     the complete grid) then cover those periods only.  A fact that is not there is built from all of
-    bronze.  Dimensions always use all of bronze.
+    bronze.  Dimensions come from the stored newest labels, which only new loads are merged into.
     """
     try:
         return _run(spark, config, only_touched)
@@ -111,31 +102,41 @@ def run(spark: SparkSession, config: RunConfig, only_touched: bool = False) -> d
 def _run(spark: SparkSession, config: RunConfig, only_touched: bool) -> dict[str, storage.MergeResult]:
     storage.create_schemas(spark, config, LAYER, "ops")
     checks = Q.QualityChecks(spark, config.results_table, config.run_id, LAYER)
-    bronze = {name: spark.table(config.table("bronze", name)) for name in (*C.CUBE_TABLES, C.PRICE_TABLE)}
-    through = {name: df.agg(F.unix_micros(F.max("_ingested_at"))).first()[0] for name, df in bronze.items()}
-    frames = curated.build_all(*bronze.values())
+    # The loads this run takes in, kept: others may be recorded meanwhile.
+    loads = {
+        name: storage.stage(manifest.recorded(spark, config, name).select("load_id"), config, f"loads_of_{name}")
+        for name in (*C.CUBE_TABLES, C.PRICE_TABLE)
+    }
+    bronze = {name: manifest.complete_rows(spark, config, name, ids) for name, ids in loads.items()}
+    newest = labels.refresh(spark, config)
+    sources = {fact: bronze[name] for fact, (name, _) in _PERIODS.items()}
     if only_touched:
-        since = _merged_through(spark, config)
-        recent = {
-            fact: bronze[name] if since[fact] is None else _touched(bronze[name], column, since[fact])
-            for fact, (name, column) in _PERIODS.items()
-        }
-        frames |= curated.build_facts(*recent.values())
-
-    # Stored once: the checks and the merge see the same rows, and nothing is computed twice.
-    built = {name: storage.stage(df, config, f"{LAYER}_{name}") for name, df in frames.items()}
-    checks.add(*checks_before_write(built, bronze["scb_cars_in_traffic"]))
+        for fact, (name, column) in _PERIODS.items():
+            if storage.exists(spark, config.table(LAYER, fact)):
+                new = manifest.not_used(spark, config, name, fact).join(loads[name], "load_id", "left_semi")
+                sources[fact] = _touched(bronze[name], manifest.complete_rows(spark, config, name, new), column)
+    frames = curated.build_dimensions(**newest) | curated.build_facts(*sources.values())
+
+    # Stored once: the checks and the merge see the same rows, and row rules are counted on the way.
+    built, declared = Q.write_checked(
+        frames, lambda t: checks_before_write(t, newest["categories"]),
+        lambda name, df: storage.stage(df, config, f"{LAYER}_{name}"),
+    )
+    checks.add(*declared)
     checks.enforce("before write", "No merge was started.")
 
+    stored_by = curated.stored_by()
     results = {
-        name: storage.merge(df, config, LAYER, name, curated.KEYS[name], curated.STORED_BY.get(name))
+        name: storage.merge(df, config, LAYER, name, curated.KEYS[name], stored_by.get(name))
         for name, df in built.items()
     }
-    merged = spark.createDataFrame(
-        [(fact, through[name]) for fact, (name, _) in _PERIODS.items()], "table_name string, merged_through long"
-    )
-    storage.append(merged, config.table("ops", "merged_loads"))
-    for name, keys in curated.KEYS.items():
-        checks.add(Q.unique_key(name, "stored keys are unique", spark.table(config.table(LAYER, name)), keys))
-    checks.enforce("after write", "Two writers merged into silver at once; drop the table and merge again.")
+    manifest.mark_used(config, {(fact, name): loads[name] for fact, (name, _) in _PERIODS.items()})
+    # Keys hold what a table is stored by, so only what was written can have a key twice.
+    for name, result in results.items():
+        check = "stored keys are unique"
+        if result.written is None:
+            checks.condition(name, check, True, "")
+        else:
+            checks.add(Q.unique_key(name, check, result.written, curated.KEYS[name]))
+    checks.enforce("after write", "Drop the table and merge again.")
     return results

@@ -12,6 +12,7 @@ and the next load appends the same files under another id.
 import time
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -110,15 +111,15 @@ def not_used(spark: SparkSession, config: RunConfig, name: str, consumer: str) -
 
 
 def mark_used(config: RunConfig, used: dict[tuple[str, str], DataFrame]) -> None:
-    """Record that consumers have taken in loads: {(consumer, table): load ids}, in one append."""
-    parts = [
+    """Record that consumers have taken in loads: {(consumer, table): load ids}, in one append of what is not recorded yet."""
+    marks = reduce(DataFrame.unionByName, [
         loads.select(F.lit(consumer).alias("consumer"), F.lit(name).alias("table_name"), "load_id")
         for (consumer, name), loads in used.items()
-    ]
-    marks = parts[0]
-    for part in parts[1:]:
-        marks = marks.unionByName(part)
-    storage.append(marks.coalesce(1), config.table("ops", "used_loads"))
+    ])
+    table = config.table("ops", "used_loads")
+    if storage.exists(marks.sparkSession, table):
+        marks = marks.join(marks.sparkSession.table(table), marks.columns, "left_anti")
+    storage.append(marks.coalesce(1), table)
 
 
 @dataclass

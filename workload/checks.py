@@ -277,6 +277,26 @@ def quality_log(spark, sf_dir):
     )
 
 
+@query("quality_facts", """
+SELECT 'orphans' AS check_name, 'warning' AS severity, count(*) = 0 AS passed, count(*) AS failed_rows
+FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0))
+UNION ALL SELECT 'there are orders', 'error', count(*) > 0, CAST(0 AS BIGINT) FROM orders
+UNION ALL SELECT 'there are no orders', 'warning', count(*) = 0, CAST(count(*) > 0 AS BIGINT) FROM orders""")
+def quality_facts(spark, sf_dir):
+    """Checks declared the short ways: offending rows as they are, and facts that the caller already knows."""
+    config = scratch_config(spark)
+    storage.create_schemas(spark, config, "ops")
+    orders, customers = T.table(spark, sf_dir, "orders"), T.table(spark, sf_dir, "customer").where("c_custkey % 2 = 0")
+    empty = orders.isEmpty()
+    log = quality.QualityChecks(spark, config.results_table, config.version, "orders")
+    log.rows("orders", "orphans", joins.orphan_keys(
+        orders, customers.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"), quality.WARNING)
+    log.condition("orders", "there are orders", not empty, "the table is empty")
+    log.condition("orders", "there are no orders", empty, "the table has rows", quality.WARNING)
+    log.enforce("before write", "Nothing was written.")
+    return quality.history(spark, config.results_table, config.version).select("check_name", "severity", "passed", "failed_rows")
+
+
 @query("sample_json", """
 SELECT '[' || string_agg(CAST(to_json({o_orderkey: o_orderkey, o_orderstatus: o_orderstatus,
                                        urgency: urgency, day: day}) AS VARCHAR), ',' ORDER BY o_orderkey) || ']' AS sample

@@ -7,9 +7,10 @@ from pyspark.sql.window import Window
 
 from tierwell.config import RunConfig, shared_folder
 from tierwell.operators import storage
-from tierwell.operators.quality import declared_size
-from tierwell.plans import bronze
-from tierwell.sources import cube, landing
+from tierwell.functions import codes as C
+from tierwell.operators.quality import QualityError, declared_size
+from tierwell.plans import bronze, labels
+from tierwell.sources import cube, landing, manifest
 from workload import tables as T
 from workload.registry import query
 
@@ -153,14 +154,147 @@ def incremental_load(spark, sf_dir):
         ))
     by_load = lambda table, time, *more: spark.table(table).groupBy(time).agg(*more).select(
         F.row_number().over(Window.orderBy(time)).alias("load"), "*")
-    manifest = by_load(config.table("ops", "loaded_prices"), "loaded_at", F.count("*").alias("files"))
+    files_by_load = by_load(config.table("ops", "loaded_prices"), "loaded_at", F.count("*").alias("files"))
     rows = by_load(config.table("bronze", "prices"), "_ingested_at", F.count("*").alias("row_count"))
     said = spark.createDataFrame(list(enumerate(reported, 1)), "load int, reported long")
     none = F.lit(0).cast("long")
-    return said.join(manifest, "load", "left").join(rows, "load", "left").select(
+    return said.join(files_by_load, "load", "left").join(rows, "load", "left").select(
         "load", F.coalesce("files", none).alias("files"), F.coalesce("row_count", none).alias("row_count"), "reported")
 
 
+def land_daily_files(spark, sf_dir, root, where=None, **options):
+    """Events as one JSON array a file, per type and day, the way the download leaves them."""
+    events = T.table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
+    period = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+01:00'").alias("time_start"), F.col("value").alias("SEK_per_kWh"))
+    files = (events if where is None else events.where(where)).groupBy(
+        F.col("event_type").alias("elomrade"), F.year("day").alias("ar"), "day"
+    ).agg(F.to_json(F.collect_list(period)).alias("value"))
+    writer = files.drop("day").write.mode("append").option("maxRecordsPerFile", 1).option("lineSep", "\n").options(**options)
+    writer.partitionBy("elomrade", "ar").format("text").save(root)
+
+
+def load_daily_files(spark, config, name="prices", **how):
+    """The bronze load over them; ``.txt`` is the suffix of Spark's text files."""
+    return bronze.load_files(
+        spark, config, name, f"{config.landing}/elpris", len(landing.PRICE_FOLDERS),
+        lambda spark, root, between, within: landing.read_prices(spark, root, between, pattern="*.txt", within=within),
+        lambda rows: rows.select("elomrade", "time_start", "SEK_per_kWh", F.col("source_file").alias("_source_file")),
+        "*.txt", **how,
+    )
+
+
+def landing_config(spark, kind):
+    name = uuid.uuid4().hex
+    folder = f"{shared_folder(spark)}/{kind}/{name}"
+    config = RunConfig(landing=f"{folder}/landing", storage=f"{folder}/tables", prefix=f"{kind}_{name}_")
+    storage.create_schemas(spark, config, "bronze", "ops")
+    return config
+
+
+class Crash(Exception):
+    pass
+
+
+def crash():
+    raise Crash
+
+
+DAILY_SQL = """
+SELECT event_type AS elomrade, count(*) AS row_count, count(DISTINCT CAST(ts AS DATE)) AS files, CAST(1 AS BIGINT) AS loads
+FROM events GROUP BY 1"""
+
+
+def visible(spark, config):
+    """Per type: rows, files and loads that readers see."""
+    rows = manifest.complete_rows(spark, config, "prices")
+    return rows.groupBy("elomrade").agg(
+        F.count("*").alias("row_count"), F.countDistinct("_source_file").alias("files"), F.countDistinct("_load").alias("loads")
+    )
+
+
+@query("load_after_crash", DAILY_SQL)
+def load_after_crash(spark, sf_dir):
+    """A load dies between its two writes and is repeated: every file counts once."""
+    config = landing_config(spark, "crash")
+    land_daily_files(spark, sf_dir, f"{config.landing}/elpris")
+    try:
+        load_daily_files(spark, config, between_writes=crash)
+    except Crash:
+        pass
+    load_daily_files(spark, config)
+    return visible(spark, config)
+
+
+@query("load_of_one_suffix", DAILY_SQL.replace("FROM events", "FROM events WHERE event_id % 2 = 0"))
+def load_of_one_suffix(spark, sf_dir):
+    """Files of another suffix beside the landed ones (half of the events, compressed) are not read."""
+    config = landing_config(spark, "suffix")
+    land_daily_files(spark, sf_dir, f"{config.landing}/elpris", F.col("event_id") % 2 == 0)
+    land_daily_files(spark, sf_dir, f"{config.landing}/elpris", F.col("event_id") % 2 == 1, compression="gzip")
+    load_daily_files(spark, config)
+    return visible(spark, config)
+
+
+@query("rebuilt_bronze", DAILY_SQL)
+def rebuilt_bronze(spark, sf_dir):
+    """After DROP TABLE every landed file is new again, and the table is built from the archive."""
+    config = landing_config(spark, "rebuild")
+    land_daily_files(spark, sf_dir, f"{config.landing}/elpris")
+    load_daily_files(spark, config)
+    spark.sql(f"DROP TABLE {config.table('bronze', 'prices')}")
+    load_daily_files(spark, config)
+    return visible(spark, config)
+
+
+@query("rows_without_area", """
+SELECT 'no row is without elomrade' AS check_name, false AS passed, CAST(1 AS BIGINT) AS failed_rows,
+       CAST(split_part(sample, ' ', 1) AS BIGINT) AS found, CAST(0 AS BIGINT) AS visible_loads
+FROM (SELECT count(*) || ' rows' AS sample FROM events WHERE event_type = (SELECT min(event_type) FROM events))""")
+def rows_without_area(spark, sf_dir):
+    """Price rows that lack a required column (one type of event lands in the folder for no value) stop the load before
+    its record is written, and are reported."""
+    config, name = landing_config(spark, "required"), C.PRICE_TABLE
+    events = T.table(spark, sf_dir, "events")
+    least = events.agg(F.min("event_type").alias("t")).select("t").scalar()
+    events.select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+01:00'").alias("time_start"), F.col("value").alias("SEK_per_kWh"),
+        F.when(F.col("event_type") != least, F.col("event_type")).alias("elomrade"), F.year("ts").alias("ar"),
+    ).write.partitionBy("elomrade", "ar").json(f"{config.landing}/elpris")
+    try:
+        bronze.load_files(
+            spark, config, name, f"{config.landing}/elpris", len(landing.PRICE_FOLDERS),
+            lambda spark, root, between, within: landing.read_prices(spark, root, between, whole_files=False, within=within),
+            lambda rows: rows.select("elomrade", "time_start", "SEK_per_kWh", F.col("source_file").alias("_source_file")),
+        )
+    except QualityError:
+        pass  # expected
+    loads = manifest.recorded(spark, config, name).agg(F.count("*").alias("n")).select("n").scalar()
+    return spark.table(config.results_table).where("NOT passed").select(
+        "check_name", "passed", "failed_rows", F.substring_index("sample", " ", 1).cast("long").alias("found"),
+        loads.alias("visible_loads"),
+    )
+
+
+@query("label_state", """
+WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS code, strftime(o_orderdate, '%YM%m') AS period, o_orderpriority AS label,
+                  o_orderkey % 2 AS load FROM orders)
+SELECT code, label FROM o QUALIFY row_number() OVER (PARTITION BY code ORDER BY period DESC, load DESC, label DESC) = 1""")
+def label_state(spark, sf_dir):
+    """The newest label per code from a stored state: two loads, each merged into it on its own."""
+    config = landing_config(spark, "labels")
+    orders = T.table(spark, sf_dir, "orders")
+    source = {"customers": labels.LabelSource("orders", "code", "label", "period")}
+    for part in (0, 1):
+        rows = orders.where(F.col("o_orderkey") % 2 == part).select(
+            F.col("o_custkey").cast("string").alias("code"), F.date_format("o_orderdate", "yyyy'M'MM").alias("period"),
+            F.col("o_orderpriority").alias("label"),
+        )
+        load = manifest.Load(spark, config, "orders")
+        load.record(0, load.write_rows(rows)["rows"])
+        newest = labels.refresh(spark, config, source)["customers"]
+    return newest
+
+
 def land_events(spark, sf_dir):
     """Events as landed price files: folders per type and year, one period per line."""
     root = f"{shared_folder(spark)}/landing/{uuid.uuid4().hex}"

@@ -11,8 +11,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from tierwell.config import RunConfig, shared_folder
-from tierwell.operators import storage
+from tierwell.operators import quality, storage
 from tierwell.operators import upsert as U
+from tierwell.operators.storage import StoredBy
 from tierwell.sources import manifest
 from workload import tables as T
 from workload.registry import query
@@ -115,7 +116,7 @@ def stored_merge_result(spark, sf_dir):
     storage.merge(target, first, "silver", name, KEYS)
     result = storage.merge(storage.stage(source, second, name), second, "silver", name, KEYS)
     storage.drop_stage(spark, second)
-    return spark.createDataFrame([tuple(vars(result).values())],
+    return spark.createDataFrame([(result.inserted, result.updated, result.unchanged, result.total)],
                                  "inserted long, updated long, unchanged long, total long")
 
 
@@ -134,6 +135,51 @@ def published_table(spark, sf_dir):
     return spark.table(config.table("gold", name))
 
 
+@query("merge_by_month", """
+SELECT CAST(o_custkey AS BIGINT) AS o_custkey, CAST(o_orderdate AS DATE) AS day, count(*) AS orders,
+       strftime(o_orderdate, '%Y-%m') AS month,
+       strftime(o_orderdate, '%Y-%m') = (SELECT strftime(max(o_orderdate), '%Y-%m') FROM orders) AS rewritten
+FROM orders GROUP BY ALL""")
+def merge_by_month(spark, sf_dir):
+    """A table keyed by day and stored by month, which is computed from the day: the second load, of the last day alone,
+    rewrites the files of the last month and of no other."""
+    daily = T.table(spark, sf_dir, "orders").groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("day")).agg(
+        F.count("*").alias("orders"))
+    by_month = StoredBy("month", "day", F.date_format("day", "yyyy-MM"))
+    first, second, name = scratch_config(spark), scratch_config(spark), f"daily_{uuid.uuid4().hex}"
+    storage.create_schemas(spark, first, "silver")
+    last = daily.agg(F.max("day").alias("d")).select("d").scalar()
+    early = daily.withColumn("orders", F.when(F.col("day") == last, F.lit(0).cast("long")).otherwise(F.col("orders")))
+    storage.merge(early, first, "silver", name, ["o_custkey", "day"], by_month)
+    storage.merge(storage.stage(daily.where(F.col("day") == last), second, name), second, "silver", name, ["o_custkey", "day"], by_month)
+    storage.drop_stage(spark, second)
+    return spark.table(second.table("silver", name)).select(
+        "o_custkey", "day", "orders", "month", F.col("_metadata.file_path").contains(second.version).alias("rewritten"))
+
+
+@query("gated_publish", """
+SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders,
+       CAST(max(o_orderdate) FILTER (o_orderpriority = '1-URGENT') AS DATE) AS last_urgent
+FROM orders WHERE o_orderdate < DATE '1998-07-01' GROUP BY 1, 2""")
+def gated_publish(spark, sf_dir):
+    """A rebuild whose check fails is written but not switched to: readers keep the table from before."""
+    target, source = sides(spark, sf_dir)
+    name, first, second = f"state_{uuid.uuid4().hex}", scratch_config(spark), scratch_config(spark)
+    storage.create_schemas(spark, first, "gold", "ops")
+    storage.publish(target, first, "gold", name)
+    written, declared = quality.write_checked(
+        {name: source}, lambda t: [quality.row_rule(name, "there are many orders", t[name], F.col("orders") < 1_000_000)],
+        lambda _, df: storage.write_parquet(df, second.path("gold", name)),
+    )
+    checks = quality.QualityChecks(spark, second.results_table, second.version, "gold").add(*declared)
+    try:
+        checks.enforce("before write", "The new version stays unused.")
+        storage.point_to(spark, second.table("gold", name), written[name], second.path("gold", name))
+    except quality.QualityError:
+        pass  # expected
+    return spark.table(second.table("gold", name))
+
+
 LOADED_FILES_SQL = """
     SELECT o_custkey || '_' || strftime(o_orderdate, '%YM%m') || '.json' AS source_file,
            max(o_orderdate) AS modified_at
