@@ -6,13 +6,14 @@ decide on what they are given only. ``run`` writes each stage below the shared f
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwell.llm.common import ship, stored, table
+from tierwell.llm.common import drop_unused, ship, stored, table
 from tierwell.llm.pipeline import STAGES as _STAGES
 
 
 def _shipping(stage):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ship(spark)
+        drop_unused(docs)
         return stage(spark, docs, sf_dir)
 
     return run_stage

@@ -55,7 +55,7 @@ def removed_lines(texts, k, percent):
         if texts[doc] is None:
             continue
         for i, line in enumerate(texts[doc].split("\n")):
-            tokens = shingles(line, k) if len(WORDS.findall(line)) >= k else set()
+            tokens = shingles(line, k)
             if not tokens:
                 continue
             if any(100 * len(tokens & x) >= percent * len(tokens | x) for x in earlier):

@@ -36,6 +36,23 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+_written: list[str] = []
+
+
+def drop_unused(docs: DataFrame) -> None:
+    """Remove the results stored so far that ``docs`` does not read.
+
+    For a chain of stages, each of which gets what its predecessor returned as a stored table: what the predecessor
+    stored on its way is of no more use.
+    """
+    spark, files = docs.sparkSession, docs.inputFiles()
+    read = {file.rsplit("/", 2)[-2] for file in files} | {file.rsplit("/", 3)[-3] for file in files if file.count("/") > 2}
+    for path in [p for p in _written if p.rsplit("/", 1)[1] not in read]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _written.remove(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -47,6 +64,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     use the result several times read it instead of computing it again.
     """
     path = f"{shared_folder(df.sparkSession)}/tierwell-llm/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,7 +1,7 @@
 """Line dedup (operator 2): an exact set-similarity join of lines, in built-in functions only.
 
-A line's tokens are its distinct shingles of k words. Lines of fewer words, but one at least, take no part and stay; with
-``short_lines`` their whole word sequence is their one token. A line is removed if an earlier one (smaller doc_id, or same document, earlier line) has a Jaccard similarity of ``percent`` or more. Lines
+A line's tokens are its distinct shingles of k words; with fewer words, but one at least, its whole word sequence is its
+one token. Lines without words take no part and stay. A line is removed if an earlier one (smaller doc_id, or same document, earlier line) has a Jaccard similarity of ``percent`` or more. Lines
 are judged on the input, not on what is left.
 
 * Rarity: how often each cell of a hashed table of fixed size is hit by any line's shingles. It orders tokens; any order
@@ -28,20 +28,20 @@ CELLS, BITMAP = 1 << 16, 1 << 17
 _BLANKS = " \t\x0b\f\r"
 
 
-def _shingles(line: Column, k: int, short: bool) -> Column:
-    """Hashes of the line's k-word shingles; with fewer words that of all its words if ``short``, else null.
+def _shingles(line: Column, k: int) -> Column:
+    """Hashes of the line's k-word shingles; with fewer words that of all its words, without any null.
 
     Words are hashed once each. ``xxhash64`` leaves out the nulls beyond a short line's end.
     """
     words = F.array_remove(F.split(F.translate(line, _BLANKS, "     "), " "), "")
-    hashes = F.transform(F.array(words), lambda w: F.when(F.size(w) >= (1 if short else k), F.transform(w, lambda x: F.xxhash64(x))))
+    hashes = F.transform(F.array(words), lambda w: F.when(F.size(w) >= 1, F.transform(w, lambda x: F.xxhash64(x))))
     return F.transform(hashes, lambda h: F.when(h.isNotNull(), F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(h) - k, F.lit(0))), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)])
     )))[0]
 
 
-def _tokens(line: Column, k: int, short: bool) -> Column:
-    return F.array_distinct(_shingles(line, k, short))
+def _tokens(line: Column, k: int) -> Column:
+    return F.array_distinct(_shingles(line, k))
 
 
 def _dense(rows: DataFrame, size: int, name: str) -> DataFrame:
@@ -79,14 +79,17 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "words"))
 
 
-def _similar(docs: DataFrame, pairs: DataFrame, k: int, percent: int, short: bool) -> DataFrame:
+def _similar(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Of ``pairs`` (later, earlier: structs of doc_id and line) those with enough tokens in common."""
     both = pairs.select(F.col("later").alias("at")).union(pairs.select("earlier")).distinct()
     wanted = stored(both.groupBy("at.doc_id").agg(F.collect_set("at.line").alias("wanted")), "wanted")
     near = docs.select("doc_id", "text").where(_is_marked(_marked(wanted)))
-    found = near.join(wanted, "doc_id").select(
-        "doc_id", F.explode("wanted").alias("line"), F.split("text", "\n").alias("all")
-    ).select(F.struct("doc_id", "line").alias("at"), _tokens(F.get("all", F.col("line")), k, short).alias("tokens"))
+    # Only the wanted lines leave the row of a document; ``all`` is split once and copied to none of them.
+    picked = F.transform(F.array(F.split("text", "\n")), lambda all: F.transform(
+        "wanted", lambda line: F.struct(line.alias("line"), F.get(all, line).alias("words"))))[0]
+    found = near.join(wanted, "doc_id").select("doc_id", F.inline(picked)).select(
+        F.struct("doc_id", "line").alias("at"), _tokens(F.col("words"), k).alias("tokens")
+    )
     tokens = stored(found.where("tokens IS NOT NULL").dropDuplicates(["at"]), "tokens")
     joined = pairs.join(tokens.select(F.col("at").alias("later"), F.col("tokens").alias("x")), "later").join(
         tokens.select(F.col("at").alias("earlier"), F.col("tokens").alias("y")), "earlier"
@@ -95,11 +98,11 @@ def _similar(docs: DataFrame, pairs: DataFrame, k: int, percent: int, short: boo
     return joined.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("later", "earlier")
 
 
-def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80, short_lines: bool = False) -> DataFrame:
+def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, line (from 0) of the lines that have an earlier match."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    tokens = _lines(docs).select("doc_id", "line", _tokens(F.col("words"), k, short_lines).alias("tokens")).where("tokens IS NOT NULL")
-    shingles = _lines(docs).select(F.explode(_shingles(F.col("words"), k, short_lines)).alias("t"))
+    tokens = _lines(docs).select("doc_id", "line", _tokens(F.col("words"), k).alias("tokens")).where("tokens IS NOT NULL")
+    shingles = _lines(docs).select(F.explode(_shingles(F.col("words"), k)).alias("t"))
     hits = shingles.groupBy(F.col("t").bitwiseAND(CELLS - 1).alias("cell")).agg(F.count("*").alias("value"))
     # Logarithms in 22 bits go before 41 bits of the hash: one number is a token and its place in the order.
     rarity = _dense(hits.withColumn("value", F.floor(F.log1p("value") * 100_000)), CELLS, "rarity")
@@ -134,7 +137,7 @@ def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80, short_lines: b
     at = lambda c: F.struct(F.col(f"{c}.doc_id").alias("doc_id"), F.col(f"{c}.line").alias("line"))
     near = shared.where("x.doc_id > head.doc_id OR x.doc_id = head.doc_id AND x.line > head.line")
     pairs = stored(near.where(_room("x", "head", percent)).select(at("x").alias("later"), at("head").alias("earlier")).distinct(), "pairs")
-    first = stored(_similar(docs, pairs, k, percent, short_lines).select("later").distinct(), "matched")
+    first = stored(_similar(docs, pairs, k, percent).select("later").distinct(), "matched")
 
     # What the earliest of the list does not remove meets all earlier members.
     open_ones = near.withColumn("later", at("x")).join(first, "later", "left_anti").select("token", "later", "x")
@@ -146,14 +149,14 @@ def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80, short_lines: b
         & _room("x", "y", percent),
     ).select("later", at("y").alias("earlier")).distinct()
     more = stored(crossed, "pairs")
-    second = _similar(docs, more, k, percent, short_lines).select("later").distinct()
+    second = _similar(docs, more, k, percent).select("later").distinct()
     matched = first.union(second).select("later.doc_id", "later.line")
     return repeated.union(matched).distinct()
 
 
-def dedup_lines(docs: DataFrame, k: int = 5, percent: int = 80, short_lines: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The documents without removed lines, with ``n_lines`` (before) and ``n_removed``; all other columns stay."""
-    gone = stored(removed_lines(docs, k, percent, short_lines).groupBy("doc_id").agg(F.collect_set("line").alias("_gone")), "removed")
+    gone = stored(removed_lines(docs, k, percent).groupBy("doc_id").agg(F.collect_set("line").alias("_gone")), "removed")
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed", "_gone")]
     lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0))
     count = F.when(F.col("text").isNull(), 0).otherwise(lines).alias("n_lines")

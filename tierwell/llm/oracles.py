@@ -20,7 +20,8 @@ WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
   FROM documents WHERE text IS NOT NULL),
 words AS (SELECT *, regexp_extract_all(line, '{_WORD}') AS w FROM lines),
-sets AS (SELECT doc_id, i, list_distinct({_shingles('w', 5)}) AS s FROM words WHERE len(w) >= 5),
+sets AS (SELECT doc_id, i, CASE WHEN len(w) >= 5 THEN list_distinct({_shingles('w', 5)}) ELSE [array_to_string(w, ' ')] END AS s
+         FROM words WHERE len(w) >= 1),
 tokens AS (SELECT doc_id, i, len(s) AS n, unnest(s) AS t FROM sets),
 later AS (
   SELECT DISTINCT doc_id, i FROM (

@@ -41,7 +41,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
     last = np.array([end], dtype="<u4").tobytes()
 
     def rows(batches):
-        encode = encoder(definition.value).encode
+        words = encoder(definition.value)
+        encode = words.encode
         for batch in batches:
             out = {name: [] for name in _PIECES.names}
             for doc_id, text in zip(batch.column(0), batch.column(1)):
@@ -52,6 +53,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
                     for name, value in zip(_PIECES.names, (doc_id.as_py(), start, len(piece) // 4, zlib.crc32(piece), total)):
                         out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=_PIECES)
+        words.forget()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(rows, _PIECES_SQL)

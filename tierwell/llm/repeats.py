@@ -48,7 +48,7 @@ def sequence(spec: Windows, buffer: np.ndarray, offsets: np.ndarray):
     return textscan.byte_values(buffer), offsets, None
 
 
-def segments(spec: Windows, values: np.ndarray, bounds: np.ndarray):
+def segments(spec: Windows, values: np.ndarray, bounds: np.ndarray, buffer: np.ndarray):
     """(row, anchor, first, last, key, fingerprint) of the segments of a chunk; positions count from its start."""
     n, width = len(values), spec.length - spec.gram + 1
     row_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -72,7 +72,10 @@ def segments(spec: Windows, values: np.ndarray, bounds: np.ndarray):
     if not found:
         return (np.zeros(0, dtype=np.int64),) * 4 + (np.zeros(0, dtype=np.uint64),) * 2
     row, anchor, first, last, key = (np.concatenate(x) for x in zip(*found))
-    content = textscan.span_hashes(values, first, last + spec.length)
+    if spec.words:
+        content = textscan.value_digests(values, first, last + spec.length)
+    else:
+        content = textscan.byte_digests(buffer, first, last + spec.length)
     shape = ((anchor - first).astype(np.uint64) << np.uint64(8)) | (last - first).astype(np.uint64)
     return row, anchor, first, last, key, textscan.mixed(content + textscan.mixed(shape + np.uint64(1)))
 
@@ -98,14 +101,17 @@ def _dealt(spec: Windows, texts: DataFrame) -> DataFrame:
         for batch in batches:
             for ids, buffer, offsets in textscan.chunks(batch.column(0), batch.column(1)):
                 values, bounds, _ = sequence(spec, buffer, offsets)
-                row, anchor, first, last, key, fp = segments(spec, values, bounds)
+                row, anchor, first, last, key, fp = segments(spec, values, bounds, buffer)
                 doc = ids[row]
                 at = place(first - bounds[row], anchor - first, last - first)
                 order = np.lexsort((at, doc, fp, key))
                 key, fp, doc, at = key[order], fp[order], doc[order], at[order]
                 head = np.ones(len(key), dtype=bool)
                 head[1:] = (key[1:] != key[:-1]) | (fp[1:] != fp[:-1])
-                leader = doc[np.flatnonzero(head)[np.cumsum(head) - 1]] if len(key) else doc
+                leader = np.flatnonzero(head)[np.cumsum(head) - 1]
+                # Rows that share id and text start at one place, which is not earlier than itself.
+                apart = head | (doc != doc[leader]) | (at != at[leader])
+                key, fp, doc, at, head, leader = key[apart], fp[apart], doc[apart], at[apart], head[apart], doc[leader][apart]
                 known = ~head & (spec.same_text | (doc != leader))
                 # Settled rows only pass through: any key will do, and theirs spreads them.
                 key = np.where(known, textscan.mixed(doc.view(np.uint64) + at.view(np.uint64)), key).view(np.int64)
@@ -118,7 +124,7 @@ def settle(spec: Windows, crowd: int):
     """Streams rows sorted by (key, fp, doc_id, place); see the module's step 1. Holds one batch and a few rows."""
 
     def run(batches):
-        state = {"key": None, "fp": None, "leader": None, "kinds": 0, "wait": []}
+        state = {"key": None, "fp": None, "leader": (0, -1), "kinds": 0, "wait": []}
         for batch in batches:
             known = batch.column("known").to_numpy(zero_copy_only=False)
             if known.any():
@@ -145,9 +151,11 @@ def _settled(key, fp, doc, at, state, spec, crowd):
     new_fp[0] = not (goes_on and fp[0] == state["fp"])
     heads = np.flatnonzero(new_fp)
     group = np.cumsum(new_fp)
-    leaders = np.concatenate([[state["leader"] if state["leader"] is not None else 0], doc[heads]])
-    leader = leaders[group]
-    repeat = ~new_fp & (spec.same_text | (doc != leader))
+    leader = np.concatenate([[state["leader"][0]], doc[heads]])[group]
+    leader_at = np.concatenate([[state["leader"][1]], at[heads]])[group]
+    # Rows that share id and text start at one place, which is not earlier than itself.
+    itself = ~new_fp & (doc == leader) & (at == leader_at)
+    repeat = ~new_fp & ~itself & (spec.same_text | (doc != leader))
     if repeat.any():
         yield _found(REPEAT, key[repeat], doc[repeat], at[repeat])
     # Different segments of each row's key so far, and in the whole batch.
@@ -159,7 +167,7 @@ def _settled(key, fp, doc, at, state, spec, crowd):
         if goes_on and state["wait"]:
             yield _found(OPEN, *(np.array(x, dtype=np.int64) for x in zip(*state["wait"])))
         state["wait"] = []
-    open_ = ~repeat & (counts[part] > 1)
+    open_ = ~repeat & ~itself & (counts[part] > 1)
     if open_.any():
         yield _found(OPEN, key[open_], doc[open_], at[open_])
     crowded = counts > crowd
@@ -171,8 +179,9 @@ def _settled(key, fp, doc, at, state, spec, crowd):
         yield _found(CROWDED, chosen, np.zeros_like(chosen), np.zeros_like(chosen))
     last = part == part[-1]
     if counts[part[-1]] == 1:
-        state["wait"] += [(int(k), int(d), int(p)) for k, d, p in zip(key[last & ~repeat], doc[last & ~repeat], at[last & ~repeat])]
-    state.update(key=key[-1], fp=fp[-1], leader=leader[-1], kinds=int(counts[part[-1]]))
+        last &= ~repeat & ~itself
+        state["wait"] += [(int(k), int(d), int(p)) for k, d, p in zip(key[last], doc[last], at[last])]
+    state.update(key=key[-1], fp=fp[-1], leader=(leader[-1], leader_at[-1]), kinds=int(counts[part[-1]]))
 
 
 def shared_segments(spec: Windows, texts: DataFrame, crowd: int) -> DataFrame:

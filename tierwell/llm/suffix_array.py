@@ -157,7 +157,9 @@ def shards(length: int, limit: int):
             repeat = np.ones(len(segment), dtype=bool)
             heads = np.ones(len(segment), dtype=bool)
             heads[1:] = group[sorting][1:] != group[sorting][:-1]
-            repeat[sorting[heads]] = False
+            # One of the same document and start (of another row of that id) is not earlier.
+            first = sorting[np.flatnonzero(heads)[np.cumsum(heads) - 1]]
+            repeat[sorting] = ~heads & ((doc[segment[sorting]] != doc[segment[first]]) | (start[sorting] != start[first]))
             if open_key is not None and key[0] == open_key and earlier:
                 mine = np.flatnonzero(key[segment] == open_key)
                 wanted = matrix(data, position[mine], length)

@@ -5,8 +5,8 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Entries of each cache, after which it is emptied; it only saves time.
-CACHE = 400_000
+#: Entries of each cache, after which it is emptied, and the longest entry; they only save time.
+CACHE, LONGEST = 120_000, 64
 
 # Fixed values of the vocabulary file: its pattern of pieces, said for printable characters below U+0250, and the
 # printable stand-ins of bytes.
@@ -47,15 +47,22 @@ class Encoder:
                 if known is None:
                     if len(self.pieces) >= CACHE:
                         self.pieces.clear()
-                    known = self.pieces[piece] = self._piece(piece)
+                    known = self._piece(piece)
+                    if len(piece) <= LONGEST:
+                        self.pieces[piece] = known
                 parts.append(known)
             ids = b"".join(parts)
         if len(self.words) >= CACHE:
             self.words.clear()
-        if len(word) <= 64:
+        if len(word) <= LONGEST:
             self.words[word] = ids
         return ids
 
+    def forget(self) -> None:
+        """Give the caches back: an idle worker keeps its process."""
+        self.words.clear()
+        self.pieces.clear()
+
     def encode(self, text: str) -> bytes:
         known, out = self.words.get, []
         for word in text.replace("\n", " ").split(" "):

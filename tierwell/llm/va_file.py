@@ -15,7 +15,8 @@ The queries are a stated set against all rows, in blocks. Approximations, not ve
 joined by id, for candidates only.
 
 Cases: vectors that are null, empty or hold null or non-finite components take no part; vectors meet only those of their
-dimension; scores must fit into 64 bits (components beyond 2**26 after scaling raise an error); ties go to the smaller
+dimension; components may be of any size (they are kept as doubles, which hold such whole numbers exactly, and bounds are
+widened by what rounding can change), but a score of the result has to fit into 64 bits; ties go to the smaller
 id; of rows that share an id the one of the smallest numbers counts; an empty table gives no rows. Extra
 columns are ignored.
 """
@@ -28,13 +29,15 @@ from pyspark.sql.window import Window
 from tierwell.llm.common import stored
 from tierwell.llm.vectors import rows_of
 
-CELLS, BLOCK, QUERY_BLOCK, LARGEST = 256, 4096, 256, 1 << 26
+CELLS, BLOCK, QUERY_BLOCK = 256, 4096, 256
+#: Below this all products and sums of whole numbers are exact in 64-bit integers for any usual dimension.
+SMALL = float(1 << 26)
 
 _WHOLE_SQL = "vec_id long, dim int, whole binary"
 
 
 def whole_numbers(vectors: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, dim, whole): floor(scale * x) of the vectors that take part, as little-endian 32-bit integers."""
+    """(vec_id, dim, whole): floor(scale * x) of the vectors that take part, as little-endian doubles."""
     schema = pa.schema([("vec_id", pa.int64()), ("dim", pa.int32()), ("whole", pa.binary())])
 
     def rows(batches):
@@ -42,10 +45,7 @@ def whole_numbers(vectors: DataFrame, scale: int) -> DataFrame:
             index, found = rows_of(batch.column(1))
             out = []
             for v in found:
-                v = np.floor(scale * v)
-                if np.abs(v).max() > LARGEST:
-                    raise ValueError(f"components beyond {LARGEST / scale} are not supported")
-                out.append(v.astype("<i4").tobytes())
+                out.append(np.floor(scale * v).astype("<f8").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(index)), pa.array([len(v) for v in found], pa.int32()), pa.array(out, pa.binary())],
                 schema=schema,
@@ -54,16 +54,24 @@ def whole_numbers(vectors: DataFrame, scale: int) -> DataFrame:
     return vectors.mapInArrow(rows, _WHOLE_SQL)
 
 
-def _unpack(raw: bytes, dim: int, kind="<i4") -> np.ndarray:
-    return np.frombuffer(raw, dtype=kind).reshape(-1, dim)
+def _unpack(raw: bytes, dim: int) -> np.ndarray:
+    return np.frombuffer(raw, dtype="<f8").reshape(-1, dim)
 
 
 def _edges(ranges: tuple[bytes, bytes], dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per dimension, the least and the largest whole number of each cell."""
-    low, high = (np.frombuffer(x, dtype="<i8") for x in ranges)
-    step = -(-(high - low + 1) // CELLS)
-    first = low[:, None] + step[:, None] * np.arange(CELLS)
-    return first, first + step[:, None] - 1
+    """Per dimension, the least number of each cell and one that none of its numbers exceeds. Cells are told by ``first``."""
+    low, high = (np.frombuffer(x, dtype="<f8") for x in ranges)
+    step = np.ceil(high / CELLS - low / CELLS + 1 / CELLS)
+    first = np.minimum(low[:, None] + step[:, None] * np.arange(CELLS), high[:, None])
+    first[:, 0] = low
+    return first, np.concatenate([first[:, 1:], high[:, None]], axis=1)
+
+
+def dot(x: np.ndarray, y: np.ndarray) -> int:
+    """The exact inner product of whole numbers that are held as doubles."""
+    if max(np.abs(x).max(), np.abs(y).max()) <= SMALL and len(x) < 1 << 11:
+        return int(x.astype(np.int64) @ y.astype(np.int64))
+    return sum(int(a) * int(b) for a, b in zip(x.tolist(), y.tolist()))
 
 
 def _ranges(whole: DataFrame) -> dict[int, tuple[bytes, bytes]]:
@@ -73,22 +81,22 @@ def _ranges(whole: DataFrame) -> dict[int, tuple[bytes, bytes]]:
         found: dict[int, tuple] = {}
         for batch in batches:
             for dim, raw in zip(batch.column("dim").to_pylist(), batch.column("whole").to_pylist()):
-                v = np.frombuffer(raw, dtype="<i4").astype("<i8")
+                v = np.frombuffer(raw, dtype="<f8")
                 found[dim] = (np.minimum(found[dim][0], v), np.maximum(found[dim][1], v)) if dim in found else (v, v)
         if found:
             yield pa.RecordBatch.from_pydict({
                 "dim": pa.array(list(found), pa.int32()),
-                "low": pa.array([a.tolist() for a, _ in found.values()], pa.list_(pa.int64())),
-                "high": pa.array([b.tolist() for _, b in found.values()], pa.list_(pa.int64())),
+                "low": pa.array([a.tolist() for a, _ in found.values()], pa.list_(pa.float64())),
+                "high": pa.array([b.tolist() for _, b in found.values()], pa.list_(pa.float64())),
             })
 
-    parts = whole.mapInArrow(extremes, "dim int, low array<long>, high array<long>")
+    parts = whole.mapInArrow(extremes, "dim int, low array<double>, high array<double>")
     parts = parts.select("dim", F.posexplode(F.arrays_zip("low", "high")).alias("i", "x"))
     ends = parts.groupBy("dim", "i").agg(F.min("x.low").alias("low"), F.max("x.high").alias("high"))
     out: dict[int, list] = {}
     for row in ends.orderBy("dim", "i").collect():  # dimensions, not rows
         out.setdefault(row["dim"], []).append((row["low"], row["high"]))
-    return {d: tuple(np.array(x, dtype="<i8").tobytes() for x in zip(*ends)) for d, ends in out.items()}
+    return {d: tuple(np.array(x, dtype="<f8").tobytes() for x in zip(*ends)) for d, ends in out.items()}
 
 
 def _approximated(whole: DataFrame, ranges: dict) -> DataFrame:
@@ -102,8 +110,8 @@ def _approximated(whole: DataFrame, ranges: dict) -> DataFrame:
                 if dim not in edges:
                     edges[dim] = _edges(ranges[dim], dim)
                 first, _ = edges[dim]
-                step = first[:, 1] - first[:, 0]
-                out.append(((np.frombuffer(raw, dtype="<i4") - first[:, 0]) // step).astype(np.uint8).tobytes())
+                above = first[:, 1:] <= np.frombuffer(raw, dtype="<f8")[:, None]
+                out.append(above.sum(axis=1).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("dim"), pa.array(out, pa.binary())], ["vec_id", "dim", "cells"])
 
     counts = {row["dim"]: row["count"] for row in whole.groupBy("dim").count().collect()}
@@ -118,11 +126,12 @@ def _approximated(whole: DataFrame, ranges: dict) -> DataFrame:
 
 
 def _bounds(queries: np.ndarray, cells: np.ndarray, edges) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bounds of all scores between queries and approximated vectors."""
+    """Lower and upper bounds of all scores between queries and approximated vectors, with room for rounding."""
     dims = np.arange(cells.shape[1])
-    low, high = (e[dims, cells].astype(np.float64) for e in edges)
-    plus, minus = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
-    return plus @ low.T + minus @ high.T, plus @ high.T + minus @ low.T
+    low, high = (e[dims, cells] for e in edges)
+    plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
+    room = (plus - minus) @ np.maximum(np.abs(low), np.abs(high)).T * (2 * (len(dims) + 4) * np.finfo(np.float64).eps)
+    return plus @ low.T + minus @ high.T - room, plus @ high.T + minus @ low.T + room
 
 
 def _members(column, i: int, dim: int):
@@ -160,7 +169,7 @@ def top_k(vectors: DataFrame, wanted: str, k: int = 10, scale: int = 1024) -> Da
                 ids, cells = _members(batch.column("members"), i, dim)
                 items = batch.column("queries").slice(i, 1).flatten()
                 names = items.field("vec_id").to_numpy()
-                q = _unpack(b"".join(items.field("whole").to_pylist()), dim).astype(np.int64)
+                q = _unpack(b"".join(items.field("whole").to_pylist()), dim)
                 low, _ = _bounds(q, cells, _edges(ranges[dim], dim))
                 low[names[:, None] == ids[None, :]] = -np.inf
                 if low.shape[1] >= k:
@@ -180,7 +189,7 @@ def top_k(vectors: DataFrame, wanted: str, k: int = 10, scale: int = 1024) -> Da
                 ids, cells = _members(batch.column("members"), i, dim)
                 items = batch.column("queries").slice(i, 1).flatten()
                 names = items.field("vec_id").to_numpy()
-                q = _unpack(b"".join(items.field("whole").to_pylist()), dim).astype(np.int64)
+                q = _unpack(b"".join(items.field("whole").to_pylist()), dim)
                 _, high = _bounds(q, cells, _edges(ranges[dim], dim))
                 high[names[:, None] == ids[None, :]] = -np.inf
                 keep = (high >= items.field("reached").to_numpy()[:, None]) & np.isfinite(high)
@@ -194,7 +203,7 @@ def top_k(vectors: DataFrame, wanted: str, k: int = 10, scale: int = 1024) -> Da
     def score(batches):
         for batch in batches:
             found = [
-                int(np.frombuffer(x, "<i4").astype(np.int64) @ np.frombuffer(y, "<i4").astype(np.int64))
+                dot(np.frombuffer(x, "<f8"), np.frombuffer(y, "<f8"))
                 for x, y in zip(batch.column("q").to_pylist(), batch.column("whole").to_pylist())
             ]
             yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array(found, pa.int64())], ["query_id", "vec_id", "score"])
@@ -208,6 +217,8 @@ def top_k(vectors: DataFrame, wanted: str, k: int = 10, scale: int = 1024) -> Da
     ranked = near.withColumn("place", F.row_number().over(by_bound))
     first = stored(read(ranked.where(F.col("place") <= 2 * k)), "first")
     kth = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
-    rest = ranked.where(F.col("place") > 2 * k).join(kth, "query_id", "left").where("kth IS NULL OR bound >= kth")
+    # As a double the k-th score may round up by a part in 2**53.
+    least = F.col("kth").cast("double") - F.abs(F.col("kth").cast("double")) * F.lit(2.0**-50)
+    rest = ranked.where(F.col("place") > 2 * k).join(kth, "query_id", "left").where(F.col("kth").isNull() | (F.col("bound") >= least))
     every = first.unionByName(read(rest.select("query_id", "vec_id", "bound")))
     return every.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
