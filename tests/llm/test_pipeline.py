@@ -29,7 +29,7 @@ def documents(spark):
 
 def test_stages_are_in_order_and_registered():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "jaccard_join", "source_mixing", "cutting_stock_packing"]
-    assert {f"op{n}_" for n in range(1, 11)} == {x.split("_")[0] + "_" for x in entry.queries() if x.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {x.split("_")[0] + "_" for x in entry.queries() if x.startswith("op")}
     assert "pipeline" in entry.queries() and corpus_pipeline.ORACLE_SQL is None
 
 
