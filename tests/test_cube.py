@@ -8,6 +8,8 @@ from helpers import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from landing_files import category, document
 
+from pyspark.sql import functions as F
+
 from tierwell.sources import cube
 
 EXAMPLE = {
@@ -103,3 +105,23 @@ def test_malformed_json_fails(spark):
     broken = spark.createDataFrame([("f.json", '{"id": ["Region"')], "_source_file string, value string")
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
         cube.flatten(broken, NAMES).collect()
+
+
+def test_one_huge_document_is_parsed_once_and_expanded_by_several_tasks(spark, tmp_path):
+    width = 10_000
+    payload = dict(EXAMPLE, size=[2, 2, width], value=list(range(4 * width)), dimension=dict(
+        EXAMPLE["dimension"], Tid={"category": {"index": [f"t{i}" for i in range(width)], "label": {}}}))
+    text = documents(spark, payload, EXAMPLE)
+    cube.parse(text).write.parquet(f"{tmp_path}/parsed")
+    parsed = spark.read.parquet(f"{tmp_path}/parsed")
+    cube.chunks(parsed, None, 2_500).write.parquet(f"{tmp_path}/chunks")
+    pieces = spark.read.parquet(f"{tmp_path}/chunks")
+    cells = cube.expand(cube.spread(pieces, 4), NAMES)
+    assert pieces.count() == 17 and cells.where("_source_file = 'f0.json'").select(F.spark_partition_id()).distinct().count() > 1
+    found = cells.where("_source_file = 'f0.json'").agg(F.count("*"), F.countDistinct("Region", "Drivmedel", "Tid"), F.sum(F.col("value").cast("long")))
+    assert found.first()[:] == (4 * width, 4 * width, sum(range(4 * width)))
+    corner = cells.where("Region = '0114' AND Drivmedel = '100' AND Tid = 't7'").first()
+    assert corner.value == str(2 * width + 7)
+    plan = cube.outline(parsed, None)._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "value" not in plan.partition("ReadSchema")[2]
+    assert rows(cube.outline(parsed, None), "declared_cells") == [(4,), (4 * width,)]

@@ -39,6 +39,8 @@ class RunConfig:
     run_id: str = "manual"
     as_of: datetime.date | None = None
     known_missing_days: tuple = ()
+    #: Releases of rebuilt tables whose files stay, the newest included; readers of older ones lose theirs.
+    keep_releases: int = 3
     version: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def schema(self, layer: str) -> str:

@@ -135,14 +135,16 @@ def load_cube(spark: SparkSession, config: RunConfig, name: str) -> int:
 
     def flatten_and_check(documents: DataFrame) -> DataFrame:
         documents = documents.select(F.col("source_file").alias("_source_file"), "value")
-        flat = cube.flatten(documents, dimensions, C.LABELLED_DIMENSIONS)
-        rows = storage.stage(flat, config, f"rows_{name}")
-        outlines = storage.stage(cube.outline(documents), config, f"outlines_{name}")
+        # Parsed once; outlines and members then read their own fields and not the values.
+        parsed = storage.stage(cube.parse(documents), config, f"parsed_{name}")
+        pieces = storage.stage(cube.chunks(parsed, text=None), config, f"chunks_{name}")
+        rows = storage.stage(cube.expand(cube.spread(pieces), dimensions, C.LABELLED_DIMENSIONS), config, f"rows_{name}")
+        outlines = cube.outline(parsed, text=None)
         checks.add(
             quality.declared_size(name, "cells as declared by the sizes", cube.size_report(outlines, rows)),
             quality.Check(name, "dimensions as expected", cube.unexpected_dimensions(outlines, dimensions)),
             quality.Check(name, "members as the sizes say, with codes and labels",
-                          cube.wrong_members(documents, dimensions, C.LABELLED_DIMENSIONS)),
+                          cube.wrong_members(parsed, dimensions, C.LABELLED_DIMENSIONS, text=None)),
         )
         checks.enforce("before append", "Nothing was appended.")
         columns = [c for c in rows.columns if c != "_source_file"]

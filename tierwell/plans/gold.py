@@ -1,10 +1,10 @@
-"""Silver to gold: rebuild the star schema and the decision table, check, then switch to them."""
+"""Silver to gold: rebuild the star schema and the decision table, check, then release them all at once."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierwell.config import RunConfig
 from tierwell.functions import codes as C
-from tierwell.operators import quality as Q, star, storage
+from tierwell.operators import quality as Q, release, star, storage
 from tierwell.operators.aggregates import top_by
 
 LAYER = "gold"
@@ -48,17 +48,16 @@ def checks_before_write(t: dict[str, DataFrame], today) -> list[Q.Check]:
 
 
 def run(spark: SparkSession, config: RunConfig) -> dict[str, int]:
-    """Row count per table.  New versions are written first; the tables switch to them only after the checks."""
+    """Row count per table.  New versions are written first; readers are switched to all of them after the checks."""
     storage.create_schemas(spark, config, LAYER, "ops")
     checks = Q.QualityChecks(spark, config.results_table, config.run_id, LAYER)
-    written = {
-        name: storage.write_parquet(df, config.path(LAYER, name)) for name, df in views(spark, config).items()
-    }
+    new = release.Release(spark, config, LAYER)
+    written = {name: new.write(name, df) for name, df in views(spark, config).items()}
     checks.add(*checks_before_write(written, config.today()))
     checks.enforce("before write", "The new versions stay unused.")
-    for name, df in written.items():
-        storage.point_to(spark, config.table(LAYER, name), df, config.path(LAYER, name))
-    return {name: spark.table(config.table(LAYER, name)).count() for name in written}
+    counts = new.commit()
+    release.keep_last(spark, config, LAYER, config.keep_releases)
+    return counts
 
 
 def top_candidates(spark: SparkSession, config: RunConfig, rows: int = 25) -> DataFrame:

@@ -7,6 +7,9 @@ vector in which the last dimension varies fastest.  The member of a dimension at
 The vector is brought to a dense array and cut into chunks of consecutive cells *before* it is
 expanded.  Only chunks travel: a document with millions of cells is expanded by many tasks, and
 no row ever carries the whole vector next to a single cell.
+
+Functions take documents as text, or already parsed (``parse``) with ``text=None``: a caller that needs a document's
+outline, its members and its cells stores the parsed documents and reads the fields each of them needs.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,6 +22,7 @@ DOCUMENT = (
     "dimension map<string, struct<category: struct<index: string, label: map<string, string>>>>"
 )
 CHUNK_CELLS = 50_000
+TASK_CHUNKS = 8
 STRICT = {"mode": "FAILFAST"}
 
 
@@ -63,19 +67,21 @@ def _labels_of(codes: Column, label_map: Column) -> Column:
     return F.transform(codes, lambda code: F.try_element_at(label_map, code))
 
 
-def parse(documents: DataFrame, text: str = "value", schema: str = DOCUMENT) -> DataFrame:
-    """Replaces the text column by the parsed document; malformed JSON fails the job."""
+def parse(documents: DataFrame, text: str | None = "value", schema: str = DOCUMENT) -> DataFrame:
+    """Replaces the text column by the parsed document ``doc``; malformed JSON fails the job."""
+    if text is None:
+        return documents
     kept = [c for c in documents.columns if c != text]
     return documents.select(*kept, F.from_json(text, schema, STRICT).alias("doc"))
 
 
-def members(documents: DataFrame, dimension: str, text: str = "value") -> DataFrame:
+def members(documents: DataFrame, dimension: str, text: str | None = "value") -> DataFrame:
     """Codes of one dimension, as listed in metadata or data documents; ``Tid`` gives the published periods."""
     index = F.col("doc.dimension")[dimension]["category"]["index"]
     return parse(documents, text).select(F.explode(member_codes(index)).alias("code")).distinct()
 
 
-def outline(documents: DataFrame, text: str = "value") -> DataFrame:
+def outline(documents: DataFrame, text: str | None = "value") -> DataFrame:
     """Per document, without its values: its dimensions in name order and the cells its sizes declare."""
     parsed = parse(documents, text, "id array<string>, size array<int>")
     lineage = [c for c in parsed.columns if c != "doc"]
@@ -90,7 +96,7 @@ def unexpected_dimensions(outlines: DataFrame, dimensions) -> DataFrame:
     return outlines.where(S.differs(F.col("dimensions"), wanted))
 
 
-def wrong_members(documents: DataFrame, dimensions, labelled=(), text: str = "value") -> DataFrame:
+def wrong_members(documents: DataFrame, dimensions, labelled=(), text: str | None = "value") -> DataFrame:
     """Per document and dimension whose members do not fit: their number next to the declared one, and the gaps.
 
     Cells are placed by the declared sizes, so a member too few or too many would shift or drop codes without
@@ -138,28 +144,45 @@ def _vector_chunks(parsed: DataFrame, chunk_cells: int) -> DataFrame:
     )
     dense = F.coalesce("_dense", _filled(F.col("_sparse"), F.col("_cells")))
     full = vectors.select(*kept, "id", "size", "dimension", dense.alias("_vector"))
+    # The starts are expanded and the vector is cut in one generated loop: one chunk exists at a time.
     chunk_count = F.ceil(F.size("_vector") / F.lit(chunk_cells)).cast("int")
-    starts = F.transform(F.sequence(F.lit(1), chunk_count), lambda n: (n - 1) * F.lit(chunk_cells))
-    chunks = F.when(F.size("_vector") > 0, F.transform(starts, lambda start: F.struct(
-        start.cast("bigint").alias("start"), F.slice("_vector", start + 1, F.lit(chunk_cells)).alias("cells")
-    )))
-    return full.select(*kept, "id", "size", "dimension", F.explode(chunks).alias("_chunk")).select(
-        *kept, "id", "size", "dimension", "_chunk.start", "_chunk.cells"
+    starts = F.when(F.size("_vector") > 0, F.sequence(F.lit(0), chunk_count - 1))
+    return full.select("*", F.explode(starts).alias("_chunk")).select(
+        *kept, "id", "size", "dimension", (F.col("_chunk").cast("bigint") * chunk_cells).alias("start"),
+        F.slice("_vector", F.col("_chunk") * F.lit(chunk_cells) + 1, F.lit(chunk_cells)).alias("cells"),
     )
 
 
-def flatten(documents: DataFrame, dimensions, labelled=(), text: str = "value",
+def chunks(documents: DataFrame, text: str | None = "value", chunk_cells: int = CHUNK_CELLS) -> DataFrame:
+    """Lineage, outline, first position and cells: one row for at most ``chunk_cells`` consecutive cells."""
+    return _vector_chunks(parse(documents, text), chunk_cells)
+
+
+def spread(pieces: DataFrame, per_task: int = TASK_CHUNKS) -> DataFrame:
+    """Stored chunks, dealt to tasks by their number: a chunk's bytes say little about the rows that come out of it."""
+    outline_columns = ("id", "size", "dimension", "cells")
+    tasks = -(-pieces.count() // per_task)  # counted from the files' footers
+    return pieces.repartition(max(tasks, 1), *[c for c in pieces.columns if c not in outline_columns])
+
+
+def flatten(documents: DataFrame, dimensions, labelled=(), text: str | None = "value",
             chunk_cells: int = CHUNK_CELLS) -> DataFrame:
     """One row per cell: code (and label, where asked for) of each dimension, and the value as text.
 
     Columns of ``documents`` other than the text are carried along as lineage.  Dimensions are
     looked up by name, so the order inside a document is free.
     """
-    lineage = [c for c in documents.columns if c != text]
+    pieces = chunks(documents, text, chunk_cells)
+    lineage = [c for c in documents.columns if c not in (text, "doc")]
+    return expand(pieces.hint("rebalance", *lineage, "start"), dimensions, labelled)
+
+
+def expand(pieces: DataFrame, dimensions, labelled=()) -> DataFrame:
+    """One row per cell of ``chunks``."""
+    lineage = [c for c in pieces.columns if c not in ("id", "size", "dimension", "start", "cells")]
     labelled = [name for name in dimensions if name in labelled]
-    chunks = _vector_chunks(parse(documents, text), chunk_cells).hint("rebalance", *lineage, "start")
 
-    axes = chunks
+    axes = pieces
     for name in dimensions:
         place = F.array_position("id", name).cast("int")
         category = F.col("dimension")[name]["category"]

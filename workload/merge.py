@@ -7,11 +7,13 @@ and later years are new.
 """
 
 import uuid
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tierwell.config import RunConfig, shared_folder
-from tierwell.operators import quality, storage
+from tierwell.operators import quality, release, storage
 from tierwell.operators import upsert as U
 from tierwell.operators.storage import StoredBy
 from tierwell.sources import manifest
@@ -180,6 +182,66 @@ def gated_publish(spark, sf_dir):
     return spark.table(second.table("gold", name))
 
 
+@query("kept_releases", """
+WITH p AS (SELECT unnest(range(0, 3)) AS part)
+SELECT t.name AS table_name, CAST(p.part + 1 AS BIGINT) AS number,
+       CASE t.name WHEN 'by_status' THEN count(DISTINCT o_orderstatus) ELSE count(DISTINCT o_custkey) END AS row_count,
+       p.part > 0 AS has_files, p.part = 2 AS is_shown
+FROM p JOIN orders ON o_orderkey % 3 <= p.part CROSS JOIN (VALUES ('by_status'), ('by_customer')) t(name)
+GROUP BY t.name, p.part""")
+def kept_releases(spark, sf_dir):
+    """Two tables are rebuilt and released three times over more and more orders; the files of the last two stay, and
+    all views show the last."""
+    orders, version = T.table(spark, sf_dir, "orders"), scratch_config(spark)
+    storage.create_schemas(spark, version, "gold", "ops")
+    for part in range(3):
+        config = replace(version, version=uuid.uuid4().hex)
+        new, rows = release.Release(spark, config, "gold"), orders.where(F.col("o_orderkey") % 3 <= part)
+        new.write("by_status", rows.groupBy("o_orderstatus").agg(F.count("*").alias("orders")))
+        new.write("by_customer", rows.groupBy("o_custkey").agg(F.count("*").alias("orders")))
+        new.commit()
+        release.keep_last(spark, config, "gold", 2)
+    records = spark.table(version.table("ops", "releases")).select("number", "version", F.inline("tables"))
+    folders = [
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+        .load(f"{version.storage}/{version.schema('gold')}").select(F.element_at(F.split("path", "/"), -2).alias("version")).distinct()
+        .withColumn("has_files", F.lit(True)),
+        reduce(DataFrame.unionByName, (
+            spark.table(version.table("gold", name)).select(
+                F.element_at(F.split(F.input_file_name(), "/"), -2).alias("version"), F.lit(name).alias("name"))
+            for name in ("by_status", "by_customer")
+        )).distinct().withColumn("is_shown", F.lit(True)),
+    ]
+    return records.join(folders[0], "version", "left").join(folders[1], ["version", "name"], "left").select(
+        F.col("name").alias("table_name"), "number", "row_count",
+        F.coalesce("has_files", F.lit(False)).alias("has_files"), F.coalesce("is_shown", F.lit(False)).alias("is_shown"),
+    )
+
+
+@query("released_after_crash", """
+SELECT CAST(o_orderstatus AS VARCHAR) AS o_orderstatus, count(*) AS orders, count(DISTINCT o_custkey) AS customers,
+       (SELECT count(*) FROM orders) AS all_orders
+FROM orders GROUP BY 1""")
+def released_after_crash(spark, sf_dir):
+    """A run dies between its record and its views: readers of the release see both new tables, and views catch up."""
+    orders, config = T.table(spark, sf_dir, "orders"), scratch_config(spark)
+    storage.create_schemas(spark, config, "gold", "ops")
+    for rows in (orders.where("o_orderkey % 2 = 0"), orders):
+        config = replace(config, version=uuid.uuid4().hex)
+        new = release.Release(spark, config, "gold")
+        new.write("by_status", rows.groupBy("o_orderstatus").agg(
+            F.count("*").alias("orders"), F.countDistinct("o_custkey").alias("customers")))
+        new.write("everything", rows.agg(F.count("*").alias("all_orders")))
+        new.commit()
+    old = release.newest(spark, config, "gold", 2)[1]["tables"]
+    for entry in old:  # as the views would stand
+        spark.sql(f"CREATE OR REPLACE VIEW {config.table('gold', entry['name'])} AS SELECT * FROM parquet.`{entry['path']}`")
+    by_status = release.tables(spark, config, "gold")["by_status"]
+    release.follow(spark, config, "gold")
+    all_orders = spark.table(config.table("gold", "everything")).select("all_orders").scalar()
+    return by_status.withColumn("all_orders", all_orders)
+
+
 LOADED_FILES_SQL = """
     SELECT o_custkey || '_' || strftime(o_orderdate, '%YM%m') || '.json' AS source_file,
            max(o_orderdate) AS modified_at
