@@ -52,6 +52,16 @@ def test_other_columns_replace_the_view(spark, config):
     assert spark.table(config.table("gold", "a")).dtypes == [("y", "string"), ("z", "double")]
 
 
+def test_a_column_without_a_name_of_its_own_is_shown(spark, config):
+    spark.range(3).createOrReplaceTempView("three")
+    new = release.Release(spark, replace(config, version="v1"), "gold")
+    new.write("a", spark.table("three").select("id", spark.table("three").groupBy().max("id").scalar()).toDF("id", "most"))
+    new.write("b", spark.sql("SELECT id, id + 1, (SELECT max(id) FROM three) FROM three"))
+    new.commit()
+    assert rows(spark.table(config.table("gold", "a")), "id", "most") == [(0, 2), (1, 2), (2, 2)]
+    assert spark.table(config.table("gold", "b")).columns[1] == "(id + 1)"
+
+
 def test_a_table_published_alone_becomes_a_view(spark, config):
     storage.publish(spark.createDataFrame([(1,)], "x int"), replace(config, version="v0"), "gold", "a")
     put(spark, config, "v1", a=[5]).commit()

@@ -70,8 +70,8 @@ def follow(spark: SparkSession, config: RunConfig, layer: str) -> None:
         table = config.table(layer, name)
         if storage.exists(spark, table) and spark.catalog.getTable(table).tableType != "VIEW":
             spark.sql(f"DROP TABLE {table}")  # as published by storage.publish
-        # Named one by one: a stored column may still be marked as one without a name of its own, which views refuse.
-        named = ", ".join(f"`{c}` AS `{c}`" for c in spark.read.schema(columns).parquet(path).columns)
+        # Cast to their own types: a stored column may be marked as one without a name of its own, which views refuse.
+        named = ", ".join(f"CAST(`{c}` AS {kind}) AS `{c}`" for c, kind in spark.read.schema(columns).parquet(path).dtypes)
         spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {named} FROM parquet.`{path.replace('`', '``')}`")
 
 
