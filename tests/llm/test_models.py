@@ -2,12 +2,14 @@
 
 import collections
 import math
+import os
 import zlib
 
 import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tierwell.llm import collision_dedup, language_id, mixing, packing, quality_model, va_file
@@ -87,6 +89,28 @@ def test_junk_is_rejected_and_prose_kept(spark, docs):
     assert np.mean(held_out) > 0.95 and not any(rows[i] for i in range(300, 320))
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test data")
+def test_good_documents_without_a_label_are_kept_in_every_language(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    good = labels.groupBy("doc_id").agg(F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")).alias("good"))
+    known = labels.where(F.xxhash64("doc_id", F.lit("half")) % 2 == 0)
+    judged = quality_model.classify(docs, known).join(good, "doc_id").join(known.select("doc_id").distinct(), "doc_id", "left_anti")
+    kept = {(r.language, r.good): (r.kept, r.n) for r in judged.groupBy("language", "good").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("n")).collect()}
+    print(kept)
+    assert all(share >= 0.9 for (_, is_good), (share, _) in kept.items() if is_good)
+    assert any(is_good for _, is_good in kept)
+
+
+@pytest.mark.parametrize("count", [1, 2, 3])
+def test_a_few_trusted_documents_still_give_a_threshold(spark, docs, count):
+    texts = [(i, prose(ENGLISH, 60), "en") for i in range(6)] + [(9, None, "en"), (10, "words of another tongue", None)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(count)], "doc_id long, quality int, toxic int")
+    rows = {r.doc_id: r for r in quality_model.classify(docs(texts), labels).collect()}
+    assert len(rows) == 8 and not rows[9].kept
+    assert all(math.isfinite(r.threshold) and r.threshold > 1 for r in rows.values())
+
+
 def test_quality_without_labels_or_rows(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r.kept for r in quality_model.classify(docs([(1, "some text", "en")]), none).collect()] == [True]

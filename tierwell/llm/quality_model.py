@@ -14,9 +14,11 @@ Training text are the documents labelled as good and not toxic.
 * Scoring: documents are dealt into blocks. A block asks each shard once for its distinct n-grams, and the shard answers
   with their log probabilities, those it has not seen by their longest known suffix. The perplexity of a document is a
   mean over its whole text. Questions and answers grow with the corpus; no task holds the model or all questions.
-* A document is kept if its perplexity is at most the given quantile of the trusted documents in its language, times a
-  tolerance. Quantiles come from counts in bins of 1/1000 of log perplexity. Languages with fewer than ``enough``
-  trusted documents use the quantile of all trusted ones.
+* A document is kept if its perplexity is at most the threshold of its language. Thresholds come from trusted documents that
+  the model which judges them has not seen: an eighth of them (by hash, at least one) is scored by a model of the others,
+  while the model of all scores the corpus. A threshold is the given quantile of those of the language, from counts
+  in bins of 1/1000 of log perplexity, drawn towards the quantile of all languages by their number n (weights n and
+  ``enough``), times a tolerance. A language without any uses the quantile of all.
 
 Cases: null or empty text has no perplexity (null) and is not kept; texts of one sign are scored with the padding
 before it; null languages are the language ""; labels may be null or repeat (any good, non-toxic label makes a document
@@ -40,6 +42,9 @@ SHARDS = 256
 #: Bytes of text in a block, the least number of blocks, and n-grams that a task holds before it passes them on.
 BLOCK, BLOCKS, HELD = 1 << 23, 64, 1 << 21
 
+#: One of so many trusted documents is held out of the model that thresholds are taken from.
+FOLDS = 8
+
 _FOLD = np.arange(256, dtype=np.int64)  # every byte is a unit of its own
 _BITS = 8
 _LOW = 1 << (2 * _BITS)  # cells of order 2
@@ -131,13 +136,19 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                         grams, counts, held = [g], [c], len(g)
         yield from rows(*_add(grams, counts))
 
+    return added_counts(texts.mapInArrow(tasks, _COUNTS_SQL))
+
+
+def added_counts(parts: DataFrame) -> DataFrame:
+    """One row per shard of any number of rows of counts."""
+
     def meet(parts: pa.Table) -> pa.Table:
         grams, counts = _add(
             [_unpack_grams(x) for x in parts.column("grams").to_pylist()], [_unpacked(x, np.int64) for x in parts.column("counts").to_pylist()]
         )
         return pa.table([parts.column("shard").slice(0, 1), [_pack_grams(grams)], [_packed(counts)]], schema=_COUNTS)
 
-    return texts.mapInArrow(tasks, _COUNTS_SQL).groupBy("shard").applyInArrow(meet, _COUNTS_SQL)
+    return parts.groupBy("shard").applyInArrow(meet, _COUNTS_SQL)
 
 
 def _orders(grams: np.ndarray, counts: np.ndarray) -> dict:
@@ -282,12 +293,18 @@ def classify(
     judged = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min(F.when((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0), 1).otherwise(0)).alias("good")
     )
-    trusted = stored(judged.where("good = 1").select("doc_id"), "trusted")
-    training = only_near(texts.select("doc_id", "text").where("doc_id IS NOT NULL"), id_filter(trusted)).join(trusted, "doc_id", "left_semi")
-    counts = stored(gram_counts(training), "counts")
+    dealt = F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(1 << 40))
+    good = judged.where("good = 1").select("doc_id", dealt.alias("dealt"))
+    first = good.agg(F.min("dealt").alias("least")).select("least").scalar()
+    trusted = stored(good.select("doc_id", ((F.col("dealt") % FOLDS == 0) | (F.col("dealt") == first)).alias("held")), "trusted")
+    training = only_near(texts.where("doc_id IS NOT NULL"), id_filter(trusted)).join(trusted, "doc_id")
+    held = training.where("held").select("doc_id", "text", "language")
+    most = stored(gram_counts(training.where("NOT held").select("doc_id", "text")), "counts_of_most")
+    counts = stored(added_counts(most.unionByName(gram_counts(held.select("doc_id", "text")))), "counts")
+    judges = stored(perplexities(held, most, *kneser_ney(most)), "held_out")
     scored = stored(perplexities(texts, counts, *kneser_ney(counts)), "perplexities")
 
-    bins = scored.where("log_perplexity IS NOT NULL").join(trusted, "doc_id", "left_semi").groupBy(
+    bins = judges.where("log_perplexity IS NOT NULL").groupBy(
         "language", F.floor(F.col("log_perplexity") * 1000).alias("bin")
     ).agg(F.count("*").alias("n"))
     both = bins.unionByName(bins.groupBy(F.lit(None).cast("string").alias("language"), "bin").agg(F.sum("n").alias("n")))
@@ -295,12 +312,14 @@ def classify(
     whole = Window.partitionBy("language")
     limits = both.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(whole)).where(
         F.col("upto") >= F.ceil(F.col("all") * quantile)
-    ).groupBy("language").agg(F.max("all").alias("all"), (F.exp((F.min("bin") + 1) / 1000.0) * tolerance).alias("threshold"))
+    ).groupBy("language").agg(F.max("all").alias("all"), ((F.min("bin") + 1) / 1000.0).alias("at"))
     limits = stored(limits, "thresholds")
-    general = limits.where("language IS NULL").select("threshold").first()
-    own = limits.where(F.col("language").isNotNull() & (F.col("all") >= enough)).select("language", "threshold")
+    general = limits.where("language IS NULL").select("at").first()
+    everywhere = F.lit(general[0] if general else float("inf"))
+    drawn = (F.col("all") * F.col("at") + F.lit(enough) * everywhere) / (F.col("all") + F.lit(enough))
+    own = limits.where(F.col("language").isNotNull()).select("language", (F.exp(drawn) * tolerance).alias("threshold"))
     perplexity = F.exp("log_perplexity")
     return scored.join(own, "language", "left").select(
         "doc_id", "language", perplexity.alias("perplexity"),
-        F.coalesce("threshold", F.lit(general[0] if general else float("inf"))).alias("threshold"),
+        F.coalesce("threshold", F.exp(everywhere) * tolerance).alias("threshold"),
     ).withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
