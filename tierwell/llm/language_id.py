@@ -1,10 +1,12 @@
 """Language ID (operator 10): Bayesian fusion of text, declared language, address suffix and host.
 
-For every language l, log posterior = log P(l | host) + log P(declared | l) + log P(suffix | l) + text likelihood.
+Languages are those that rows declare: every declared value with at least ``LEAST_ROWS`` rows and one in ``LEAST_SHARE`` of all
+that declare any, so there are ``LEAST_SHARE`` at most. For every language l, log posterior = log P(l | host) + log P(declared | l) + log P(suffix | l) + text likelihood.
 
 * Text: trigrams of folded bytes (lower case, other signs as blanks), a naive Bayes model counted over all rows that
-  declare a language, each tempered to a third, as every sign is in three trigrams. A class "und" with uniform trigrams
-  stands for everything else.
+  declare a language, each tempered to a third, as every sign is in three trigrams. A class "und" stands for everything
+  else: half uniform trigrams, half the square roots of the trigram counts of all text. The first is likelier for signs without
+  order, the second for words of a language that resembles a known one.
 * Declared language and address suffix: their frequencies given the language that the text alone says, by grouped
   aggregation over all rows, smoothed (the declared one towards itself).
 * Host: P(l | host) is smoothed towards the domain, that towards the suffix, and that towards all rows, each level from
@@ -14,7 +16,8 @@ A row is rejected if it has no letters, if "und" is likeliest, or if the likelie
 
 Cases: null or empty text has no likelihood and is rejected; null declared language, suffix or host is the value "",
 smoothed like any other; rows that repeat an id are judged each by itself; extra columns are ignored; an empty table
-gives no rows. Counts are bounded by languages x 64**3 cells; only grouped tables and short rows are shuffled.
+gives no rows, a table in which no language is declared often enough rejects all. Counts are bounded by languages x 64**3 cells;
+only grouped tables and short rows are shuffled.
 """
 
 import numpy as np
@@ -22,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tierwell.llm import textscan
-from tierwell.llm.common import stored, summed
+from tierwell.llm.common import stored
 
-LANGUAGES, NONE = ("en", "de", "fr", "es"), "und"
+NONE = "und"
 CELLS = 64**3
+LEAST_ROWS, LEAST_SHARE = 5, 2000
 
 # Folding of bytes: letters without case, lead bytes, continuation bytes by their low bits, all else a blank.
 _FOLD = np.zeros(256, dtype=np.int32)
@@ -45,26 +49,57 @@ def trigrams(buffer: np.ndarray, offsets: np.ndarray):
     return codes[good], row[:-2][good]
 
 
-def model(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
-    """Log probabilities of trigrams: one line per language, the last for "und"."""
+def declared_languages(rows: DataFrame) -> tuple[str, ...]:
+    """The declared values with enough rows, in order of their names."""
+    named = rows.where(~F.col("declared").isin("", NONE)).groupBy("declared").agg(F.count("*").alias("n"))
+    total = named.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    enough = named.where(F.col("n") >= LEAST_ROWS + total / LEAST_SHARE)
+    return tuple(sorted(r.declared for r in enough.select("declared").collect()))
+
+
+def model(rows: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
+    """Log probabilities of trigrams: one line per language, the last for "und".
+
+    Tasks count into one array a language, which they emit when 16 are open; sums are combined before the shuffle.
+    """
     number = {name: i for i, name in enumerate(languages)}
 
-    def count(state, batch):
-        declared = [number.get(x, -1) for x in batch.column(1).to_pylist()]
-        for places, buffer, offsets in textscan.chunks(pa.array(np.arange(batch.num_rows)), batch.column(0)):
-            codes, row = trigrams(buffer, offsets)
-            line = np.array(declared, dtype=np.int64)[places][row]
-            state += np.bincount(line[line >= 0] * CELLS + codes[line >= 0], minlength=len(state))
+    def filled(state):
+        for line, cells in state.items():
+            codes = np.flatnonzero(cells)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(codes), line, dtype=np.int32)), pa.array(codes.astype(np.int32)), pa.array(cells[codes])], ["line", "code", "n"]
+            )
 
-    counts = summed(rows.select("text", "declared"), count, len(languages) * CELLS).reshape(len(languages), CELLS)
+    def count(batches):
+        state = {}
+        for batch in batches:
+            declared = np.array([number.get(x, -1) for x in batch.column(1).to_pylist()], dtype=np.int64)
+            for places, buffer, offsets in textscan.chunks(pa.array(np.arange(batch.num_rows)), batch.column(0)):
+                codes, row = trigrams(buffer, offsets)
+                lines = declared[places][row]
+                for line in np.unique(declared[places]):
+                    if line >= 0:
+                        found = np.bincount(codes[lines == line], minlength=CELLS)
+                        state[int(line)] = state[int(line)] + found if int(line) in state else found
+                if len(state) >= 16:
+                    yield from filled(state)
+                    state = {}
+        yield from filled(state)
+
+    counted = rows.select("text", "declared").mapInArrow(count, "line int, code int, n long").groupBy("line", "code").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros((len(languages), CELLS))
+    counts[counted.column("line").to_numpy(), counted.column("code").to_numpy()] = counted.column("n").to_numpy()
     smoothed = counts + 0.1
     known = np.log(smoothed / smoothed.sum(axis=1, keepdims=True))
-    return np.vstack([known, np.full((1, CELLS), -np.log(CELLS))]).astype(np.float32)
+    flat = np.sqrt(smoothed.sum(axis=0)) if languages else np.ones(CELLS)
+    other = np.log(0.5 / CELLS + 0.5 * flat / flat.sum())
+    return np.vstack([known, other[None, :]]).astype(np.float32)
 
 
-def _scored(rows: DataFrame, table: np.ndarray, languages: tuple[str, ...]) -> DataFrame:
+def _scored(rows: DataFrame, table: np.ndarray) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(table)
-    names = [f"ll_{x}" for x in (*languages, NONE)]
+    names = [f"ll_{i}" for i in range(len(table))]
     given = [f for f in rows.schema if f.name != "text"]
 
     def score(batches):
@@ -90,51 +125,59 @@ def _scored(rows: DataFrame, table: np.ndarray, languages: tuple[str, ...]) -> D
 
 
 def _largest(names: dict[str, F.Column]):
+    if len(names) == 1:
+        return F.struct(*[(v.alias("value"), F.lit(n).alias("name")) for n, v in names.items()][0])
     return F.greatest(*[F.struct(value.alias("value"), F.lit(name).alias("name")) for name, value in names.items()])
 
 
 def identify(
-    rows: DataFrame, id_column: str, languages: tuple[str, ...] = LANGUAGES, confidence: float = 0.6, strength: float = 20.0
+    rows: DataFrame, id_column: str, languages: tuple[str, ...] | None = None, confidence: float = 0.6, strength: float = 20.0
 ) -> DataFrame:
-    """id, language, confidence, kept for rows (id, text, declared, host, domain, suffix)."""
-    every = (*languages, NONE)
+    """id, language, confidence, kept for rows (id, text, declared, host, domain, suffix).
+
+    ``languages``: the ones to tell apart; by default those that rows declare often enough.
+    """
     evidence = ("declared", "host", "domain", "suffix")
     rows = rows.select(
         F.col(id_column).alias("_id"), F.col("text").cast("string").alias("text"),
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in evidence],
     )
-    scored = stored(_scored(rows, model(rows, languages), languages), "likelihoods").withColumn(
-        "said", F.when(F.col("_trigrams") > 0, _largest({x: F.col(f"ll_{x}") for x in every})["name"]).otherwise(NONE)
+    if languages is None:
+        languages = declared_languages(rows)
+    every = (*languages, NONE)
+    scored = stored(_scored(rows, model(rows, languages)), "likelihoods").withColumn(
+        "said", F.when(F.col("_trigrams") > 0, _largest({x: F.col(f"ll_{i}") for i, x in enumerate(every)})["name"]).otherwise(NONE)
     )
-    votes = [F.sum(F.when(F.col("said") == x, 1).otherwise(0)).alias(f"n_{x}") for x in every]
+    votes = [F.sum(F.when(F.col("said") == x, 1).otherwise(0)).alias(f"n_{i}") for i, x in enumerate(every)]
 
     def counted(by: list[str], prefix: str) -> DataFrame:
-        return scored.groupBy(*by).agg(*votes).select(*by, *[F.col(f"n_{x}").alias(f"{prefix}_{x}") for x in every])
+        found = scored.groupBy(*by).agg(F.count("*").alias("n"), *votes)
+        return found.select(*by, F.col("n").alias(f"{prefix}_n"), *[F.col(f"n_{i}").alias(f"{prefix}_{i}") for i in range(len(every))])
 
     # Counts of the host, the domain, the suffix and all rows, and of the declared language.
     joined = scored
     for by, prefix in ((["suffix", "domain", "host"], "h"), (["suffix", "domain"], "d"), (["suffix"], "s"), (["declared"], "c")):
         joined = joined.join(counted(by, prefix), by)
-    totals = stored(scored.agg(*votes).select(*[F.col(f"n_{x}").alias(f"a_{x}") for x in every]), "votes")
-    total = totals.first()
-    every_row = float(sum(v or 0 for v in total))
+    totals = stored(scored.agg(*votes), "votes")
+    total = [float(v or 0) for v in totals.first()]
+    every_row = sum(total)
 
     posterior = {}
-    for x in every:
+    for i, x in enumerate(every):
         own = F.when(F.col("said") == x, 1.0).otherwise(0.0)
-        prior = F.lit((float(total[f"a_{x}"] or 0) + 1.0) / (every_row + len(every)))
+        prior = F.lit((total[i] + 1.0) / (every_row + len(every)))
         for prefix in "sdh":
-            around = sum((F.col(f"{prefix}_{y}") for y in every), F.lit(0.0)) - 1.0
-            prior = (F.col(f"{prefix}_{x}") - own + F.lit(strength) * prior) / (around + F.lit(strength))
-        of_language = F.lit(float(total[f"a_{x}"] or 0)) - own
+            around = F.col(f"{prefix}_n") - 1.0
+            prior = (F.col(f"{prefix}_{i}") - own + F.lit(strength) * prior) / (around + F.lit(strength))
+        of_language = F.lit(total[i]) - own
         towards = F.when(F.col("declared") == x, 0.9).otherwise(0.1 / len(every))
-        declares = (F.col(f"c_{x}") - own + F.lit(strength) * towards) / (of_language + F.lit(strength))
-        ends = (F.col(f"s_{x}") - own + F.lit(strength) * 0.1) / (of_language + F.lit(strength))
+        declares = (F.col(f"c_{i}") - own + F.lit(strength) * towards) / (of_language + F.lit(strength))
+        ends = (F.col(f"s_{i}") - own + F.lit(strength) * 0.1) / (of_language + F.lit(strength))
         tiny = F.lit(1e-12)
-        posterior[x] = F.log(F.greatest(prior, tiny)) + F.log(F.greatest(declares, tiny)) + F.log(F.greatest(ends, tiny)) + F.col(f"ll_{x}")
-    fused = joined.select("_id", "_trigrams", *[value.alias(f"p_{x}") for x, value in posterior.items()])
-    fused = fused.withColumn("_best", _largest({x: F.col(f"p_{x}") for x in every}))
-    spread = sum((F.exp(F.col(f"p_{x}") - F.col("_best.value")) for x in every), F.lit(0.0))
+        posterior[i] = F.log(F.greatest(prior, tiny)) + F.log(F.greatest(declares, tiny)) + F.log(F.greatest(ends, tiny)) + F.col(f"ll_{i}")
+    fused = joined.select("_id", "_trigrams", *[value.alias(f"p_{i}") for i, value in posterior.items()])
+    fused = fused.withColumn("_best", _largest({x: F.col(f"p_{i}") for i, x in enumerate(every)}))
+    spread = sum((F.exp(F.col(f"p_{i}") - F.col("_best.value")) for i in range(len(every))), F.lit(0.0))
     sure = F.round(1.0 / spread, 9)
     return fused.select(
         F.col("_id").alias(id_column),
