@@ -1,5 +1,7 @@
 """Jaccard join, line dedup, suffix arrays and suffix trees against plain versions, and their edge cases."""
 
+import math
+
 import brute
 import numpy as np
 import pytest
@@ -127,3 +129,13 @@ def test_null_and_repeated_ids(docs):
         assert sorted(r.doc_id for r in result.collect()) == [1, 1, 2]
     rows = line_dedup.dedup_lines(df).where("doc_id = 2").collect()
     assert [(r.text, r.n_removed) for r in rows] == [("", 1)]
+
+
+def test_one_very_common_shingle_does_not_make_sets_enumerate_thousands_of_keys():
+    sizes = np.full(jaccard_join.LIGHT_LIMIT + 1, 1000)
+    sketch = np.ones(jaccard_join.SKETCH)
+    sketch[7] = 1e9
+    x = jaccard_join.boundary(sizes, sketch, 85)
+    keys = [sum(math.comb(n, c) for _, c in jaccard_join.subset_keys(n, 85, x)) for n in range(1, x + 1)]
+    entries = [jaccard_join.prefix_length(n, 85) for n in range(1, x + 1)]
+    assert x >= 6 and sum(keys) <= jaccard_join.MEETINGS * sum(entries)

@@ -12,7 +12,8 @@ shingles. After Deng, Tao and Li, "Overlap Set Similarity Joins with Theoretical
   pairs that the length and position bounds allow, and those are verified on whole sets;
 * before that, parity bitmaps of the sets bound the size of the difference from below and drop pairs that cannot link
   (shared passages, mostly): first a short one of fixed length, then one of about a bit per shingle. No link is dropped;
-* x is the boundary of the least cost: subset keys against list entries times the mean length of a list.
+* x is the boundary of the least cost: subset keys against list entries times what an entry meets. That is at most the
+  mean length of a list and at most ``MEETINGS``, as members meet the head of their list and not each other.
 
 No list emits all its pairs: first every member meets only the smallest id of its list; lists whose members are then in
 one component are done, and only members of different components meet each other. A group of thousands of near
@@ -36,6 +37,8 @@ from tierwell.llm.common import components, id_filter, only_near, stored, summed
 
 #: Cells of the rarity sketch, largest set that may count as light.
 SKETCH, LIGHT_LIMIT = 1 << 20, 24
+#: What an entry of a long list costs, in subset keys: it meets the list's smallest id, is verified, and gets a label.
+MEETINGS = 8
 #: 64-bit words of a set's parity bitmap.
 BITMAP = 16
 
@@ -63,7 +66,7 @@ def boundary(sizes: np.ndarray, sketch: np.ndarray, percent: int) -> int:
             int(sizes[n]) * sum(math.comb(n, c) for _, c in subset_keys(n, percent, x)) for n in range(1, x + 1)
         )
         lists = sum(
-            int(sizes[n]) * prefix_length(n, percent) * met
+            int(sizes[n]) * prefix_length(n, percent) * min(met, MEETINGS)
             for n in range(1, LIGHT_LIMIT + 1) if n > x or 100 * n >= percent * (x + 1)
         )
         cost.append((light + lists, x))
