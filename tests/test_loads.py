@@ -91,6 +91,39 @@ def test_only_changed_folders_are_listed_and_only_fresh_ones_read(spark, tmp_pat
     assert [[f for f in within if " " not in f] for within in listed] == [[]]
 
 
+def bytes_read(spark):
+    return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+
+def test_a_price_file_is_read_once_and_its_numbers_stay_as_written(spark, tmp_path):
+    folder = tmp_path / "elomrade=SE1" / "ar=2024"
+    folder.mkdir(parents=True)
+    periods = [f'{{"time_start": "t{i}",\n "SEK_per_kWh": {i}.50, "EUR_per_kWh": 1E2}}' for i in range(5000)]
+    file = folder / "2024-01-01.json"
+    file.write_text("[" + ",\n".join(periods) + "]\n")
+    before = bytes_read(spark)
+    found = rows(landing.read_prices(spark, str(tmp_path)), "time_start", "SEK_per_kWh", "EUR_per_kWh", "EXR")
+    read = bytes_read(spark) - before
+    assert found == sorted((f"t{i}", f"{i}.50", "1E2", None) for i in range(5000))
+    assert read < 2 * file.stat().st_size
+    # A file that is cut into several parts of the read still counts once.
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 50_000)
+    try:
+        prices = landing.read_prices(spark, str(tmp_path))
+        assert prices.rdd.getNumPartitions() > 1 and prices.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_a_price_file_in_utf_16_fails_the_job(spark, tmp_path):
+    folder = tmp_path / "elomrade=SE1" / "ar=2024"
+    folder.mkdir(parents=True)
+    (folder / "2024-01-01.json").write_bytes('[{"time_start": "t", "SEK_per_kWh": 1.50}]'.encode("utf-16"))
+    with pytest.raises(Exception, match="FAILFAST"):
+        landing.read_prices(spark, str(tmp_path)).collect()
+
+
 def test_a_folder_that_went_is_no_longer_listed(spark, tmp_path, config):
     land(tmp_path, "SE1", "2024-01-01")
     land(tmp_path, "SE2", "2024-01-01")
