@@ -1,10 +1,11 @@
 """Cases in which operators once lost or mixed up rows."""
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from brute import jaccard_components, removed_lines, sentence
-from tierwell.llm import textscan, va_file
+from tierwell.llm import textscan, tokens, va_file
 from tierwell.llm.jaccard_join import link_components
 from tierwell.llm.line_dedup import dedup_lines
 from tierwell.llm.suffix_array import dedup_substrings
@@ -97,3 +98,24 @@ def test_components_of_similar_texts_by_brute_force(docs):
     rows = [(1, base), (2, base + " tail"), (3, base.replace("alpha", "x")), (4, sentence(rng, 50)), (5, ""), (6, None)]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in link_components(docs(rows), 4, 85).collect()}
     assert got == jaccard_components(dict(rows), 4, 85)
+
+
+def test_frequent_words_stay_in_the_cache_while_rare_ones_pass(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 10)
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        encoder = tokens.Encoder(file.read())
+    model, asked = encoder.model, []
+
+    class Watched:
+        def tokenize(self, piece):
+            asked.append(piece)
+            return model.tokenize(piece)
+
+    encoder.model = Watched()
+    rare = ["x" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(200)]
+    text = "\n".join(f"Often {word}, İé" for word in rare)
+    ids = encoder.encode(text)
+    assert ids == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    assert asked.count("often") == asked.count(",") == 1 and len(asked) == 202
+    encoder.forget()
+    assert not (encoder.words or encoder.words.old or encoder.pieces or encoder.pieces.old)

@@ -1,11 +1,11 @@
 """Token ids of whole texts by a public tokenizer file, with a bounded cache of words."""
 
 import re
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
-#: Entries of each cache, after which it is emptied, and the longest entry; they only save time.
+#: Entries of each half of a cache, and the longest entry; they only save time.
 CACHE, LONGEST = 120_000, 64
 
 # Fixed values of the vocabulary file: its pattern of pieces, said for printable characters below U+0250, and the
@@ -17,6 +17,37 @@ _STAND_INS = {b: chr(b) for b in _PRINTABLE} | {
 }
 
 
+#: Ids as bytes, by their number.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(LONGEST)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return _PACK[len(ids)](*ids) if len(ids) < LONGEST else struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Cache(dict):
+    """What ``make`` says of a key. A full cache becomes the ``old`` one, from which what is asked for again comes back:
+    frequent entries stay, however many rare ones pass by."""
+
+    def __init__(self, make):
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.make(key)
+        if len(key) <= LONGEST:
+            if len(self) >= CACHE:
+                self.old = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
+
+    def forget(self) -> None:
+        self.clear()
+        self.old.clear()
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers.
 
@@ -29,46 +60,29 @@ class Encoder:
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = _Cache(self._word)
+        self.pieces = _Cache(self._piece)
 
     def _piece(self, piece: str) -> bytes:
-        shown = piece.encode().decode("latin-1").translate(_STAND_INS)
-        return np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
+        # Printable ASCII stands for itself.
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_STAND_INS)
+        return _packed([t.id for t in self.model.tokenize(shown)])
 
     def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self.pieces[word.lower()]
         plain = word.isprintable() and (word.isascii() or max(word) < "ɐ" and "İ" not in word)
         if not plain or "<|" in word:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        else:
-            parts = []
-            for piece in PIECES.findall(word.lower()):
-                known = self.pieces.get(piece)
-                if known is None:
-                    if len(self.pieces) >= CACHE:
-                        self.pieces.clear()
-                    known = self._piece(piece)
-                    if len(piece) <= LONGEST:
-                        self.pieces[piece] = known
-                parts.append(known)
-            ids = b"".join(parts)
-        if len(self.words) >= CACHE:
-            self.words.clear()
-        if len(word) <= LONGEST:
-            self.words[word] = ids
-        return ids
+            return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(word.lower())))
 
     def forget(self) -> None:
         """Give the caches back: an idle worker keeps its process."""
-        self.words.clear()
-        self.pieces.clear()
+        self.words.forget()
+        self.pieces.forget()
 
     def encode(self, text: str) -> bytes:
-        known, out = self.words.get, []
-        for word in text.replace("\n", " ").split(" "):
-            ids = known(word)
-            out.append(self._word(word) if ids is None else ids)
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _encoders: dict[int, Encoder] = {}
