@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 
 from brute import jaccard_components, removed_lines, sentence
-from tierwell.llm import textscan, tokens, va_file
+from tierwell.llm import line_dedup, textscan, tokens, va_file
 from tierwell.llm.jaccard_join import link_components
 from tierwell.llm.line_dedup import dedup_lines
 from tierwell.llm.suffix_array import dedup_substrings
@@ -72,6 +72,28 @@ def test_a_document_of_many_near_equal_lines(spark, docs):
     assert (row["n_lines"], row["n_removed"], row["text"]) == (16_000, 15_999, lines[0])
 
 
+def test_lines_of_one_origin_that_do_not_match_are_not_compared_by_all_pairs(docs, monkeypatch):
+    rng = np.random.default_rng(6)
+    base, texts = [f"w{i}" for i in range(100)], {}
+    for doc in range(200):
+        words = list(base)
+        for place in rng.choice(100, 2 + doc % 2, replace=False):
+            words[place] = f"d{doc}x{place}"
+        texts[doc] = " ".join(words)
+    keep, pairs = line_dedup.stored, []
+
+    def counted(df, name):
+        rows = keep(df, name)
+        if name == "pairs":
+            pairs.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    got = {(r["doc_id"], r["line"]) for r in line_dedup.removed_lines(docs(list(texts.items()))).collect()}
+    assert got == removed_lines(texts, 5, 80)
+    assert len(pairs) == 2 and sum(pairs) < 20 * len(texts)
+
+
 def test_short_lines_count_as_their_words(docs):
     rows = [(1, "All rights reserved.\nx"), (2, "All  rights reserved.\n\n \ny"), (3, "all rights reserved.\nx\n日本")]
     got = {r["doc_id"]: r["text"] for r in dedup_lines(docs(rows)).collect()}

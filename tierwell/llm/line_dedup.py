@@ -8,9 +8,9 @@ are judged on the input, not on what is left.
   is right, and rare tokens first keep the lists short.
 * Lines with the same tokens are one set, known by its first occurrence; every later one is removed at once.
 * The prefix of a set of n tokens, its n - ceil(percent n / 100) + 1 rarest ones, holds a token of each partner's prefix.
-  Sets meet in the list of a token, if sizes and positions leave room for the overlap that is needed.
-* No list emits all pairs: first each set meets the earliest one of its list only. Just those that this does not remove
-  meet all earlier ones. Jaccard is verified on whole token sets, of the lines that are in pairs only.
+  Sets meet in the list of a token, if sizes, positions and 64 parity bits leave room for the overlap that is needed.
+* No list emits all pairs: first each set meets the earliest one of its list and those right before it. Just those that
+  this does not remove meet all earlier ones. Jaccard is verified on whole token sets, of the lines that are in pairs only.
 * Documents that lose no line pass by without a shuffle of their text; a bitmap of fixed size tells most of them.
 
 Cases: null text stays null with 0 lines; empty text is one empty line; lines end at line feeds only; rows that repeat an
@@ -19,25 +19,35 @@ them); extra columns are kept, except ``n_lines`` and ``n_removed``, which are r
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from tierwell.llm.common import stored
 
+#: Members of a list right before one that it meets besides the list's first one.
+NEARBY = 3
+
 #: Cells of the rarity table, and 64-bit words of the bitmap of documents.
-CELLS, BITMAP = 1 << 16, 1 << 17
+CELLS, BITMAP = 1 << 18, 1 << 17
+
+_BLANKS = "\t\x0b\f\r"
+
 
-_BLANKS = " \t\x0b\f\r"
+def _clean(line: Column) -> Column:
+    """The line with each blank as a space; a line without words is then blank, which costs no hashing to tell."""
+    for blank in _BLANKS:
+        line = F.replace(line, F.lit(blank), F.lit(" "))
+    return line
 
 
 def _shingles(line: Column, k: int) -> Column:
-    """Hashes of the line's k-word shingles; with fewer words that of all its words, without any null.
+    """Hashes of the k-word shingles of a clean line that has words; with fewer than k words that of all its words.
 
     Words are hashed once each. ``xxhash64`` leaves out the nulls beyond a short line's end.
     """
-    words = F.array_remove(F.split(F.translate(line, _BLANKS, "     "), " "), "")
-    hashes = F.transform(F.array(words), lambda w: F.when(F.size(w) >= 1, F.transform(w, lambda x: F.xxhash64(x))))
-    return F.transform(hashes, lambda h: F.when(h.isNotNull(), F.transform(
+    hashes = F.transform(F.array_remove(F.split(line, " "), ""), lambda x: F.xxhash64(x))
+    return F.transform(F.array(hashes), lambda h: F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(h) - k, F.lit(0))), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)])
-    )))[0]
+    ))[0]
 
 
 def _tokens(line: Column, k: int) -> Column:
@@ -69,14 +79,33 @@ def _prefix(n, percent: int):
     return n - F.ceil(n * F.lit(percent) / 100) + 1
 
 
+def _parity(keys: Column) -> Column:
+    """Bit i tells whether an odd number of keys falls on i: two sets differ in at least as many tokens as in bits."""
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
+
+
 def _room(x: str, y: str, percent: int) -> Column:
-    a, b, i, j = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.pos"), F.col(f"{y}.pos")
+    """Whether x and y may have the overlap that is needed, if the token of this list is the first one that they share.
+
+    By sizes, by what is left from the token on, and by parity bits. Partners meet in the list of their first shared
+    token at least, so lists of later ones need not bring them together again.
+    """
+    a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
     need = F.ceil(F.lit(percent) * (a + b) / (100 + percent) - 1e-9)
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (F.least(i, j) + F.least(a - i, b - j) >= need)
+    left = F.least(a - F.col(f"{x}.pos"), b - F.col(f"{y}.pos"))
+    differ = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (left >= need) & (a + b - differ >= 2 * need)
+
+
+def _before(y: str, x: str) -> Column:
+    return F.struct(F.col(f"{y}.doc_id"), F.col(f"{y}.line")) < F.struct(F.col(f"{x}.doc_id"), F.col(f"{x}.line"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "words"))
+    """doc_id, line, words (clean) of the lines that have words."""
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "words"))
+    return lines.withColumn("words", _clean(F.col("words"))).where(F.trim("words") != "")
 
 
 def _similar(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -88,9 +117,9 @@ def _similar(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
     picked = F.transform(F.array(F.split("text", "\n")), lambda all: F.transform(
         "wanted", lambda line: F.struct(line.alias("line"), F.get(all, line).alias("words"))))[0]
     found = near.join(wanted, "doc_id").select("doc_id", F.inline(picked)).select(
-        F.struct("doc_id", "line").alias("at"), _tokens(F.col("words"), k).alias("tokens")
-    )
-    tokens = stored(found.where("tokens IS NOT NULL").dropDuplicates(["at"]), "tokens")
+        F.struct("doc_id", "line").alias("at"), _clean(F.col("words")).alias("words")
+    ).where(F.trim("words") != "")
+    tokens = stored(found.select("at", _tokens(F.col("words"), k).alias("tokens")).dropDuplicates(["at"]), "tokens")
     joined = pairs.join(tokens.select(F.col("at").alias("later"), F.col("tokens").alias("x")), "later").join(
         tokens.select(F.col("at").alias("earlier"), F.col("tokens").alias("y")), "earlier"
     )
@@ -101,20 +130,18 @@ def _similar(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
 def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, line (from 0) of the lines that have an earlier match."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    tokens = _lines(docs).select("doc_id", "line", _tokens(F.col("words"), k).alias("tokens")).where("tokens IS NOT NULL")
-    shingles = _lines(docs).select(F.explode(_shingles(F.col("words"), k)).alias("t"))
+    lines = _lines(docs)
+    shingles = lines.select(F.explode(_shingles(F.col("words"), k)).alias("t"))
     hits = shingles.groupBy(F.col("t").bitwiseAND(CELLS - 1).alias("cell")).agg(F.count("*").alias("value"))
-    # Logarithms in 22 bits go before 41 bits of the hash: one number is a token and its place in the order.
-    rarity = _dense(hits.withColumn("value", F.floor(F.log1p("value") * 100_000)), CELLS, "rarity")
-    keyed = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(
-        F.get(F.col("rarity"), t.bitwiseAND(CELLS - 1).cast("int")), 41
-    ).bitwiseOR(F.shiftrightunsigned(t, 23))))
-    # Keys hold a part of the hash only: whether sets are the same is told by whole tokens.
-    described = tokens.withColumn("rarity", rarity.scalar()).select(
-        "doc_id", "line", keyed.alias("keys"), F.sort_array("tokens").alias("whole")
-    ).select(
-        "doc_id", "line", F.size("keys").alias("n"), F.xxhash64("whole").alias("s1"), F.xxhash64("whole", F.lit(7)).alias("s2"),
-        F.slice("keys", F.lit(1), _prefix(F.size("keys"), percent).cast("int")).alias("prefix"),
+    # Logarithms in 12 bits go before 51 bits of the hash: one number is a token and its place in the order.
+    rarity = _dense(hits.withColumn("value", F.floor(F.log1p("value") * 90)), CELLS, "rarity")
+    # The column ``rarity`` is named once, in an expression that is evaluated once: no row gets a copy of the table.
+    keyed = F.sort_array(F.transform(_tokens(F.col("words"), k), lambda t: F.shiftleft(
+        F.coalesce(F.get(F.col("rarity"), t.bitwiseAND(CELLS - 1).cast("int")), F.lit(0)).cast("long"), 51
+    ).bitwiseOR(F.shiftrightunsigned(t, 13))))
+    described = lines.withColumn("rarity", rarity.scalar()).select("doc_id", "line", keyed.alias("keys")).select(
+        "doc_id", "line", F.size("keys").alias("n"), F.xxhash64("keys").alias("s1"), F.xxhash64("keys", F.lit(7)).alias("s2"),
+        F.slice("keys", F.lit(1), _prefix(F.size("keys"), percent).cast("int")).alias("prefix"), _parity(F.col("keys")).alias("parity"),
     )
     occurrences = stored(described, "lines")
     firsts = occurrences.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "line")).alias("first"))
@@ -123,30 +150,28 @@ def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     ), "sets")
     repeated = sets.where("NOT is_first").select("doc_id", "line")
 
-    # Lists of prefix tokens over first occurrences, dealt out by token once for both uses.
+    # Lists of prefix tokens over first occurrences, in their order; lists of one member end here.
     leaders = sets.where("is_first").select("doc_id", "line").distinct()
     lists = occurrences.join(leaders, ["doc_id", "line"], "left_semi").select(
-        "doc_id", "line", "n", F.posexplode("prefix").alias("pos", "token")
-    ).repartition("token")
-    heads = lists.groupBy("token").agg(
-        F.min(F.struct("doc_id", "line", "n", "pos")).alias("head"), F.count("*").alias("c")
-    ).where("c > 1")
-    shared = stored(lists.join(heads.select("token", "head"), "token").select(
-        "token", F.struct("doc_id", "line", "n", "pos").alias("x"), "head"
-    ), "lists")
+        "doc_id", "line", "n", "parity", F.posexplode("prefix").alias("pos", "token")
+    ).repartition("token").select("token", "doc_id", "line", F.struct("doc_id", "line", "n", "pos", "parity").alias("x"))
+    order = Window.partitionBy("token").orderBy("doc_id", "line")
+    shared = stored(lists.select(
+        "token", "x", F.row_number().over(order).alias("rank"), F.lead("line").over(order).isNotNull().alias("followed"),
+        F.first("x").over(order).alias("head"), *[F.lag("x", i).over(order).alias(f"back{i}") for i in range(1, NEARBY + 1)],
+    ).where("rank > 1 OR followed").drop("followed"), "lists")
     at = lambda c: F.struct(F.col(f"{c}.doc_id").alias("doc_id"), F.col(f"{c}.line").alias("line"))
-    near = shared.where("x.doc_id > head.doc_id OR x.doc_id = head.doc_id AND x.line > head.line")
-    pairs = stored(near.where(_room("x", "head", percent)).select(at("x").alias("later"), at("head").alias("earlier")).distinct(), "pairs")
+    met = shared.where("rank > 1").select("x", F.explode(F.array("head", *[f"back{i}" for i in range(1, NEARBY + 1)])).alias("y"))
+    near = met.where(F.col("y").isNotNull() & _before("y", "x") & _room("x", "y", percent))
+    pairs = stored(near.select(at("x").alias("later"), at("y").alias("earlier")).distinct(), "pairs")
     first = stored(_similar(docs, pairs, k, percent).select("later").distinct(), "matched")
 
-    # What the earliest of the list does not remove meets all earlier members.
-    open_ones = near.withColumn("later", at("x")).join(first, "later", "left_anti").select("token", "later", "x")
-    others = shared.select(F.col("token").alias("token2"), F.col("x").alias("y"), F.col("head").alias("head2"))
+    # What these do not remove meets all other earlier members.
+    open_ones = shared.where(F.col("rank") > NEARBY + 2).withColumn("later", at("x")).join(first, "later", "left_anti").select("token", "later", "x", "rank")
+    others = shared.where("rank > 1").select(F.col("token").alias("token2"), F.col("x").alias("y"), F.col("rank").alias("rank2"))
     crossed = open_ones.join(
         others,
-        (F.col("token") == F.col("token2")) & (F.struct(F.col("y.doc_id"), F.col("y.line")) < F.struct(F.col("x.doc_id"), F.col("x.line")))
-        & (F.struct(F.col("y.doc_id"), F.col("y.line")) != F.struct(F.col("head2.doc_id"), F.col("head2.line")))
-        & _room("x", "y", percent),
+        (F.col("token") == F.col("token2")) & (F.col("rank2") < F.col("rank") - NEARBY) & _before("y", "x") & _room("x", "y", percent),
     ).select("later", at("y").alias("earlier")).distinct()
     more = stored(crossed, "pairs")
     second = _similar(docs, more, k, percent).select("later").distinct()
