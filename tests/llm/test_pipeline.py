@@ -3,6 +3,7 @@
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -70,3 +71,14 @@ def test_empty_documents(spark, documents):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, "")
         assert out.collect() == []
+
+
+def test_language_stage_compiles_with_many_languages(spark, documents):
+    """With a compiled method beyond 64 KB, Spark holds a huge class on the driver and goes on without compiled code."""
+    languages = ("en", "fr", "de", "es")
+    docs = documents.withColumn("lang", F.element_at(F.array(*[F.lit(x) for x in languages]), (F.col("doc_id") % 4 + 1).cast("int")))
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        assert pipeline.drop_unknown_languages(spark, docs, "").columns == docs.columns
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
