@@ -5,8 +5,10 @@ import math
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tierwell.llm import jaccard_join, line_dedup, suffix_array, suffix_tree
+from tierwell.llm.common import stored
 
 RNG = np.random.default_rng(5)
 
@@ -139,3 +141,37 @@ def test_one_very_common_shingle_does_not_make_sets_enumerate_thousands_of_keys(
     keys = [sum(math.comb(n, c) for _, c in jaccard_join.subset_keys(n, 85, x)) for n in range(1, x + 1)]
     entries = [jaccard_join.prefix_length(n, 85) for n in range(1, x + 1)]
     assert x >= 6 and sum(keys) <= jaccard_join.MEETINGS * sum(entries)
+
+
+def test_hits_count_every_shingle_in_its_cell(spark):
+    rows = [("a b c d e f g",), ("a  b c d e",), ("x y",), ("a b c d e f g a b c d e",)]
+    lines = spark.createDataFrame(rows, "words string")
+    one_by_one = lines.select(F.explode(line_dedup._shingles(F.col("words"), 5)).alias("t")).groupBy(
+        F.col("t").bitwiseAND(line_dedup.CELLS - 1).alias("cell")
+    ).count()
+    hits = line_dedup._hits(lines, 5)
+    assert sorted(tuple(r) for r in hits.where("value > 0").collect()) == sorted(tuple(r) for r in one_by_one.collect())
+    # Shingles are made by compiled code: the one lambda left hashes words.
+    assert hits._jdf.queryExecution().analyzed().toString().count("lambdafunction") == 1
+
+
+def test_token_sets_are_shuffled_once_for_both_sides(spark, docs, monkeypatch):
+    plans = []
+
+    def kept(df, name):
+        plans.append((name, df))
+        return stored(df, name)
+
+    monkeypatch.setattr(line_dedup, "stored", kept)
+    line = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen"
+    given = docs([(1, line), (2, line + " end"), (3, "something else entirely in this one line")])
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [tuple(r) for r in line_dedup.removed_lines(given).collect()] == [(2, 0)]
+        (matched,) = [df for name, df in plans if name == "matched"]
+        matched.collect()
+        assert "tokens" not in [name for name, _ in plans]
+        assert "ReusedExchange" in matched._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)

@@ -29,6 +29,9 @@ NEARBY = 3
 #: Cells of the rarity table, and 64-bit words of the bitmap of documents.
 CELLS, BITMAP = 1 << 18, 1 << 17
 
+#: Columns that the cells of the rarity table are counted in, side by side.
+LANES = 4
+
 _BLANKS = "\t\x0b\f\r"
 
 
@@ -39,15 +42,41 @@ def _clean(line: Column) -> Column:
     return line
 
 
+def _hashes(line: Column) -> Column:
+    """Hashes of the words of a clean line, which are hashed once each."""
+    return F.transform(F.array_remove(F.split(line, " "), ""), lambda x: F.xxhash64(x))
+
+
+def _firsts(hashes: Column, k: int) -> Column:
+    """The words that start a k-word shingle; with fewer than k words there is one of all words."""
+    return F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - (k - 1), F.lit(1)))
+
+
+def _shingle(first: Column, hashes: Column, at: Column, k: int) -> Column:
+    """Of the word ``first`` at ``at`` and those after it; ``xxhash64`` leaves out the nulls beyond a short line's end."""
+    return F.xxhash64(first, *[F.get(hashes, at + j) for j in range(1, k)])
+
+
 def _shingles(line: Column, k: int) -> Column:
-    """Hashes of the k-word shingles of a clean line that has words; with fewer than k words that of all its words.
+    """Hashes of the k-word shingles of a clean line that has words, in one array."""
+    return F.transform(F.array(_hashes(line)), lambda h: F.transform(_firsts(h, k), lambda x, i: _shingle(x, h, i, k)))[0]
+
 
-    Words are hashed once each. ``xxhash64`` leaves out the nulls beyond a short line's end.
+def _hits(lines: DataFrame, k: int) -> DataFrame:
+    """(cell, value): how many shingles of ``lines`` (words) fall on a cell.
+
+    Shingles are rows here, which compiled code makes; of functions over arrays the lambdas are interpreted. The cells are
+    counted as ``LANES`` columns of fewer groups, which fit the compiled aggregate's first map.
     """
-    hashes = F.transform(F.array_remove(F.split(line, " "), ""), lambda x: F.xxhash64(x))
-    return F.transform(F.array(hashes), lambda h: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(h) - k, F.lit(0))), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)])
-    ))[0]
+    hashed = lines.select(_hashes(F.col("words")).alias("h"))
+    starts = hashed.select("h", F.posexplode(_firsts(F.col("h"), k)).alias("at", "first"))
+    shingles = starts.select(_shingle(F.col("first"), F.col("h"), F.col("at"), k).alias("t"))
+    groups = CELLS // LANES
+    low, lane = F.col("t").bitwiseAND(groups - 1), F.col("t").bitwiseAND(CELLS - groups)
+    counted = shingles.groupBy(low.alias("low")).agg(*[F.count(F.when(lane == i * groups, 1)).alias(f"n{i}") for i in range(LANES)])
+    return counted.select("low", F.posexplode(F.array(*[f"n{i}" for i in range(LANES)])).alias("lane", "value")).select(
+        (F.col("lane") * groups + F.col("low")).alias("cell"), "value"
+    )
 
 
 def _tokens(line: Column, k: int) -> Column:
@@ -119,7 +148,8 @@ def _similar(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
     found = near.join(wanted, "doc_id").select("doc_id", F.inline(picked)).select(
         F.struct("doc_id", "line").alias("at"), _clean(F.col("words")).alias("words")
     ).where(F.trim("words") != "")
-    tokens = stored(found.select("at", _tokens(F.col("words"), k).alias("tokens")).dropDuplicates(["at"]), "tokens")
+    # One shuffle by ``at`` serves both joins; rows that repeat an id count by the least of their token sets.
+    tokens = found.select("at", _tokens(F.col("words"), k).alias("tokens")).groupBy("at").agg(F.min("tokens").alias("tokens"))
     joined = pairs.join(tokens.select(F.col("at").alias("later"), F.col("tokens").alias("x")), "later").join(
         tokens.select(F.col("at").alias("earlier"), F.col("tokens").alias("y")), "earlier"
     )
@@ -131,13 +161,11 @@ def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, line (from 0) of the lines that have an earlier match."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     lines = _lines(docs)
-    shingles = lines.select(F.explode(_shingles(F.col("words"), k)).alias("t"))
-    hits = shingles.groupBy(F.col("t").bitwiseAND(CELLS - 1).alias("cell")).agg(F.count("*").alias("value"))
     # Logarithms in 12 bits go before 51 bits of the hash: one number is a token and its place in the order.
-    rarity = _dense(hits.withColumn("value", F.floor(F.log1p("value") * 90)), CELLS, "rarity")
+    rarity = _dense(_hits(lines, k).withColumn("value", F.shiftleft(F.floor(F.log1p("value") * 90), 51)), CELLS, "rarity")
     # The column ``rarity`` is named once, in an expression that is evaluated once: no row gets a copy of the table.
-    keyed = F.sort_array(F.transform(_tokens(F.col("words"), k), lambda t: F.shiftleft(
-        F.coalesce(F.get(F.col("rarity"), t.bitwiseAND(CELLS - 1).cast("int")), F.lit(0)).cast("long"), 51
+    keyed = F.sort_array(F.transform(_tokens(F.col("words"), k), lambda t: F.coalesce(
+        F.get(F.col("rarity"), t.bitwiseAND(CELLS - 1).cast("int")), F.lit(0).cast("long")
     ).bitwiseOR(F.shiftrightunsigned(t, 13))))
     described = lines.withColumn("rarity", rarity.scalar()).select("doc_id", "line", keyed.alias("keys")).select(
         "doc_id", "line", F.size("keys").alias("n"), F.xxhash64("keys").alias("s1"), F.xxhash64("keys", F.lit(7)).alias("s2"),
@@ -154,12 +182,16 @@ def removed_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     leaders = sets.where("is_first").select("doc_id", "line").distinct()
     lists = occurrences.join(leaders, ["doc_id", "line"], "left_semi").select(
         "doc_id", "line", "n", "parity", F.posexplode("prefix").alias("pos", "token")
-    ).repartition("token").select("token", "doc_id", "line", F.struct("doc_id", "line", "n", "pos", "parity").alias("x"))
+    ).repartition("token")
     order = Window.partitionBy("token").orderBy("doc_id", "line")
-    shared = stored(lists.select(
-        "token", "x", F.row_number().over(order).alias("rank"), F.lead("line").over(order).isNotNull().alias("followed"),
-        F.first("x").over(order).alias("head"), *[F.lag("x", i).over(order).alias(f"back{i}") for i in range(1, NEARBY + 1)],
-    ).where("rank > 1 OR followed").drop("followed"), "lists")
+    # Lists of one member, which are most, end before the wider window.
+    several = lists.withColumn("rank", F.row_number().over(order)).withColumn(
+        "followed", F.lead("line").over(order).isNotNull()
+    ).where("rank > 1 OR followed")
+    members = several.select("token", "doc_id", "line", "rank", F.struct("doc_id", "line", "n", "pos", "parity").alias("x"))
+    shared = stored(members.select(
+        "token", "x", "rank", F.first("x").over(order).alias("head"), *[F.lag("x", i).over(order).alias(f"back{i}") for i in range(1, NEARBY + 1)]
+    ), "lists")
     at = lambda c: F.struct(F.col(f"{c}.doc_id").alias("doc_id"), F.col(f"{c}.line").alias("line"))
     met = shared.where("rank > 1").select("x", F.explode(F.array("head", *[f"back{i}" for i in range(1, NEARBY + 1)])).alias("y"))
     near = met.where(F.col("y").isNotNull() & _before("y", "x") & _room("x", "y", percent))
