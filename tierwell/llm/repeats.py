@@ -8,8 +8,9 @@ segments of the same anchor key, and instead of every unit only 2 / (L - k + 2)
 1. Segments (key, fingerprint of the whole segment, doc_id, place) are dealt out by key and sorted. Equal segments are
    settled there: all but the first are repeats (pre-aggregated per batch before the shuffle).
 2. Only keys with several different segments go on: their first segments are read again from the texts, with content.
-3. The operator's index (suffix arrays or trees) finds the windows that those share, group by group. A key with more
-   than ``crowd`` different segments is split into its single windows, each dealt out by its own content.
+3. A key with more than ``crowd`` different segments (a passage that stands in very many texts) is split first: its single
+   windows are dealt out by their own content and settled as segments are, without their content.
+4. The operator's index (suffix arrays or trees) finds the windows that the others share, group by group.
 
 A place is one long: start of the segment's first window, anchor's distance from it (8 bits), windows - 1 (8 bits).
 """
@@ -96,26 +97,29 @@ _FOUND_SQL = "kind int, key long, doc_id long, place long"
 REPEAT, OPEN, CROWDED = 0, 1, 2
 
 
+def _rows(spec: Windows, key, fp, doc, at) -> pa.RecordBatch:
+    """Rows of one batch to be settled; those of one key and fingerprint are settled here but for the first."""
+    order = np.lexsort((at, doc, fp, key))
+    key, fp, doc, at = key[order], fp[order], doc[order], at[order]
+    head = np.ones(len(key), dtype=bool)
+    head[1:] = (key[1:] != key[:-1]) | (fp[1:] != fp[:-1])
+    leader = np.flatnonzero(head)[np.cumsum(head) - 1]
+    # Rows that share id and text start at one place, which is not earlier than itself.
+    apart = head | (doc != doc[leader]) | (at != at[leader])
+    key, fp, doc, at, head, leader = key[apart], fp[apart], doc[apart], at[apart], head[apart], doc[leader][apart]
+    known = ~head & (spec.same_text | (doc != leader))
+    # Settled rows only pass through: any key will do, and theirs spreads them.
+    key = np.where(known, textscan.mixed(doc.view(np.uint64) + at.view(np.uint64)), key).view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, fp.view(np.int64), doc, at, known)], schema=_ROWS)
+
+
 def _dealt(spec: Windows, texts: DataFrame) -> DataFrame:
     def rows(batches):
         for batch in batches:
             for ids, buffer, offsets in textscan.chunks(batch.column(0), batch.column(1)):
                 values, bounds, _ = sequence(spec, buffer, offsets)
                 row, anchor, first, last, key, fp = segments(spec, values, bounds, buffer)
-                doc = ids[row]
-                at = place(first - bounds[row], anchor - first, last - first)
-                order = np.lexsort((at, doc, fp, key))
-                key, fp, doc, at = key[order], fp[order], doc[order], at[order]
-                head = np.ones(len(key), dtype=bool)
-                head[1:] = (key[1:] != key[:-1]) | (fp[1:] != fp[:-1])
-                leader = np.flatnonzero(head)[np.cumsum(head) - 1]
-                # Rows that share id and text start at one place, which is not earlier than itself.
-                apart = head | (doc != doc[leader]) | (at != at[leader])
-                key, fp, doc, at, head, leader = key[apart], fp[apart], doc[apart], at[apart], head[apart], doc[leader][apart]
-                known = ~head & (spec.same_text | (doc != leader))
-                # Settled rows only pass through: any key will do, and theirs spreads them.
-                key = np.where(known, textscan.mixed(doc.view(np.uint64) + at.view(np.uint64)), key).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, fp.view(np.int64), doc, at, known)], schema=_ROWS)
+                yield _rows(spec, key, fp, ids[row], place(first - bounds[row], anchor - first, last - first))
 
     return texts.mapInArrow(rows, _ROWS_SQL)
 
@@ -184,54 +188,69 @@ def _settled(key, fp, doc, at, state, spec, crowd):
     state.update(key=key[-1], fp=fp[-1], leader=(leader[-1], leader_at[-1]), kinds=int(counts[part[-1]]))
 
 
+def _settled_rows(spec: Windows, dealt: DataFrame, crowd: int, name: str) -> DataFrame:
+    sorted_ = dealt.repartition("key").sortWithinPartitions("key", "fp", "doc_id", "place")
+    return stored(sorted_.mapInArrow(settle(spec, crowd), _FOUND_SQL), name)
+
+
 def shared_segments(spec: Windows, texts: DataFrame, crowd: int) -> DataFrame:
     """(kind, key, doc_id, place) of repeated segments and of those that stay open, stored."""
-    dealt = _dealt(spec, texts).repartition("key").sortWithinPartitions("key", "fp", "doc_id", "place")
-    return stored(dealt.mapInArrow(settle(spec, crowd), _FOUND_SQL), "segments")
+    return _settled_rows(spec, _dealt(spec, texts), crowd, "segments")
 
 
-_CONTENT = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("content", pa.binary())])
-_CONTENT_SQL = "key long, doc_id long, place long, content binary"
+def _asked(spec: Windows, texts: DataFrame, places: DataFrame, pick, kinds: str) -> DataFrame:
+    """``pick(doc_id, key, place, at, values, buffer)`` of the segments ``places`` (key, doc_id, place), for a chunk of texts at a time.
 
-
-def open_segments(spec: Windows, texts: DataFrame, found: DataFrame) -> DataFrame:
-    """Open segments with content: bytes, or 64-bit hashes of words. Segments of crowded keys come window by window."""
-    crowded = found.where(F.col("kind") == CROWDED).select("key").distinct().withColumn("split", F.lit(True))
-    asked = found.where(F.col("kind") == OPEN).select("key", "doc_id", "place").join(crowded, "key", "left")
-    asked = stored(asked.groupBy("doc_id").agg(
-        F.collect_list(F.struct("key", "place", F.coalesce("split", F.lit(False)).alias("split"))).alias("asked")
-    ), "asked")
+    ``at``: first unit of each segment in the chunk.
+    """
+    asked = stored(places.groupBy("doc_id").agg(F.collect_list(F.struct("key", "place")).alias("asked")), "asked")
 
     def rows(batches):
         for batch in batches:
-            asked = batch.column("asked")
-            for places, buffer, offsets in textscan.chunks(pa.array(np.arange(batch.num_rows)), batch.column("text")):
+            asked, doc = batch.column("asked"), batch.column("doc_id").to_numpy()
+            for some, buffer, offsets in textscan.chunks(pa.array(np.arange(batch.num_rows)), batch.column("text")):
                 values, bounds, _ = sequence(spec, buffer, offsets)
-                content = values if spec.words else buffer
-                out = [], [], [], []
-                for i, r in enumerate(places.tolist()):
-                    doc_id = batch.column("doc_id")[r].as_py()
-                    items = asked.slice(r, 1).flatten()
-                    keys, at, split = (items.field(j).to_numpy(zero_copy_only=False) for j in range(3))
-                    first, off, span = windows_of(at)
-                    first = first + bounds[i]
-                    for j in range(len(keys)):
-                        if split[j]:
-                            pieces = [(first[j] + w, off[j] - w, 0) for w in range(span[j] + 1)]
-                            whole = textscan.span_hashes(values, *(np.array([p[0] + x for p in pieces]) for x in (0, spec.length)))
-                            named = textscan.mixed(whole ^ np.uint64(0x5851F42D4C957F2D)).view(np.int64).tolist()
-                        else:
-                            pieces, named = [(first[j], off[j], span[j])], [keys[j]]
-                        for (start, o, s), name in zip(pieces, named):
-                            out[0].append(name)
-                            out[1].append(doc_id)
-                            # A split window's anchor may lie before it: only its place in the text matters then.
-                            out[2].append(int(place(start - bounds[i], max(o, 0), s)))
-                            out[3].append(content[start : start + s + spec.length].tobytes())
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, _CONTENT)], schema=_CONTENT)
-
-    return only_near(texts, id_filter(asked)).join(asked, "doc_id").mapInArrow(rows, _CONTENT_SQL)
+                mine = asked.slice(some[0], len(some))
+                of = np.repeat(np.arange(len(some)), pa.compute.list_value_length(mine).to_numpy())
+                key, at = (mine.flatten().field(i).to_numpy() for i in range(2))
+                yield pick(doc[some][of], key, at, windows_of(at)[0] + bounds[of], values, buffer)
+
+    return only_near(texts, id_filter(asked)).join(asked, "doc_id").mapInArrow(rows, kinds)
+
+
+def crowded_windows(spec: Windows, texts: DataFrame, places: DataFrame, crowd: int) -> DataFrame:
+    """The same as ``shared_segments`` for the single windows of the segments ``places``.
+
+    A crowded key's segments hold one passage with different text around it, so nearly all of their windows are equal to
+    many others or to none: only keys and fingerprints are dealt out, and the windows of a passage are combined before the shuffle.
+    """
+
+    def windows(doc, key, at, first, values, buffer):
+        count = windows_of(at)[2] + 1
+        step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        begin = np.repeat(first, count) + step
+        digests = textscan.value_digests(values, begin, begin + spec.length) if spec.words else textscan.byte_digests(buffer, begin, begin + spec.length)
+        # The anchor may lie before the window: only its place in the text matters here.
+        where = place(np.repeat(windows_of(at)[0], count) + step, 0, 0)
+        return _rows(spec, digests, textscan.span_hashes(values, begin, begin + spec.length), np.repeat(doc, count), where)
+
+    return _settled_rows(spec, _asked(spec, texts, places, windows, _ROWS_SQL), crowd, "windows")
+
+
+_CONTENT = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("content", pa.binary())])
+_CONTENT_SQL = "key long, doc_id long, place long, content binary"
+
+
+def open_segments(spec: Windows, texts: DataFrame, places: DataFrame) -> DataFrame:
+    """The segments ``places`` with content: bytes, or 64-bit hashes of words."""
+
+    def contents(doc, key, at, first, values, buffer):
+        content = values if spec.words else buffer
+        ends = first + windows_of(at)[2] + spec.length
+        found = [content[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist())]
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(at), pa.array(found, pa.binary())], schema=_CONTENT)
+
+    return _asked(spec, texts, places, contents, _CONTENT_SQL)
 
 
 def groups(batches, limit: int):
@@ -273,11 +292,17 @@ def repeated_spans(spec: Windows, texts: DataFrame, resolve, crowd: int) -> Data
     ``resolve(frame)``: the operator's index over open segments (key, doc_id, place, content) to such spans.
     """
     found = shared_segments(spec, texts, crowd)
+    places = found.where(F.col("kind") == OPEN).select("key", "doc_id", "place")
+    equal = found.where(F.col("kind") == REPEAT)
+    crowded = found.where(F.col("kind") == CROWDED).select("key").distinct()
+    if not crowded.isEmpty():
+        windows = crowded_windows(spec, texts, places.join(crowded, "key", "left_semi"), crowd)
+        equal = equal.unionByName(windows.where(F.col("kind") == REPEAT))
+        rest = windows.where(F.col("kind") == OPEN).select("key", "doc_id", "place")
+        places = places.join(crowded, "key", "left_anti").unionByName(rest)
     first = F.shiftright("place", 16)
-    equal = found.where(F.col("kind") == REPEAT).select(
-        "doc_id", first.alias("start"), (first + F.col("place").bitwiseAND(255) + spec.length).alias("end")
-    )
-    return equal.unionByName(resolve(open_segments(spec, texts, found)))
+    equal = equal.select("doc_id", first.alias("start"), (first + F.col("place").bitwiseAND(255) + spec.length).alias("end"))
+    return equal.unionByName(resolve(open_segments(spec, texts, places)))
 
 
 def covered(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

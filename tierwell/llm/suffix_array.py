@@ -41,30 +41,28 @@ def words_at(data: np.ndarray) -> np.ndarray:
 def suffix_array(data: np.ndarray) -> np.ndarray:
     """Positions in the order of their suffixes; what lies past the end is smallest."""
     n = len(data)
-    order = np.argsort(words_at(data), kind="stable")
-    head = words_at(data)[order]
+    words = words_at(data)
+    order = np.argsort(words)
+    head = words[order]
     new = np.ones(n, dtype=bool)
     new[1:] = head[1:] != head[:-1]
     rank = np.empty(n + 1, dtype=np.int64)
     rank[n] = 0
-    rank[order] = np.cumsum(new)
+    # A group's rank is its first slot: when groups are split, only the ranks of their own suffixes change.
+    rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1] + 1
+    slots = np.flatnonzero(~(new & np.append(new[1:], True)))
     h = 8
-    while True:
-        alone = new & np.append(new[1:], True)
-        slots = np.flatnonzero(~alone)
-        if not len(slots):
-            break
+    while len(slots):
         at = order[slots]
+        group = rank[at]
         follows = np.where(at + h <= n, rank[np.minimum(at + h, n)], n - at - h)
-        again = np.lexsort((follows, rank[at]))
-        at, follows = at[again], follows[again]
+        again = np.argsort(group * (2 * n + 2) + (follows + n))  # both fit: a shard's n is far below 2**31
+        at, group, follows = at[again], group[again], follows[again]
         order[slots] = at
-        same = rank[at]
         start = np.ones(len(at), dtype=bool)
-        start[1:] = (same[1:] != same[:-1]) | (follows[1:] != follows[:-1])
-        new[slots] = start
-        # Ranks grow within a group only: its first slot keeps the number, so groups stay in order.
-        rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1] + 1
+        start[1:] = (group[1:] != group[:-1]) | (follows[1:] != follows[:-1])
+        rank[at] = slots[np.flatnonzero(start)[np.cumsum(start) - 1]] + 1
+        slots = slots[~(start & np.append(start[1:], True))]
         h *= 2
     return order
 
